@@ -35,29 +35,32 @@ def normalize_prices(df: DataFrame, currency: str = CURRENCY) -> DataFrame:
     )
 
 
-def normalize_series(df: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Landed series points to typed rows, with names and category from the catalogue."""
-    typed = df.select(
+def typed_points(df: DataFrame) -> DataFrame:
+    return df.select(
         "series_key",
         parse_day("date").alias("date"),
         safe_double("value").alias("numeric_value"),
         parse_iso("collection_timestamp").alias("collection_timestamp"),
     )
-    return with_series_meta(typed, catalog)
+
+
+def normalize_series(df: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Landed series points to typed rows, with id and category from the catalogue."""
+    return with_series_meta(typed_points(df), catalog)
 
 
 def with_series_meta(df: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Series id and category of each known series key. The catalogue is a literal of
-    fifteen rows, so it is always safe to broadcast."""
+    """Series id and category of each known series key. No hint: the optimizer knows the
+    catalogue's size and broadcasts it while it is small."""
     meta = catalog.select("series_key", "series_id", "category")
     kept = [c for c in df.columns if c not in ("series_id", "category")]
-    return df.select(*kept).join(F.broadcast(meta), "series_key")
+    return df.select(*kept).join(meta, "series_key")
 
 
 def category_of_slug(df: DataFrame, catalog: DataFrame, col: str = "category") -> DataFrame:
     """Rewrite a landing folder name (lower case, underscores) to the category key."""
     names = catalog.select(slug("category_label").alias("_slug"), F.col("category").alias("_category")).distinct()
-    joined = df.join(F.broadcast(names), slug(col) == F.col("_slug"), "left")
+    joined = df.join(names, slug(col) == F.col("_slug"), "left")
     return joined.withColumn(col, F.coalesce("_category", slug(col))).drop("_slug", "_category")
 
 
@@ -122,18 +125,30 @@ def blocks_from(df: DataFrame, height: int) -> DataFrame:
     return df.filter(F.col("height") <= F.lit(height))
 
 
+# Types that an aggregation buffer can update in place; the value stands before all others.
+_LOWEST = {
+    "date": "date'0001-01-01'", "timestamp": "timestamp'0001-01-01'", "timestamp_ntz": "timestamp_ntz'0001-01-01'",
+    "int": "-2147483648", "bigint": "-9223372036854775808L", "double": "double('-Infinity')",
+}
+
+
 def latest_version(df: DataFrame, keys: Names, order: Names) -> DataFrame:
-    """One row per key: the row with the largest ``order`` columns, compared in turn.
+    """One row per key: the row with the largest ``order`` columns, compared in turn;
+    nulls rank lowest.
 
     ``max_by`` keeps one row per key and task before the shuffle, so a key with very
-    many versions costs no more than any other.
+    many versions costs no more than any other. With fixed-width columns and a single
+    order column it stays a hash aggregate: every column is then picked by the same
+    comparison, so the parts of a row stay together.
     """
     keys, order = as_list(keys), as_list(order)
     rest = [c for c in df.columns if c not in keys]
-    ranked = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    # A null order value would be skipped by max_by; inside a struct it ranks last.
-    ranked = ranked if len(order) > 1 else F.struct(ranked)
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), ranked).alias("_row"))
+    kinds = {c: df.schema[c].dataType.simpleString() for c in df.columns}
+    if len(order) == 1 and all(kinds[c] in _LOWEST for c in {*rest, *order}):
+        rank = F.coalesce(F.col(order[0]), F.expr(_LOWEST[kinds[order[0]]]))
+        picked = df.groupBy(*keys).agg(*[F.max_by(c, rank).alias(c) for c in rest])
+        return picked.select(*df.columns)
+    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
     return newest.select(*keys, "_row.*").select(*df.columns)
 
 

@@ -67,7 +67,7 @@ def fact_network(blocks: DataFrame, fees: DataFrame, mempool: DataFrame) -> Data
 
 def asof_join(
     left: DataFrame, right: DataFrame, key: Names, ts: str, cols: Sequence[str], *,
-    right_ts: str | None = None, rows_per_bucket: int = 1_000_000,
+    right_ts: str | None = None, rows_per_bucket: int = 200_000,
 ) -> DataFrame:
     """Each left row with ``cols`` of the latest right row of its key at or before it.
 
@@ -108,11 +108,14 @@ def asof_join(
     matched = both.withColumn("_match", F.last("_right", ignorenulls=True).over(within)).filter(F.col("_side") == 1)
 
     # A null ordering is skipped by max_by, so left rows only keep their bucket alive.
+    # One max_by per column, not one of a struct, keeps fixed-width columns in a hash aggregate.
+    at = F.when(F.col("_side") == 0, F.col("_ts"))
     ends = both.groupBy(*keys, "_bucket").agg(
-        F.max_by("_right", F.when(F.col("_side") == 0, F.col("_ts"))).alias("_end")
+        F.max(at).alias("_at"), *[F.max_by(f"_right.{c}", at).alias(f"_end_{c}") for c in cols]
     )
+    end = F.when(F.col("_at").isNotNull(), F.struct(*[F.col(f"_end_{c}").alias(c) for c in cols]))
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*keys, "_bucket", F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
+    carried = ends.select(*keys, "_bucket", F.last(end, ignorenulls=True).over(earlier).alias("_carry"))
 
     found = matched.join(carried, [*keys, "_bucket"], "left").withColumn("_found", F.coalesce("_match", "_carry"))
     names = {ts: F.col("_ts"), **{c: F.col(f"_left.{c}") for c in other}}

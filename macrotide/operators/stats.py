@@ -107,18 +107,23 @@ def correlate(df: DataFrame, x: str, y: str, by: Names = ()) -> DataFrame:
 
 
 def correlate_pairs(df: DataFrame, pairs: Sequence[Pair], by: Names = ()) -> DataFrame:
-    """``correlate`` for many pairs in one aggregate and one exchange: rows (x, y, r, r2, n)."""
+    """``correlate`` for many pairs in one aggregate and one exchange: rows (x, y, r, r2, n).
+
+    Each row is spread into one small row per pair, just ahead of the partial aggregate.
+    The aggregate then holds one pair's moments whatever the number of pairs; as columns,
+    a few dozen pairs exceed what Spark compiles.
+    """
     by = as_list(by)
-    aggregates = []
-    for i, (x, y) in enumerate(pairs):
-        aggregates += [safe_corr(x, y).alias(f"_r{i}"), _both(x, y).alias(f"_n{i}")]
-    wide = df.groupBy(*by).agg(*aggregates)
-    rows = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"_r{i}").alias("r"), F.col(f"_n{i}").alias("n"))
+    values = [
+        F.struct(F.lit(i).alias("_pair"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
         for i, (x, y) in enumerate(pairs)
     ]
-    tall = wide.select(*by, F.inline(F.array(*rows)))
-    return tall.select(*by, "x", "y", "r", (F.col("r") * F.col("r")).alias("r2"), "n")
+    spread = df.select(*by, F.inline(F.array(*values)))
+    stats = spread.groupBy(*by, "_pair").agg(safe_corr("_x", "_y").alias("r"), _both("_x", "_y").alias("n"))
+    names = [F.array(*[F.lit(pair[side]) for pair in pairs])[F.col("_pair")] for side in (0, 1)]
+    return stats.select(
+        *by, names[0].alias("x"), names[1].alias("y"), "r", (F.col("r") * F.col("r")).alias("r2"), "n"
+    )
 
 
 def correlation_matrix(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macrotide.operators.clean import latest_version, missing, negative, normalize_prices, normalize_series, quality_flags
+from macrotide.operators.clean import latest_version, missing, negative, normalize_prices, quality_flags, typed_points, with_series_meta
 from macrotide.operators.joins import densify, fact_prices
 from macrotide.operators.series import daily_return, forward_fill, rolling_volatility, volatility_regime
 from macrotide.operators.stats import correlate_pairs, pivot_series
@@ -29,22 +29,24 @@ def silver_prices(spark: SparkSession, path: Paths, lines: bool = False) -> Data
 
 
 def silver_series(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
-    """Landed series batches to one row per series and date."""
-    typed = normalize_series(read_series_batches(spark, path, lines), series_catalog(spark))
-    newest = latest_version(typed, ["series_key", "date"], "collection_timestamp")
-    return quality_flags(newest, {"value_missing": missing("numeric_value")})
+    """Landed series batches to one row per series and date. Metadata is joined after
+    the newest version is picked, so its text does not pass through the shuffle."""
+    points = read_series_batches(spark, path, lines)
+    newest = latest_version(typed_points(points), ["series_key", "date"], "collection_timestamp")
+    return quality_flags(with_series_meta(newest, series_catalog(spark)), {"value_missing": missing("numeric_value")})
 
 
-def economic_wide(series: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
+def economic_wide(series: DataFrame, keys: Sequence[str] = SERIES_KEYS, end: Column | str | None = None) -> DataFrame:
     """One row per calendar day with every series filled forward.
 
     The fill runs on the tall form, by series, before the pivot. Filling the wide table
-    would need one window over all of its rows. The last date of all series is a scalar
-    subquery, so each series is carried to the common end.
+    would need one window over all of its rows. Each series is carried to the common
+    ``end``, by default the last date of all series as a scalar subquery.
     """
     points = series.filter(F.col("date").isNotNull()).select("series_key", "date", "numeric_value")
-    last_day = points.agg(F.max("date").alias("_last")).scalar()
-    daily = densify(points, "series_key", end=last_day)
+    if end is None:
+        end = points.agg(F.max("date").alias("_last")).scalar()
+    daily = densify(points, "series_key", end=end)
     filled = forward_fill(daily, "series_key", "numeric_value")
     return pivot_series(filled, keys)
 
@@ -55,12 +57,12 @@ def price_history(prices: DataFrame, key: str = "asset_id", window: int = 30) ->
     return volatility_regime(rolling_volatility(returned, key, window), key)
 
 
-def gold_prices(prices: DataFrame, series: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
+def gold_prices(prices: DataFrame, series: DataFrame, keys: Sequence[str] = SERIES_KEYS, end: Column | str | None = None) -> DataFrame:
     """``fact_prices``: price history with the day's economic context."""
-    return fact_prices(price_history(prices), economic_wide(series, keys))
+    return fact_prices(price_history(prices), economic_wide(series, keys, end))
 
 
-def indicator_report(prices: DataFrame, series: DataFrame, keys: Sequence[str], key: str = "asset_id") -> DataFrame:
+def indicator_report(prices: DataFrame, series: DataFrame, keys: Sequence[str], key: str = "asset_id", end: Column | str | None = None) -> DataFrame:
     """How does each asset's price move with each indicator: r, r2 and sample size."""
-    facts = gold_prices(prices, series, keys)
+    facts = gold_prices(prices, series, keys, end)
     return correlate_pairs(facts, [("price_usd", k) for k in keys], by=key).withColumnRenamed("y", "indicator").drop("x")

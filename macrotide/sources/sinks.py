@@ -42,14 +42,17 @@ def write_documents(df: DataFrame, path: str, document: Column | str, folder: Na
     (writer.partitionBy(*cols) if cols else writer).text(path)
 
 
-def write_table(df: DataFrame, path: str, partition_cols: Names = ()) -> None:
+def write_table(df: DataFrame, path: str, partition_cols: Names = (), sort_cols: Names = ()) -> None:
     """Write a silver or gold table as Parquet. With partition columns only the
-    partitions present in ``df`` are replaced, so a rerun gives the same table."""
-    cols = as_list(partition_cols)
+    partitions present in ``df`` are replaced, so a rerun gives the same table. Rows
+    sorted by ``sort_cols`` inside each file let later filters skip row groups."""
+    cols, order = as_list(partition_cols), as_list(sort_cols)
+    balanced = df.hint("rebalance", *cols) if cols else df
+    if order:
+        balanced = balanced.sortWithinPartitions(*cols, *order)
     if not cols:
-        df.write.mode("overwrite").parquet(path)
+        balanced.write.mode("overwrite").parquet(path)
         return
-    balanced = df.hint("rebalance", *cols)
     balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
 
 

@@ -141,7 +141,7 @@ def a12(spark, sf):
 , facts AS (SELECT * FROM regimes LEFT JOIN wide USING (date)) """ + " UNION ALL ".join(
     f"SELECT regime, {_corr_row('price_usd', k)} FROM facts WHERE regime IS NOT NULL GROUP BY 1" for k in INDICATORS))
 def a13(spark, sf):
-    facts = layers.gold_prices(st.prices(spark, sf), st.series(spark, sf), INDICATORS)
+    facts = layers.gold_prices(st.prices(spark, sf), st.series(spark, sf), INDICATORS, st.last_day(spark, sf))
     return rounded(stats.correlation_by_regime(facts, "regime", [("price_usd", k) for k in INDICATORS]), "r", "r2")
 
 
@@ -235,7 +235,7 @@ def a21_by_supplier(spark, sf):
     f"count(*) FILTER (price_usd IS NOT NULL AND {k} IS NOT NULL) AS n FROM facts GROUP BY 1" for k in INDICATORS))
 def flagship(spark, sf):
     """How does each asset's price move with each indicator?"""
-    return rounded(layers.indicator_report(st.prices(spark, sf), st.series(spark, sf), INDICATORS), "r", "r2")
+    return rounded(layers.indicator_report(st.prices(spark, sf), st.series(spark, sf), INDICATORS, end=st.last_day(spark, sf)), "r", "r2")
 
 
 # Ordered output ------------------------------------------------------------------

@@ -29,13 +29,12 @@ def landed(build: Callable[[SparkSession, str, str], None]) -> Callable[[SparkSe
     """The folder that ``build`` fills, built once for each session and data folder."""
 
     @cache
-    def once(application: str, sf_dir: str) -> str:
-        spark = SparkSession.active()
+    def once(spark: SparkSession, sf_dir: str) -> str:
         path = scratch_dir(spark, build.__name__)
         build(spark, sf_dir, path)
         return path
 
-    return lambda spark, sf_dir: once(spark.sparkContext.applicationId, sf_dir)
+    return once
 
 
 def _amounts(c: F.Column) -> F.Column:
@@ -70,7 +69,7 @@ def series_files(spark: SparkSession, sf_dir: str, path: str) -> None:
     """One document per category and year, as ``category=<slug>/``. Days with two
     orders have no value ('.'); ``treasury_2y`` always fails."""
     catalog = tables.series_catalog(spark)
-    points = st.series(spark, sf_dir).join(F.broadcast(catalog), "series_key")
+    points = st.series(spark, sf_dir).join(catalog, "series_key")
     value = F.when(F.col("n_rows") == 2, ".").otherwise(F.col("numeric_value").cast("string"))
     # A series has one point per day, so the list of a series and year is bounded.
     payloads = points.groupBy("category_label", F.year("date").alias("year"), "series_key", "series_id").agg(
@@ -182,10 +181,10 @@ def detail_files(spark: SparkSession, sf_dir: str, path: str) -> None:
 TYPES = sorted(st.TARGET_OF)
 
 
-def _run_rows(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
-    """A run is an hour or a day; a type landed if it has a value above 150."""
+def _run_rows(spark: SparkSession, sf_dir: str, grain: str, above: float) -> DataFrame:
+    """A run is an hour or a day; a type landed if it has a value above the bound."""
     run = M.format_snapshot(F.date_trunc(grain, "ts")).alias("collection_timestamp")
-    rows = F.count_if(F.col("value") > 150).alias("n_rows")
+    rows = F.count_if(F.col("value") > above).alias("n_rows")
     return table(spark, sf_dir, "events").groupBy(run, F.col("event_type").alias("data_type")).agg(rows)
 
 
@@ -344,16 +343,16 @@ def s9(spark, sf):
     return header.join(status, "block_id").join(totals, "block_id")
 
 
-def _runs_sql(grain: str) -> str:
+def _runs_sql(grain: str, above: int) -> str:
     run = f"date_trunc('{grain}', ts)"
     return f"""runs AS (SELECT strftime({run}, '%Y%m%d_%H%M%S') AS collection_timestamp, {run} AS run_ts,
-  coalesce(list_sort(list(DISTINCT event_type) FILTER (value > 150)), []) AS seen FROM events GROUP BY 1, 2)"""
+  coalesce(list_sort(list(DISTINCT event_type) FILTER (value > {above})), []) AS seen FROM events GROUP BY 1, 2)"""
 
 
 _ALL_TYPES = "[" + ", ".join(f"'{t}'" for t in TYPES) + "]"
 
 
-@query("s10_read_collection_log", with_(_runs_sql("day")) + f"""
+@query("s10_read_collection_log", with_(_runs_sql("day", 150)) + f"""
 SELECT collection_timestamp, run_ts, array_to_string(seen, ',') AS types,
   CASE WHEN len(seen) = 5 THEN 'success' ELSE 'failed' END AS collection_status,
   CASE WHEN len(seen) < 5 THEN 'missing: ' || array_to_string(list_filter({_ALL_TYPES}, lambda t: NOT list_contains(seen, t)), ',') END AS error
@@ -361,7 +360,7 @@ FROM runs""")
 def s10(spark, sf):
     path = scratch_dir(spark, "ledger")
     _snapshots(
-        sinks.collection_log(_run_rows(spark, sf, "day"), TYPES), path, "collection_summary", M.parse_snapshot("collection_timestamp"),
+        sinks.collection_log(_run_rows(spark, sf, "day", 150), TYPES), path, "collection_summary", M.parse_snapshot("collection_timestamp"),
         F.struct("collection_timestamp", "data_types_collected", "collection_status", "error"),
     )
     log = bronze.read_collection_log(spark, path)
@@ -422,16 +421,16 @@ def k3(spark, sf):
     """Written whole, then the years from 1999 again: the table stays the same."""
     path = scratch_dir(spark, "gold")
     rows = st.prices(spark, sf).select("asset_id", "date", "price_usd", F.year("date").alias("year"))
-    sinks.write_table(rows, path, "year")
+    sinks.write_table(rows, path, "year", ["asset_id", "date"])
     sinks.write_table(rows.filter(F.col("year") >= 1999), path, "year")
     return tables.read_table(spark, path).select("asset_id", "date", "price_usd", "year")
 
 
-@query("k4_write_collection_log", with_(_runs_sql("hour")) + """
+@query("k4_write_collection_log", with_(_runs_sql("hour", 0)) + """
 SELECT CASE WHEN len(seen) = 5 THEN 'success' ELSE 'failed' END AS collection_status, count(*) AS n_runs FROM runs GROUP BY 1""")
 def k4(spark, sf):
     path = scratch_dir(spark, "ledger")
-    sinks.write_collection_log(_run_rows(spark, sf, "hour"), path, TYPES)
+    sinks.write_collection_log(_run_rows(spark, sf, "hour", 0), path, TYPES)
     log = bronze.read_json(spark, path, "collection_status string", lines=True)
     return log.groupBy("collection_status").agg(F.count(F.lit(1)).alias("n_runs"))
 

@@ -130,7 +130,7 @@ def w13(spark, sf):
 @query("j1_fact_prices", with_(PRICES, RETURNS, SERIES_ROWS, WIDE, FACTS)
        + f"SELECT asset_id, date, price_usd, volume_usd, daily_return, {', '.join(INDICATORS)} FROM facts")
 def j1(spark, sf):
-    wide = layers.economic_wide(st.series(spark, sf), INDICATORS)
+    wide = layers.economic_wide(st.series(spark, sf), INDICATORS, st.last_day(spark, sf))
     facts = joins.fact_prices(st.returns(spark, sf), wide)
     return facts.select("asset_id", "date", "price_usd", "volume_usd", "daily_return", *INDICATORS)
 
