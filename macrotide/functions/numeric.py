@@ -58,17 +58,13 @@ def exact_avg(c: Column | str) -> Column:
 
 
 def recency(df: DataFrame, ts: str, tie: str | None = None) -> Column:
-    """Ordering value for "latest wins", later ``ts`` first and then larger ``tie``.
+    """Ordering of the rows of one day for "latest wins": later ``ts``, then larger ``tie``.
 
-    An integer tie-break is packed with the time into one decimal: aggregation
-    buffers of fixed width keep ``max_by`` in a hash aggregate, while a struct
-    would force a sort of every input row.
+    Aggregation buffers of fixed width keep ``max_by`` in a hash aggregate, which a time
+    alone allows. A date does not order the rows of its day, so the tie-break stands
+    alone there. Only a time with a tie-break needs a struct, for which Spark sorts each
+    task's rows ahead of the partial aggregate.
     """
     if tie is None:
         return F.col(ts)
-    if isinstance(df.schema[tie].dataType, T.IntegralType) and isinstance(
-        df.schema[ts].dataType, (T.TimestampType, T.TimestampNTZType)
-    ):
-        micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(17,0)")
-        return (micros * F.expr("20000000000000000000BD")).cast("decimal(38,0)") + F.col(tie).cast("decimal(20,0)")
-    return F.struct(ts, tie)
+    return F.col(tie) if isinstance(df.schema[ts].dataType, T.DateType) else F.struct(ts, tie)

@@ -31,15 +31,20 @@ def trailing(key: Names, order: str, rows: int) -> WindowSpec:
     return by_key(key, order).rowsBetween(-(rows - 1), Window.currentRow)
 
 
+def measured(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
+    """``df`` checkpointed to the shared folder, with its row count up to ``max_rows + 1``."""
+    checkpoint_root(df.sparkSession)
+    written = df.checkpoint(eager=True)
+    return written, written.limit(max_rows + 1).count()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Broadcast ``df`` only once its size is known.
 
-    The rows are checkpointed to the shared folder, counted, and broadcast if there
-    are at most ``max_rows``; a larger side keeps the ordinary shuffled join, where
-    adaptive execution splits skewed keys. Planning alone cannot do this: an
-    aggregate is estimated at the size of its input, so a few per-key rows would
-    make the large side shuffle.
+    A side of more than ``max_rows`` rows keeps the ordinary shuffled join, where
+    adaptive execution splits skewed keys. Planning alone cannot decide this: an
+    aggregate is estimated at the size of its input, so a few per-key rows would make
+    the large side shuffle.
     """
-    checkpoint_root(df.sparkSession)
-    small = df.checkpoint(eager=True)
-    return F.broadcast(small) if small.limit(max_rows + 1).count() <= max_rows else small
+    small, n_rows = measured(df, max_rows)
+    return F.broadcast(small) if n_rows <= max_rows else small

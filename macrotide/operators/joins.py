@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from macrotide.operators.clean import with_series_meta
-from macrotide.operators.common import Names, as_list, by_key
+from macrotide.operators.common import Names, as_list, by_key, measured
 from macrotide.operators.series import indicator_trend
 
 
@@ -67,62 +67,75 @@ def fact_network(blocks: DataFrame, fees: DataFrame, mempool: DataFrame) -> Data
 
 def asof_join(
     left: DataFrame, right: DataFrame, key: Names, ts: str, cols: Sequence[str], *,
-    right_ts: str | None = None, rows_per_bucket: int = 200_000,
+    right_ts: str | None = None, rows_per_task: int = 2_000_000,
 ) -> DataFrame:
     """Each left row with ``cols`` of the latest right row of its key at or before it.
 
-    Both sides are put in one time order and cut into buckets of time, so that a key
-    with a very large share of the rows is spread over many tasks:
-
-    1. inside a bucket, the last right row is carried forward to the left rows;
-    2. one row per key and bucket carries the last right row across buckets;
-    3. left rows that found nothing inside their bucket take the carried row.
-
-    The bucket width is a scalar subquery over both sides: the span of time divided
-    by the number of buckets that ``rows_per_bucket`` asks for.
+    Both sides are put in one time order per key, and the last right row is carried
+    forward to the left rows: one exchange, no range join. Keys are counted first. A key
+    with more than ``rows_per_task`` rows is cut into buckets of time, a sixteenth of that
+    size on average to leave room for bursts; one row per bucket then carries the last
+    right row into the buckets after it.
     """
     keys, cols = as_list(key), list(cols)
     right_ts = right_ts or ts
     other = [c for c in left.columns if c not in keys and c != ts]
-
-    left_rows = left.select(
-        *keys, F.col(ts).alias("_ts"), F.lit(1).alias("_side"), F.struct(*other).alias("_left") if other else F.lit(None).alias("_left"),
-        F.lit(None).cast(right.select(F.struct(*cols)).schema[0].dataType).alias("_right"),
-    )
+    left_rows = left.select(*keys, F.col(ts).alias("_ts"), F.lit(1).alias("_side"), *other)
     right_rows = right.select(
-        *keys, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"),
-        F.lit(None).cast(left_rows.schema["_left"].dataType).alias("_left"), F.struct(*cols).alias("_right"),
+        *keys, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), F.struct(*cols).alias("_right")
     )
-    both = left_rows.unionByName(right_rows)
+    both = left_rows.unionByName(right_rows, allowMissingColumns=True)
+
+    hot, n_hot = _hot_keys(both.select(*keys, "_ts"), keys, rows_per_task)
+    grouped = keys
+    if n_hot:
+        # At most total / rows_per_task keys are hot; still broadcast only if few.
+        spans = F.broadcast(hot) if n_hot <= _MANY_KEYS else hot
+        bucket = F.floor((_micros("_ts") - F.col("_from")) / F.col("_width"))
+        both = both.join(spans, keys, "left").withColumn("_bucket", bucket).drop("_from", "_width")
+        grouped = [*keys, "_bucket"]
+
+    order = Window.partitionBy(*grouped).orderBy("_ts", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_found", F.last("_right", ignorenulls=True).over(order)).filter(F.col("_side") == 1)
+    if n_hot:
+        found = found.join(_carried(both, keys, cols), grouped, "left")
+        found = found.withColumn("_found", F.coalesce("_found", "_carry"))
+    return found.select(
+        *[F.col("_ts").alias(c) if c == ts else F.col(c) for c in left.columns],
+        *[F.col(f"_found.{c}").alias(c) for c in cols],
+    )
+
 
-    def micros(c: Column) -> Column:
-        return F.unix_micros(c.cast("timestamp"))
+_MANY_KEYS = 200_000
+_FINER = 16
 
-    times = left.select(F.col(ts).alias("_ts")).unionByName(right.select(F.col(right_ts).alias("_ts")))
-    span = micros(F.max("_ts")) - micros(F.min("_ts")) + 1
-    buckets = F.ceil(F.count("_ts") / F.lit(float(rows_per_bucket)))
-    width = times.agg(F.greatest(F.ceil(span / F.greatest(buckets, F.lit(1))), F.lit(1)).alias("_width")).scalar()
-    both = both.withColumn("_bucket", F.floor(micros(F.col("_ts")) / width))
 
-    within = Window.partitionBy(*keys, "_bucket").orderBy("_ts", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    matched = both.withColumn("_match", F.last("_right", ignorenulls=True).over(within)).filter(F.col("_side") == 1)
+def _micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
-    # A null ordering is skipped by max_by, so left rows only keep their bucket alive.
-    # One max_by per column, not one of a struct, keeps fixed-width columns in a hash aggregate.
+
+def _hot_keys(times: DataFrame, keys: list[str], rows_per_task: int) -> tuple[DataFrame, int]:
+    """Keys with too many rows for one task: start and bucket width in microseconds."""
+    counts = times.groupBy(*keys).agg(
+        F.count("_ts").alias("_n"), F.min(_micros("_ts")).alias("_from"), F.max(_micros("_ts")).alias("_to")
+    )
+    pieces = F.ceil(F.col("_n") * _FINER / F.lit(rows_per_task))
+    width = F.greatest(F.ceil((F.col("_to") - F.col("_from") + 1) / pieces), F.lit(1))
+    hot = counts.filter(F.col("_n") > rows_per_task).select(*keys, "_from", width.alias("_width"))
+    return measured(hot, _MANY_KEYS)
+
+
+def _carried(both: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """For each bucket of a hot key, the last right row of the buckets before it. Left
+    rows have no ordering here, so they only keep their bucket alive. One max_by per
+    column, not one of a struct, keeps fixed-width columns in a hash aggregate."""
     at = F.when(F.col("_side") == 0, F.col("_ts"))
-    ends = both.groupBy(*keys, "_bucket").agg(
+    ends = both.filter(F.col("_bucket").isNotNull()).groupBy(*keys, "_bucket").agg(
         F.max(at).alias("_at"), *[F.max_by(f"_right.{c}", at).alias(f"_end_{c}") for c in cols]
     )
     end = F.when(F.col("_at").isNotNull(), F.struct(*[F.col(f"_end_{c}").alias(c) for c in cols]))
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*keys, "_bucket", F.last(end, ignorenulls=True).over(earlier).alias("_carry"))
-
-    found = matched.join(carried, [*keys, "_bucket"], "left").withColumn("_found", F.coalesce("_match", "_carry"))
-    names = {ts: F.col("_ts"), **{c: F.col(f"_left.{c}") for c in other}}
-    return found.select(
-        *[F.col(c) if c in keys else names[c].alias(c) for c in left.columns],
-        *[F.col(f"_found.{c}").alias(c) for c in cols],
-    )
+    return ends.select(*keys, "_bucket", F.last(end, ignorenulls=True).over(earlier).alias("_carry"))
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:

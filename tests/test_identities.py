@@ -117,8 +117,8 @@ def test_missing_dates_brute_force(spark):
     assert len(found) == len(set(found)) and set(found) == expected
 
 
-@pytest.mark.parametrize("rows_per_bucket", [1, 7, 50, 10**6])
-def test_asof_join_brute_force(spark, rows_per_bucket):
+@pytest.mark.parametrize("rows_per_task", [1, 7, 50, 10**6])
+def test_asof_join_brute_force(spark, rows_per_task):
     """One key holds most rows; some left rows lie before every right row, some keys
     have no right rows, and times coincide."""
     rng = random.Random(5)
@@ -133,7 +133,7 @@ def test_asof_join_brute_force(spark, rows_per_bucket):
     out = joins.asof_join(
         spark.createDataFrame(left, "k string, ts timestamp_ntz, id int"),
         spark.createDataFrame(right, "k string, at timestamp_ntz, v int"), "k", "ts", ["v", "at"], right_ts="at",
-        rows_per_bucket=rows_per_bucket)
+        rows_per_task=rows_per_task)
     expected = []
     for k, t, i in left:
         before = [(a, v) for kk, a, v in right if kk == k and a <= t]
@@ -173,11 +173,9 @@ def test_bars_take_the_last_row_by_time_then_id(spark):
         assert rows(s.daily_bars(df, "k", "ts", "v", "id")) == [("a", date(2024, 1, 1), 20.0, 60.0, 3)]
 
 
-def test_recency_of_extreme_ids(spark):
-    big = 2**63 - 1
-    data = [(datetime(2024, 1, 1, 0, 0, 0, 1), -big - 1, "later"), (datetime(2024, 1, 1), big, "earlier")]
-    df = spark.createDataFrame(data, "ts timestamp_ntz, id bigint, name string")
-    assert df.agg(F.max_by("name", M.recency(df, "ts", "id"))).first()[0] == "later"
+def test_bars_of_dated_rows_take_the_largest_id(spark):
+    df = spark.createDataFrame([("a", day(0), -5, 1.0), ("a", day(0), -9, 2.0)], "k string, d date, id bigint, v double")
+    assert rows(s.daily_bars(df, "k", "d", "v", "id")) == [("a", day(0), 1.0, 3.0, 2)]
 
 
 def test_outliers_with_and_without_broadcast(spark, monkeypatch):

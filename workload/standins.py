@@ -34,14 +34,18 @@ def lookup(col: str, mapping: dict) -> F.Column:
     return label
 
 
+def _orders(spark: SparkSession, sf_dir: str, key: F.Column, name: str) -> DataFrame:
+    """Order dates carry no time of day, so the order key decides which order is last."""
+    return table(spark, sf_dir, "orders").select(key.alias(name), F.to_date("o_orderdate").alias("day"), "o_totalprice", "o_orderkey")
+
+
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "asset_id")
-    return daily_bars(orders, "asset_id", "o_orderdate", "o_totalprice", "o_orderkey")
+    return daily_bars(_orders(spark, sf_dir, F.col("o_orderstatus"), "asset_id"), "asset_id", "day", "o_totalprice", "o_orderkey")
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").withColumn("series_key", lookup("o_orderpriority", SERIES_OF))
-    bars = daily_bars(orders, "series_key", "o_orderdate", "o_totalprice", "o_orderkey", price="numeric_value")
+    orders = _orders(spark, sf_dir, lookup("o_orderpriority", SERIES_OF), "series_key")
+    bars = daily_bars(orders, "series_key", "day", "o_totalprice", "o_orderkey", price="numeric_value")
     return bars.select("series_key", "date", "numeric_value", "n_rows")
 
 
