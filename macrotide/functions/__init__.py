@@ -23,14 +23,16 @@ from macrotide.functions.time import (
     format_day,
     format_iso,
     format_snapshot,
+    from_epoch,
     parse_day,
     parse_iso,
     parse_snapshot,
+    seconds_between,
 )
 
 __all__ = [
     "bool_text", "byte_length", "cents", "comma_list", "exact_avg", "exact_sum", "finite",
-    "format_day", "format_iso", "format_snapshot", "map_get", "parse_day", "parse_iso",
+    "format_day", "format_iso", "format_snapshot", "from_epoch", "map_get", "parse_day", "parse_iso",
     "parse_snapshot", "percent", "recency", "safe_corr", "safe_div", "safe_double", "safe_long",
-    "slug",
+    "seconds_between", "slug",
 ]

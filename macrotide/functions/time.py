@@ -39,3 +39,17 @@ def parse_snapshot(c: Column | str) -> Column:
 
 def format_snapshot(c: Column | str) -> Column:
     return F.date_format(column(c), SNAPSHOT)
+
+
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
+def from_epoch(seconds: Column | str) -> Column:
+    """Zoneless UTC time of a Unix time in seconds, whatever the session zone."""
+    return F.expr(EPOCH) + F.make_dt_interval(secs=column(seconds))
+
+
+def seconds_between(start: Column | str, end: Column | str) -> Column:
+    """Exact seconds from one time to another, as a decimal. The difference of two
+    zoneless times is an interval, so no session zone and no clock change enters."""
+    return (column(end) - column(start)).cast("interval second").cast("decimal(18,6)")

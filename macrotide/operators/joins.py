@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from macrotide.functions import seconds_between
 from macrotide.operators.clean import with_series_meta
 from macrotide.operators.common import Names, as_list, by_key, measured
 from macrotide.operators.series import indicator_trend
@@ -91,7 +92,7 @@ def asof_join(
     if n_hot:
         # At most total / rows_per_task keys are hot; still broadcast only if few.
         spans = F.broadcast(hot) if n_hot <= _MANY_KEYS else hot
-        bucket = F.floor((_micros("_ts") - F.col("_from")) / F.col("_width"))
+        bucket = F.floor(seconds_between("_from", "_ts") / F.col("_width")).cast("bigint")
         both = both.join(spans, keys, "left").withColumn("_bucket", bucket).drop("_from", "_width")
         grouped = [*keys, "_bucket"]
 
@@ -110,17 +111,11 @@ _MANY_KEYS = 200_000
 _FINER = 16
 
 
-def _micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
-
-
 def _hot_keys(times: DataFrame, keys: list[str], rows_per_task: int) -> tuple[DataFrame, int]:
-    """Keys with too many rows for one task: start and bucket width in microseconds."""
-    counts = times.groupBy(*keys).agg(
-        F.count("_ts").alias("_n"), F.min(_micros("_ts")).alias("_from"), F.max(_micros("_ts")).alias("_to")
-    )
+    """Keys with too many rows for one task: first time and bucket width in seconds."""
+    counts = times.groupBy(*keys).agg(F.count("_ts").alias("_n"), F.min("_ts").alias("_from"), F.max("_ts").alias("_to"))
     pieces = F.ceil(F.col("_n") * _FINER / F.lit(rows_per_task))
-    width = F.greatest(F.ceil((F.col("_to") - F.col("_from") + 1) / pieces), F.lit(1))
+    width = F.greatest(seconds_between("_from", "_to").cast("double") / pieces, F.lit(1e-6))
     hot = counts.filter(F.col("_n") > rows_per_task).select(*keys, "_from", width.alias("_width"))
     return measured(hot, _MANY_KEYS)
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.functions import safe_div
+from macrotide.functions import safe_div, seconds_between
 from macrotide.operators.common import Names, as_list, broadcast_if_small
 from macrotide.operators.joins import orphans
 
@@ -45,7 +45,7 @@ def check_freshness(df: DataFrame, key: Names, ts: str, asof: datetime | str, ma
     """Newest row of each key, its age at ``asof`` in hours, and whether it is too old."""
     asof = F.lit(str(asof)).cast("timestamp_ntz")
     newest = df.groupBy(*as_list(key)).agg(F.max(ts).cast("timestamp_ntz").alias("newest"))
-    aged = newest.withColumn("age_hours", F.timestamp_diff("HOUR", F.col("newest"), asof))
+    aged = newest.withColumn("age_hours", F.floor(seconds_between("newest", asof) / 3600).cast("bigint"))
     return aged.withColumn("is_stale", F.col("age_hours") > max_age_hours)
 
 

@@ -17,9 +17,24 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Stream state on local disk with change logs, so that it can outgrow memory.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
+def sized_settings(shuffle_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle settings for a job that shuffles about ``shuffle_bytes``: enough initial
+    partitions that each fits a task's memory, which adaptive execution merges again
+    where a shuffle turns out smaller."""
+    partitions = max(2 * cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def get_session(app_name: str = "macrotide", master: str | None = None, **extra: str) -> SparkSession:
     """Session with the settings above; ``extra`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)

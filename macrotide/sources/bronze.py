@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macrotide.functions import parse_snapshot, safe_double, safe_long
+from macrotide.functions import from_epoch, parse_snapshot, safe_double, safe_long
 from macrotide.sources import schemas
 
 Paths = str | list[str]
@@ -123,7 +123,7 @@ def read_mempool_snapshots(spark: SparkSession, path: Paths) -> DataFrame:
 def read_blocks(spark: SparkSession, path: Paths) -> DataFrame:
     """One row per listed block, with its time as ``block_ts``."""
     blocks = with_snapshot_ts(read_json(spark, path, schemas.BLOCK))
-    return blocks.withColumn("block_ts", F.timestamp_seconds("timestamp").cast("timestamp_ntz")).drop("timestamp")
+    return blocks.withColumn("block_ts", from_epoch("timestamp")).drop("timestamp")
 
 
 def read_mempool_txs(spark: SparkSession, path: Paths) -> DataFrame:

@@ -228,3 +228,17 @@ def test_network_state_takes_each_sources_newest(spark):
     b = spark.createDataFrame([("x", datetime(2024, 1, 2)), ("y", datetime(2023, 1, 1))], "s string, t timestamp_ntz")
     row = joins.network_stats({"a": (a, "at"), "b": (b, "t")}).first()
     assert (row.a.n, row.b.s) == (2, "x")
+
+
+def test_zoneless_times_ignore_the_session_zone(spark):
+    """02:30 does not exist on that day in the session's zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("20240310_023000", 1710037800)], "stamp string, unix bigint")
+        got = df.select(M.parse_snapshot("stamp").alias("a"), M.from_epoch("unix").alias("b"))
+        gap = got.select("a", "b", M.seconds_between("a", "b").cast("int"), M.seconds_between(F.date_sub("a", 1).cast("timestamp_ntz"), "a").cast("int"))
+        at = datetime(2024, 3, 10, 2, 30)
+        assert [tuple(r) for r in gap.collect()] == [(at, at, 0, 86400 + 9000)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from macrotide.operators import clean
 from macrotide.plans import layers
-from macrotide.session import object_store_settings
+from macrotide.session import object_store_settings, sized_settings
 from tests.conftest import SF_DIR
 from tools.plans import plan_of, summary
 from workload import QUERIES, standins as st
@@ -72,3 +72,8 @@ def test_object_store_settings():
     settings = object_store_settings("http://store:9000", "user", "word")
     assert settings["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert all(name.startswith("spark.hadoop.fs.s3a.") for name in settings)
+
+
+def test_partitions_grow_with_the_shuffle():
+    assert sized_settings(1, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert sized_settings(10 << 40, 4000)["spark.sql.shuffle.partitions"] == "40960"

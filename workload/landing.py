@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from macrotide import functions as M
-from macrotide.functions.time import DAY_FIRST
+from macrotide.functions.time import DAY_FIRST, EPOCH
 from macrotide.operators import clean, network, quality, stats
 from macrotide.plans import layers
 from macrotide.session import scratch_dir
@@ -130,12 +130,12 @@ def tip_files(spark: SparkSession, sf_dir: str, path: str) -> None:
 def _chunks(rows: DataFrame, number: str) -> DataFrame:
     """Unique ascending ids in lists of a thousand, with a made-up time per list."""
     chunk = F.floor(F.col(number) / 1000)
-    return rows.withColumns({"chunk": chunk, "at": F.timestamp_seconds(F.lit(1704067200) + chunk * 60)})
+    return rows.withColumns({"chunk": chunk, "at": M.from_epoch(F.lit(1704067200) + chunk * 60)})
 
 
 @landed
 def block_files(spark: SparkSession, sf_dir: str, path: str) -> None:
-    blocks = st.blocks(spark, sf_dir).withColumn("timestamp", F.unix_seconds(F.col("block_ts").cast("timestamp")))
+    blocks = st.blocks(spark, sf_dir).withColumn("timestamp", M.seconds_between(F.expr(EPOCH), "block_ts").cast("bigint"))
     block = F.struct("id", "height", "timestamp", "tx_count", "size", "difficulty")
     lists = _chunks(blocks, "height").groupBy("at").agg(F.collect_list(block).alias("blocks"))
     _snapshots(lists, path, "recent_blocks", "at", F.col("blocks"))
