@@ -1,8 +1,8 @@
 """Time the headline queries: prints one JSON line.
 
-BENCH_SF_DIR and BENCH_CPUS choose data and cores. Each query runs once to warm up and
-then BENCH_RUNS times (3); its figure is the median. Results go to the no-op sink, so
-every row is computed and none reaches the driver."""
+BENCH_SF_DIR and BENCH_CPUS choose data and cores. All queries run once to warm up and
+then BENCH_RUNS times (3); the figure of each is the median. Results go to the no-op
+sink, so every row is computed and none reaches the driver."""
 
 from __future__ import annotations
 
@@ -41,10 +41,11 @@ def main() -> None:
         spark__sql__shuffle__partitions=str(cpus), spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    times = {}
     for name in HEADLINE:
         run(spark, name, sf_dir)
-        times[name] = round(statistics.median(run(spark, name, sf_dir) for _ in range(repeats)), 4)
+    times = {
+        name: round(statistics.median(run(spark, name, sf_dir) for _ in range(repeats)), 4) for name in HEADLINE
+    }
     spark.stop()
     print(json.dumps({
         "metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,

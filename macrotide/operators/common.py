@@ -16,6 +16,12 @@ def as_list(names: Names) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def quoted(name: str) -> str:
+    """A column name for use inside a SQL expression. Wide expressions are built as SQL
+    text: one call to the driver's JVM in place of several per part."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def by_key(key: Names, *order: str) -> WindowSpec:
     """Window of one key in time order. Day-grain input holds at most one row per
     key and calendar day, so no key can outgrow a task."""
@@ -31,11 +37,11 @@ def trailing(key: Names, order: str, rows: int) -> WindowSpec:
     return by_key(key, order).rowsBetween(-(rows - 1), Window.currentRow)
 
 
-def measured(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
-    """``df`` checkpointed to the shared folder, with its row count up to ``max_rows + 1``."""
+def measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` checkpointed to the shared folder, and its row count."""
     checkpoint_root(df.sparkSession)
     written = df.checkpoint(eager=True)
-    return written, written.limit(max_rows + 1).count()
+    return written, written.count()
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
@@ -46,5 +52,5 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     aggregate is estimated at the size of its input, so a few per-key rows would make
     the large side shuffle.
     """
-    small, n_rows = measured(df, max_rows)
+    small, n_rows = measured(df)
     return F.broadcast(small) if n_rows <= max_rows else small

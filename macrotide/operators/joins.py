@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,7 +71,8 @@ def asof_join(
     left: DataFrame, right: DataFrame, key: Names, ts: str, cols: Sequence[str], *,
     right_ts: str | None = None, rows_per_task: int = 2_000_000,
 ) -> DataFrame:
-    """Each left row with ``cols`` of the latest right row of its key at or before it.
+    """Each left row with ``cols`` of the latest right row of its key at or before it;
+    null keys and times match nothing.
 
     Both sides are put in one time order per key, and the last right row is carried
     forward to the left rows: one exchange, no range join. Keys are counted first. A key
@@ -82,19 +84,21 @@ def asof_join(
     right_ts = right_ts or ts
     other = [c for c in left.columns if c not in keys and c != ts]
     left_rows = left.select(*keys, F.col(ts).alias("_ts"), F.lit(1).alias("_side"), *other)
-    right_rows = right.select(
+    right_rows = right.dropna(subset=[*keys, right_ts]).select(
         *keys, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), F.struct(*cols).alias("_right")
     )
     both = left_rows.unionByName(right_rows, allowMissingColumns=True)
 
-    hot, n_hot = _hot_keys(both.select(*keys, "_ts"), keys, rows_per_task)
-    grouped = keys
+    hot, n_hot = _hot_keys(both.select(*keys, "_ts").dropna(subset=keys), keys, rows_per_task)
+    # Left rows without a key find nothing wherever they are, so they are spread out.
+    keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    bucket = F.when(keyless, F.pmod(F.hash("_ts", *other), F.lit(1024))).cast("bigint")
     if n_hot:
         # At most total / rows_per_task keys are hot; still broadcast only if few.
-        spans = F.broadcast(hot) if n_hot <= _MANY_KEYS else hot
-        bucket = F.floor(seconds_between("_from", "_ts") / F.col("_width")).cast("bigint")
-        both = both.join(spans, keys, "left").withColumn("_bucket", bucket).drop("_from", "_width")
-        grouped = [*keys, "_bucket"]
+        both = both.join(F.broadcast(hot) if n_hot <= _MANY_KEYS else hot, keys, "left")
+        bucket = F.coalesce(bucket, F.floor(seconds_between("_from", "_ts") / F.col("_width")).cast("bigint"))
+    both = both.withColumn("_bucket", bucket).drop("_from", "_width")
+    grouped = [*keys, "_bucket"]
 
     order = Window.partitionBy(*grouped).orderBy("_ts", "_side").rowsBetween(Window.unboundedPreceding, 0)
     found = both.withColumn("_found", F.last("_right", ignorenulls=True).over(order)).filter(F.col("_side") == 1)
@@ -117,7 +121,7 @@ def _hot_keys(times: DataFrame, keys: list[str], rows_per_task: int) -> tuple[Da
     pieces = F.ceil(F.col("_n") * _FINER / F.lit(rows_per_task))
     width = F.greatest(seconds_between("_from", "_to").cast("double") / pieces, F.lit(1e-6))
     hot = counts.filter(F.col("_n") > rows_per_task).select(*keys, "_from", width.alias("_width"))
-    return measured(hot, _MANY_KEYS)
+    return measured(hot)
 
 
 def _carried(both: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.functions import percent, safe_corr, safe_div
-from macrotide.operators.common import Names, as_list, by_key
+from macrotide.operators.common import Names, as_list, by_key, quoted
 from macrotide.operators.series import daily_change_pct, drawdown
 
 Pair = tuple[str, str]
@@ -18,7 +18,7 @@ Pair = tuple[str, str]
 def pivot_series(df: DataFrame, keys: Sequence[str], by: Names = "date", series: str = "series_key", value: str = "numeric_value") -> DataFrame:
     """Tall to wide, one column per series key. Conditional maxima need one exchange;
     ``pivot()`` would plan two."""
-    wide = [F.max(F.when(F.col(series) == k, F.col(value))).alias(k) for k in keys]
+    wide = [F.expr(f"max(CASE WHEN {quoted(series)} = '{k}' THEN {quoted(value)} END) AS {quoted(k)}") for k in keys]
     return df.groupBy(*as_list(by)).agg(*wide)
 
 
@@ -114,13 +114,13 @@ def correlate_pairs(df: DataFrame, pairs: Sequence[Pair], by: Names = ()) -> Dat
     a few dozen pairs exceed what Spark compiles.
     """
     by = as_list(by)
-    values = [
-        F.struct(F.lit(i).alias("_pair"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    values = ", ".join(
+        f"struct({i} AS _pair, CAST({quoted(x)} AS DOUBLE) AS _x, CAST({quoted(y)} AS DOUBLE) AS _y)"
         for i, (x, y) in enumerate(pairs)
-    ]
-    spread = df.select(*by, F.inline(F.array(*values)))
+    )
+    spread = df.select(*by, F.expr(f"inline(array({values}))"))
     stats = spread.groupBy(*by, "_pair").agg(safe_corr("_x", "_y").alias("r"), _both("_x", "_y").alias("n"))
-    names = [F.array(*[F.lit(pair[side]) for pair in pairs])[F.col("_pair")] for side in (0, 1)]
+    names = [F.lit([pair[side] for pair in pairs])[F.col("_pair")] for side in (0, 1)]
     return stats.select(
         *by, names[0].alias("x"), names[1].alias("y"), "r", (F.col("r") * F.col("r")).alias("r2"), "n"
     )
@@ -154,8 +154,8 @@ def correlation_by_regime(df: DataFrame, regime: str, pairs: Sequence[Pair]) ->
 def lagged_correlation(df: DataFrame, x: str, y: str, lags: Sequence[int], key: Names, order: str = "date") -> DataFrame:
     """Correlation of ``y`` with ``x`` of k rows before, for each k: rows (lag, r, r2, n).
     All lags share one window, all correlations one aggregate."""
-    window = by_key(key, order)
-    shifted = df.select(y, *[F.lag(x, k).over(window).alias(f"_x{k}") for k in lags])
+    over = f"OVER (PARTITION BY {', '.join(map(quoted, as_list(key)))} ORDER BY {quoted(order)})"
+    shifted = df.selectExpr(quoted(y), *[f"lag({quoted(x)}, {k}) {over} AS _x{k}" for k in lags])
     pairs = correlate_pairs(shifted, [(f"_x{k}", y) for k in lags])
     return pairs.select(F.substring_index("x", "_x", -1).cast("int").alias("lag"), "r", "r2", "n")
 

@@ -142,6 +142,15 @@ def test_asof_join_brute_force(spark, rows_per_task):
     assert sorted(map(repr, (tuple(r) for r in out.collect()))) == sorted(map(repr, expected))
 
 
+@pytest.mark.parametrize("rows_per_task", [1, 10**6])
+def test_asof_join_matches_no_null(spark, rows_per_task):
+    t = datetime(2024, 1, 1)
+    left = spark.createDataFrame([("a", t, 1), ("a", None, 2), (None, t, 3)], "k string, ts timestamp_ntz, id int")
+    right = spark.createDataFrame([("a", None, 7), (None, t, 8), ("b", t, 9)], "k string, ts timestamp_ntz, v int")
+    out = joins.asof_join(left, right, "k", "ts", ["v"], rows_per_task=rows_per_task)
+    assert sorted((r.id, r.v) for r in out.collect()) == [(1, None), (2, None), (3, None)]
+
+
 def test_asof_join_without_other_left_columns(spark):
     left = spark.createDataFrame([("a", datetime(2024, 1, 2))], "k string, ts timestamp_ntz")
     right = spark.createDataFrame([("a", datetime(2024, 1, 1), 5)], "k string, ts timestamp_ntz, v int")

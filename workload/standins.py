@@ -28,10 +28,7 @@ TARGET_OF = {"view": 1, "click": 2, "signup": 3, "purchase": 6, "error": 144}
 
 
 def lookup(col: str, mapping: dict) -> F.Column:
-    label = F.lit(None)
-    for old, new in mapping.items():
-        label = F.when(F.col(col) == old, F.lit(new)).otherwise(label)
-    return label
+    return F.expr(_case(col, mapping))
 
 
 def _orders(spark: SparkSession, sf_dir: str, key: F.Column, name: str) -> DataFrame:
