@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from macrotide import functions as M
 from macrotide.functions.time import DAY_FIRST, EPOCH
-from macrotide.operators import clean, network, quality, stats
+from macrotide.operators import clean, network, quality
 from macrotide.plans import layers
 from macrotide.session import scratch_dir
 from macrotide.sources import bronze, sinks, tables
 from workload import standins as st
-from workload.registry import query, rounded, table
+from workload.registry import query, table
 from workload.standins import BLOCKS, CATALOG, PRICES, SERIES_ROWS, with_
 
 FIRST_RUN, SECOND_RUN = "2024-01-01T00:00:00", "2024-02-01T00:00:00"
