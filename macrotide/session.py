@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -79,3 +80,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{checkpoint_root(spark)}/macrotide-{label}-{uuid.uuid4().hex}"
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from the place where the driver has it. Where
+    executors have no such place, install the package there or pass it with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
