@@ -206,10 +206,10 @@ RULES = """VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www
 
 OP10_SQL = rf"""
 WITH p AS (
-  SELECT page_id, coalesce(url, '') AS url, instr(coalesce(url, ''), '://') AS at FROM pages
+  SELECT page_id, coalesce(url, '') AS url, instr(coalesce(url, ''), '://') AS mark FROM pages
 ), h AS (
-  SELECT page_id, CASE WHEN at > 0 THEN regexp_extract(substr(url, at + 3), '^[^/?#]*') ELSE '' END AS raw,
-    CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest FROM p
+  SELECT page_id, CASE WHEN mark > 0 THEN regexp_extract(substr(url, mark + 3), '^[^/?#]*') ELSE '' END AS raw,
+    CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest FROM p
 ), q AS (
   SELECT page_id, {_LOWER.format("raw")} AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h
 ), rules(host, path, verdict) AS ({RULES}),
