@@ -1,9 +1,6 @@
 """Column helpers. All return ``Column`` and stay inside generated code."""
 
 from macrotide.functions.numeric import (
-    cents,
-    exact_avg,
-    exact_sum,
     finite,
     percent,
     recency,
@@ -31,7 +28,7 @@ from macrotide.functions.time import (
 )
 
 __all__ = [
-    "bool_text", "byte_length", "cents", "comma_list", "exact_avg", "exact_sum", "finite",
+    "bool_text", "byte_length", "comma_list", "finite",
     "format_day", "format_iso", "format_snapshot", "from_epoch", "map_get", "parse_day", "parse_iso",
     "parse_snapshot", "percent", "recency", "safe_corr", "safe_div", "safe_double", "safe_long",
     "seconds_between", "slug",

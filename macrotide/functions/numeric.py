@@ -43,20 +43,6 @@ def safe_corr(x: Column | str, y: Column | str) -> Column:
     return F.try_divide(F.covar_samp(px, py), F.stddev_samp(px) * F.stddev_samp(py))
 
 
-def cents(c: Column | str) -> Column:
-    """Money as whole cents. Integer sums do not depend on row order."""
-    return F.floor(column(c) * F.lit(100.0) + F.lit(0.5))
-
-
-def exact_sum(c: Column | str) -> Column:
-    return F.sum(cents(c)) / F.lit(100.0)
-
-
-def exact_avg(c: Column | str) -> Column:
-    c = column(c)
-    return F.try_divide(F.sum(cents(c)), F.count(c)) / F.lit(100.0)
-
-
 def recency(df: DataFrame, ts: str, tie: str | None = None) -> Column:
     """Ordering of the rows of one day for "latest wins": later ``ts``, then larger ``tie``.
 

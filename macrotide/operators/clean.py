@@ -50,11 +50,12 @@ def normalize_series(df: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def with_series_meta(df: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Series id and category of each known series key. No hint: the optimizer knows the
-    catalogue's size and broadcasts it while it is small."""
+    """Series id and category of each series key. A key outside the catalogue keeps its rows,
+    with both null. No hint: the optimizer knows the catalogue's size and broadcasts it while
+    it is small."""
     meta = catalog.select("series_key", "series_id", "category")
     kept = [c for c in df.columns if c not in ("series_id", "category")]
-    return df.select(*kept).join(meta, "series_key")
+    return df.select(*kept).join(meta, "series_key", "left")
 
 
 def category_of_slug(df: DataFrame, catalog: DataFrame, col: str = "category") -> DataFrame:
@@ -104,9 +105,11 @@ def available_series(payloads: DataFrame) -> DataFrame:
     return payloads.filter(F.col("payload").isNotNull() & F.col("payload.count").isNotNull())
 
 
-def cap_snapshots(df: DataFrame, col: str, n: int = 10_000) -> DataFrame:
-    """Snapshots whose list holds fewer than ``n`` entries."""
-    return df.filter(F.size(col) < n)
+def snapshot_sizes(df: DataFrame, col: str, n: int) -> DataFrame:
+    """``list_size`` of each snapshot and whether it is ``over_limit``, with ``n`` entries or
+    more (null for a null list). All rows stay; what to do with large ones is the caller's choice."""
+    size = F.when(F.col(col).isNotNull(), F.size(col))
+    return df.withColumn("list_size", size).withColumn("over_limit", F.col("list_size") >= n)
 
 
 def scatter(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -132,9 +135,10 @@ _LOWEST = {
 }
 
 
-def latest_version(df: DataFrame, keys: Names, order: Names) -> DataFrame:
+def latest_version(df: DataFrame, keys: Names, order: Names, apart: Names = ()) -> DataFrame:
     """One row per key: the row with the largest ``order`` columns, compared in turn;
-    nulls rank lowest.
+    nulls rank lowest, and of equal ranks either row may stand. Rows with a null in one of
+    the ``apart`` keys are versions of nothing: each stays.
 
     ``max_by`` keeps one row per key and task before the shuffle, so a key with very
     many versions costs no more than any other. With fixed-width columns and a single
@@ -142,6 +146,10 @@ def latest_version(df: DataFrame, keys: Names, order: Names) -> DataFrame:
     comparison, so the parts of a row stay together.
     """
     keys, order = as_list(keys), as_list(order)
+    if apart:
+        unknown = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in as_list(apart)])
+        numbered = df.withColumn("_apart", F.when(unknown, F.monotonically_increasing_id()))
+        return latest_version(numbered, [*keys, "_apart"], order).select(*df.columns)
     rest = [c for c in df.columns if c not in keys]
     kinds = {c: df.schema[c].dataType.simpleString() for c in df.columns}
     if len(order) == 1 and all(kinds[c] in _LOWEST for c in {*rest, *order}):

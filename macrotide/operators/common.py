@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, WindowSpec
-from pyspark.sql import functions as F
 
-from macrotide.session import checkpoint_root
+from macrotide.session import scratch_dir
 
 Names = str | Sequence[str]
 
@@ -37,20 +36,9 @@ def trailing(key: Names, order: str, rows: int) -> WindowSpec:
     return by_key(key, order).rowsBetween(-(rows - 1), Window.currentRow)
 
 
-def measured(df: DataFrame) -> tuple[DataFrame, int]:
-    """``df`` checkpointed to the shared folder, and its row count."""
-    checkpoint_root(df.sparkSession)
-    written = df.checkpoint(eager=True)
-    return written, written.count()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast ``df`` only once its size is known.
-
-    A side of more than ``max_rows`` rows keeps the ordinary shuffled join, where
-    adaptive execution splits skewed keys. Planning alone cannot decide this: an
-    aggregate is estimated at the size of its input, so a few per-key rows would make
-    the large side shuffle.
-    """
-    small, n_rows = measured(df)
-    return F.broadcast(small) if n_rows <= max_rows else small
+def written(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` as a table in the shared folder, whose bytes the planner knows, and its row count."""
+    path = scratch_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    table = df.sparkSession.read.parquet(path)
+    return table, table.count()

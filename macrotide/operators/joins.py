@@ -9,21 +9,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from macrotide.functions import seconds_between
 from macrotide.operators.clean import with_series_meta
-from macrotide.operators.common import Names, as_list, by_key, measured
+from macrotide.operators.common import Names, as_list, by_key, written
 from macrotide.operators.series import indicator_trend
 
 
 def fact_prices(prices: DataFrame, econ_wide: DataFrame, on: str = "date") -> DataFrame:
-    """Prices with the economic context of their day. The wide side has one row per
-    calendar day; its measured size decides between broadcast and shuffle."""
-    return prices.join(econ_wide, on, "left")
+    """Prices with the economic context of their day. The wide side has one row per calendar
+    day. Its estimate is the size of its input, but its real size is bounded by the calendar
+    and its columns: while a millennium of it is small, it is broadcast and no price moves."""
+    row_bytes = sum(_FIXED_BYTES.get(f.dataType.simpleString(), _BROADCAST_BYTES) for f in econ_wide.schema)
+    small = row_bytes * 366 * 1000 <= _BROADCAST_BYTES
+    return prices.join(F.broadcast(econ_wide) if small else econ_wide, on, "left")
+
+
+_BROADCAST_BYTES = 256 << 20
+_FIXED_BYTES = {"date": 16, "double": 16, "float": 16, "bigint": 16, "int": 16, "boolean": 16, "timestamp": 16, "timestamp_ntz": 16}
 
 
 def densify(df: DataFrame, key: Names, order: str = "date", start: date | str | None = None, end: date | str | Column | None = None) -> DataFrame:
     """A row for every day from a key's first to its last, new rows null besides the
-    key and date; ``start`` and ``end`` widen the range.
+    key and date; ``start`` and ``end`` widen the range. Rows with a null date stay as they are.
 
     Each row yields the days up to the next row of its key, so one window does the
     work of a calendar join.
@@ -42,10 +48,11 @@ def densify(df: DataFrame, key: Names, order: str = "date", start: date | str |
     # greatest() keeps rows that share a date as they are instead of counting backwards.
     upper = F.when(following.isNotNull(), F.greatest(F.date_sub(following, 1), F.col(order))).otherwise(upper)
 
-    spread = df.withColumns({"_lower": lower, "_upper": upper}).withColumn(
-        "_day", F.explode(F.sequence("_lower", "_upper", F.expr("interval 1 day")))
+    dated = F.col(order).isNotNull()
+    spread = df.withColumns({"_lower": F.when(dated, lower), "_upper": F.when(dated, upper)}).withColumn(
+        "_day", F.explode_outer(F.sequence("_lower", "_upper", F.expr("interval 1 day")))
     )
-    own = F.col("_day") == F.col(order)
+    own = F.col("_day").eqNullSafe(F.col(order))
     values = [
         F.col("_day").alias(order) if c == order
         else F.col(c) if c in keys
@@ -76,60 +83,63 @@ def asof_join(
 
     Both sides are put in one time order per key, and the last right row is carried
     forward to the left rows: one exchange, no range join. Keys are counted first. A key
-    with more than ``rows_per_task`` rows is cut into buckets of time, a sixteenth of that
-    size on average to leave room for bursts; one row per bucket then carries the last
-    right row into the buckets after it.
+    with more than ``rows_per_task`` rows is cut at quantiles of its own times, so a burst is
+    cut as finely as its rows demand; one row per bucket then carries the last right row
+    into the buckets after it. Rows of one key at one instant stay together. Left rows that
+    can match nothing pass by the exchange.
     """
     keys, cols = as_list(key), list(cols)
     right_ts = right_ts or ts
     other = [c for c in left.columns if c not in keys and c != ts]
-    left_rows = left.select(*keys, F.col(ts).alias("_ts"), F.lit(1).alias("_side"), *other)
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, ts]])
+    left_rows = left.filter(known).select(*keys, F.col(ts).alias("_ts"), F.lit(1).alias("_side"), *other)
     right_rows = right.dropna(subset=[*keys, right_ts]).select(
         *keys, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), F.struct(*cols).alias("_right")
     )
     both = left_rows.unionByName(right_rows, allowMissingColumns=True)
 
-    hot, n_hot = _hot_keys(both.select(*keys, "_ts").dropna(subset=keys), keys, rows_per_task)
-    # Left rows without a key find nothing wherever they are, so they are spread out.
-    keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    bucket = F.when(keyless, F.pmod(F.hash("_ts", *other), F.lit(1024))).cast("bigint")
-    if n_hot:
-        # At most total / rows_per_task keys are hot; still broadcast only if few.
-        both = both.join(F.broadcast(hot) if n_hot <= _MANY_KEYS else hot, keys, "left")
-        bucket = F.coalesce(bucket, F.floor(seconds_between("_from", "_ts") / F.col("_width")).cast("bigint"))
-    both = both.withColumn("_bucket", bucket).drop("_from", "_width")
-    grouped = [*keys, "_bucket"]
+    borders = time_borders(both.select(*keys, "_ts"), keys, rows_per_task)
+    if borders is None:
+        both = both.withColumn("_bucket", F.lit(0))
+    else:
+        cut = F.size(F.filter("_borders", lambda b: b < F.col("_ts")))
+        both = both.join(borders, keys, "left").withColumn("_bucket", F.coalesce(cut, F.lit(0))).drop("_borders")
+    grouped = [*keys, "_bucket"] if borders is not None else keys
 
     order = Window.partitionBy(*grouped).orderBy("_ts", "_side").rowsBetween(Window.unboundedPreceding, 0)
     found = both.withColumn("_found", F.last("_right", ignorenulls=True).over(order)).filter(F.col("_side") == 1)
-    if n_hot:
-        found = found.join(_carried(both, keys, cols), grouped, "left")
+    if borders is not None:
+        found = found.join(_carried(both.join(borders, keys, "left_semi"), keys, cols), grouped, "left")
         found = found.withColumn("_found", F.coalesce("_found", "_carry"))
-    return found.select(
+    matched = found.select(
         *[F.col("_ts").alias(c) if c == ts else F.col(c) for c in left.columns],
         *[F.col(f"_found.{c}").alias(c) for c in cols],
     )
+    nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in cols]
+    return matched.union(left.filter(~known).select(*left.columns, *nothing))
 
 
-_MANY_KEYS = 200_000
-_FINER = 16
-
-
-def _hot_keys(times: DataFrame, keys: list[str], rows_per_task: int) -> tuple[DataFrame, int]:
-    """Keys with too many rows for one task: first time and bucket width in seconds."""
-    counts = times.groupBy(*keys).agg(F.count("_ts").alias("_n"), F.min("_ts").alias("_from"), F.max("_ts").alias("_to"))
-    pieces = F.ceil(F.col("_n") * _FINER / F.lit(rows_per_task))
-    width = F.greatest(seconds_between("_from", "_to").cast("double") / pieces, F.lit(1e-6))
-    hot = counts.filter(F.col("_n") > rows_per_task).select(*keys, "_from", width.alias("_width"))
-    return measured(hot)
+def time_borders(times: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame | None:
+    """For each key with too many rows for one task, the times (``_borders``) that cut it into
+    buckets of about half of ``rows_per_task``; None if there is no such key. The table is
+    written, so the planner knows its bytes and broadcasts it only while it is small."""
+    counts = times.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
+    hot, n_hot = written(counts)
+    if not n_hot:
+        return None
+    most = hot.agg(F.max("_n")).first()[0]
+    pieces = -(-2 * most // rows_per_task)
+    shares = F.lit([k / pieces for k in range(1, pieces)])
+    cuts = F.percentile_approx("_ts", shares, max(10_000, 20 * pieces)).alias("_borders")
+    return written(times.join(hot.select(*keys), keys).groupBy(*keys).agg(cuts))[0]
 
 
 def _carried(both: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """For each bucket of a hot key, the last right row of the buckets before it. Left
+    """For each bucket of a cut key, the last right row of the buckets before it. Left
     rows have no ordering here, so they only keep their bucket alive. One max_by per
     column, not one of a struct, keeps fixed-width columns in a hash aggregate."""
     at = F.when(F.col("_side") == 0, F.col("_ts"))
-    ends = both.filter(F.col("_bucket").isNotNull()).groupBy(*keys, "_bucket").agg(
+    ends = both.groupBy(*keys, "_bucket").agg(
         F.max(at).alias("_at"), *[F.max_by(f"_right.{c}", at).alias(f"_end_{c}") for c in cols]
     )
     end = F.when(F.col("_at").isNotNull(), F.struct(*[F.col(f"_end_{c}").alias(c) for c in cols]))

@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.functions import exact_avg
 from macrotide.operators.common import Names, as_list
 
 # Mempool congestion levels by transaction count: the lower bound of each level.
@@ -26,7 +25,7 @@ def fee_history(df: DataFrame, grain: str = "day", ts: str = "snapshot_ts", targ
     """Fee range and mean per confirmation target and period."""
     period = F.date_trunc(grain, F.col(ts)).cast("timestamp_ntz").alias("period")
     return df.groupBy(period, target).agg(
-        F.min(fee).alias("fee_min"), exact_avg(fee).alias("fee_avg"), F.max(fee).alias("fee_max"), F.count(fee).alias("n")
+        F.min(fee).alias("fee_min"), F.avg(fee).alias("fee_avg"), F.max(fee).alias("fee_max"), F.count(fee).alias("n")
     )
 
 
@@ -45,14 +44,16 @@ def congestion(
     levelled = congestion_level(df, thresholds, load)
     counts = [F.count_if(F.col("level") == name).alias(f"n_{name}") for name in thresholds]
     windowed = levelled.groupBy(F.window(ts, width).alias("_w")).agg(
-        F.count(F.lit(1)).alias("n_snapshots"), exact_avg(load).alias("load_avg"), F.max(load).alias("load_max"), *counts
+        F.count(F.lit(1)).alias("n_snapshots"), F.avg(load).alias("load_avg"), F.max(load).alias("load_max"), *counts
     )
     hourly = congestion_level(windowed, thresholds, "load_avg")
     return hourly.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *hourly.columns[1:])
 
 
-def latest_block(df: DataFrame, by: Names = ()) -> DataFrame:
-    """The block of greatest height."""
+def latest_block(df: DataFrame, by: Names = (), tie: Names = ("block_ts", "id")) -> DataFrame:
+    """The block of greatest height; of two blocks of one height (a reorganisation) the one
+    with the larger ``tie`` columns, as far as ``df`` has them."""
     by = as_list(by)
     rest = [c for c in df.columns if c not in by]
-    return df.groupBy(*by).agg(F.max_by(F.struct(*rest), F.col("height")).alias("_b")).select(*by, "_b.*")
+    rank = F.struct("height", *[c for c in as_list(tie) if c in df.columns])
+    return df.groupBy(*by).agg(F.max_by(F.struct(*rest), rank).alias("_b")).select(*by, "_b.*")

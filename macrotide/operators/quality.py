@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.functions import safe_div, seconds_between
-from macrotide.operators.common import Names, as_list, broadcast_if_small
+from macrotide.operators.common import Names, as_list
 from macrotide.operators.joins import orphans
 
 
@@ -42,22 +42,27 @@ def check_accepted(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 
 
 def check_freshness(df: DataFrame, key: Names, ts: str, asof: datetime | str, max_age_hours: int) -> DataFrame:
-    """Newest row of each key, its age at ``asof`` in hours, and whether it is too old."""
+    """Newest row of each key, its age at ``asof`` in whole hours, and whether it is too old,
+    judged to the second."""
     asof = F.lit(str(asof)).cast("timestamp_ntz")
     newest = df.groupBy(*as_list(key)).agg(F.max(ts).cast("timestamp_ntz").alias("newest"))
-    aged = newest.withColumn("age_hours", F.floor(seconds_between("newest", asof) / 3600).cast("bigint"))
-    return aged.withColumn("is_stale", F.col("age_hours") > max_age_hours)
+    seconds = seconds_between("newest", asof)
+    return newest.withColumns(
+        {"age_hours": F.floor(seconds / 3600).cast("bigint"), "is_stale": seconds > max_age_hours * 3600}
+    )
 
 
 def check_outliers(df: DataFrame, key: Names, col: str, k: float = 4.0) -> DataFrame:
     """Rows more than ``k`` deviations from their key's mean, with the ``z`` score.
 
-    The statistics are one row per key and are joined back by broadcast when their
-    counted size allows, so the rows themselves need not move.
+    Rows with a null key are a group like any other. The statistics are one row per key;
+    adaptive execution joins them by broadcast once it has measured that they are small.
     """
     keys = as_list(key)
-    stats = df.groupBy(*keys).agg(F.avg(col).alias("_mean"), F.stddev_samp(col).alias("_sd"))
-    scored = df.join(broadcast_if_small(stats), keys).withColumn("z", safe_div(F.col(col) - F.col("_mean"), "_sd"))
+    named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    stats = df.groupBy(*named).agg(F.avg(col).alias("_mean"), F.stddev_samp(col).alias("_sd"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    scored = df.join(stats, same).withColumn("z", safe_div(F.col(col) - F.col("_mean"), "_sd"))
     return scored.filter(F.abs("z") > k).select(*df.columns, "z")
 
 

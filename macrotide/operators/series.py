@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from macrotide.functions import cents, recency, safe_div
+from macrotide.functions import recency, safe_div
 from macrotide.operators.common import Names, as_list, by_key, running, trailing
 
 
@@ -21,7 +21,8 @@ def daily_bars(
     df: DataFrame, key: Names, ts: str, value: str, tie: str | None = None, *,
     price: str = "price_usd", volume: str = "volume_usd", count: str = "n_rows",
 ) -> DataFrame:
-    """Raw rows to one row per key and day: last value, exact sum, row count.
+    """Raw rows to one row per key and day: last value, sum and count
+    of the rows that have a value; a day without any has no row.
 
     The partial aggregate leaves one row per key, day and task, so a key with a third
     of all rows is spread over every scan task before anything is shuffled.
@@ -31,7 +32,7 @@ def daily_bars(
         .groupBy(*as_list(key), F.to_date(ts).alias("date"))
         .agg(
             F.max_by(value, recency(df, ts, tie)).alias(price),
-            (F.sum(cents(value)) / F.lit(100.0)).alias(volume),
+            F.sum(value).alias(volume),
             F.count(F.lit(1)).alias(count),
         )
     )

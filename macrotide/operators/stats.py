@@ -18,7 +18,7 @@ Pair = tuple[str, str]
 def pivot_series(df: DataFrame, keys: Sequence[str], by: Names = "date", series: str = "series_key", value: str = "numeric_value") -> DataFrame:
     """Tall to wide, one column per series key. Conditional maxima need one exchange;
     ``pivot()`` would plan two."""
-    wide = [F.expr(f"max(CASE WHEN {quoted(series)} = '{k}' THEN {quoted(value)} END) AS {quoted(k)}") for k in keys]
+    wide = [F.max(F.when(F.col(series) == F.lit(k), F.col(value))).alias(k) for k in keys]
     return df.groupBy(*as_list(by)).agg(*wide)
 
 
@@ -147,17 +147,22 @@ def correlation_matrix(
     return upper.select(*as_list(by), sides, "r", "r2", "n").select(*as_list(by), "_p.x", "_p.y", "r", "r2", "n")
 
 
-def correlation_by_regime(df: DataFrame, regime: str, pairs: Sequence[Pair]) -> DataFrame:
-    return correlate_pairs(df.filter(F.col(regime).isNotNull()), pairs, by=regime)
+def correlation_by_regime(df: DataFrame, regime: str, pairs: Sequence[Pair], by: Names = ()) -> DataFrame:
+    """Correlations within each regime: of all rows together, or for each ``by`` apart."""
+    return correlate_pairs(df.filter(F.col(regime).isNotNull()), pairs, by=[*as_list(by), regime])
 
 
-def lagged_correlation(df: DataFrame, x: str, y: str, lags: Sequence[int], key: Names, order: str = "date") -> DataFrame:
-    """Correlation of ``y`` with ``x`` of k rows before, for each k: rows (lag, r, r2, n).
-    All lags share one window, all correlations one aggregate."""
+def lagged_correlation(
+    df: DataFrame, x: str, y: str, lags: Sequence[int], key: Names, order: str = "date", by: Names = ()
+) -> DataFrame:
+    """Correlation of ``y`` with ``x`` of k rows before, for each k: rows (by, lag, r, r2, n), of
+    all keys together unless ``by`` names columns. All lags share one window, all correlations
+    one aggregate."""
+    by = as_list(by)
     over = f"OVER (PARTITION BY {', '.join(map(quoted, as_list(key)))} ORDER BY {quoted(order)})"
-    shifted = df.selectExpr(quoted(y), *[f"lag({quoted(x)}, {k}) {over} AS _x{k}" for k in lags])
-    pairs = correlate_pairs(shifted, [(f"_x{k}", y) for k in lags])
-    return pairs.select(F.substring_index("x", "_x", -1).cast("int").alias("lag"), "r", "r2", "n")
+    shifted = df.selectExpr(*map(quoted, by), quoted(y), *[f"lag({quoted(x)}, {k}) {over} AS _x{k}" for k in lags])
+    pairs = correlate_pairs(shifted, [(f"_x{k}", y) for k in lags], by=by)
+    return pairs.select(*by, F.substring_index("x", "_x", -1).cast("int").alias("lag"), "r", "r2", "n")
 
 
 def price_volume_corr(df: DataFrame, key: Names, price: str = "price_usd", volume: str = "volume_usd") -> DataFrame:

@@ -16,9 +16,10 @@ from macrotide.sources.tables import SERIES_KEYS, series_catalog
 
 
 def silver_prices(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
-    """Landed price batches to one valid-or-flagged row per asset and day."""
+    """Landed price batches to one valid-or-flagged row per asset and day. Rows
+    without a readable date are flagged and each of them stays."""
     typed = normalize_prices(read_price_batches(spark, path, lines))
-    newest = latest_version(typed, ["asset_id", "date"], "collection_timestamp")
+    newest = latest_version(typed, ["asset_id", "date"], "collection_timestamp", apart="date")
     rules = {
         "price_missing": missing("price_usd"),
         "price_negative": negative("price_usd"),
@@ -29,11 +30,13 @@ def silver_prices(spark: SparkSession, path: Paths, lines: bool = False) -> Data
 
 
 def silver_series(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
-    """Landed series batches to one row per series and date. Metadata is joined after
-    the newest version is picked, so its text does not pass through the shuffle."""
+    """Landed series batches to one row per series and date, flagged where the value, the
+    date or the series itself is unknown. Metadata is joined after the newest version is
+    picked, so its text does not pass through the shuffle."""
     points = read_series_batches(spark, path, lines)
-    newest = latest_version(typed_points(points), ["series_key", "date"], "collection_timestamp")
-    return quality_flags(with_series_meta(newest, series_catalog(spark)), {"value_missing": missing("numeric_value")})
+    newest = latest_version(typed_points(points), ["series_key", "date"], "collection_timestamp", apart="date")
+    rules = {"value_missing": missing("numeric_value"), "series_unknown": missing("series_id"), "date_missing": missing("date")}
+    return quality_flags(with_series_meta(newest, series_catalog(spark)), rules)
 
 
 def economic_wide(series: DataFrame, keys: Sequence[str] = SERIES_KEYS, end: Column | str | None = None) -> DataFrame:

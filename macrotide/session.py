@@ -33,20 +33,32 @@ def sized_settings(shuffle_bytes: int, cores: int, partition_bytes: int = 256 <<
     where a shuffle turns out smaller."""
     partitions = max(2 * cores, -(-shuffle_bytes // partition_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
     }
 
 
-def get_session(app_name: str = "macrotide", master: str | None = None, **extra: str) -> SparkSession:
-    """Session with the settings above; ``extra`` keys use ``__`` for dots."""
+def get_session(
+    app_name: str = "macrotide", master: str | None = None, *, shuffle_bytes: int | None = None, cores: int | None = None, **extra: str
+) -> SparkSession:
+    """Session with the settings above; ``extra`` keys use ``__`` for dots.
+
+    ``shuffle_bytes`` is what the largest shuffle of the job moves (the input's size is a safe
+    guess) and sets the number of partitions. A session off a local master needs it, or
+    ``spark.sql.shuffle.partitions`` itself: Spark's own 200 would make tasks of terabytes."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for name, value in SETTINGS.items():
+    extra = {name.replace("__", "."): value for name, value in extra.items()}
+    settings = dict(SETTINGS)
+    if shuffle_bytes is not None:
+        settings |= sized_settings(shuffle_bytes, cores or 8)
+    elif master and not is_local(master) and "spark.sql.shuffle.partitions" not in extra:
+        raise ValueError("give shuffle_bytes or spark.sql.shuffle.partitions for a session on a cluster")
+    for name, value in settings.items():
         builder = builder.config(name, value)
     for name, value in extra.items():
-        builder = builder.config(name.replace("__", "."), value)
+        builder = builder.config(name, value)
     return builder.getOrCreate()
 
 
@@ -64,14 +76,22 @@ def object_store_settings(
     }
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder that all executors share, as the cluster names it in
-    ``spark.checkpoint.dir``. A temporary folder is made only where that is unset."""
+    ``spark.checkpoint.dir``. Where that is unset a temporary folder serves a local master; on
+    a cluster each executor would write to its own disk, so there it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not is_local(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="macrotide-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from macrotide import functions as M
-from macrotide.operators import clean, joins, ordering, quality, series as s, stats
+from macrotide.operators import clean, joins, network, ordering, quality, series as s, stats
 from macrotide.plans import layers
 from tests.conftest import SF_DIR, rows
 from workload import standins as st
@@ -187,13 +187,79 @@ def test_bars_of_dated_rows_take_the_largest_id(spark):
     assert rows(s.daily_bars(df, "k", "d", "v", "id")) == [("a", day(0), 1.0, 3.0, 2)]
 
 
-def test_outliers_with_and_without_broadcast(spark, monkeypatch):
-    data = [("a", float(i % 3)) for i in range(100)] + [("a", 50.0), ("b", 1.0), ("b", 1.0), ("c", 7.0)]
+def test_outliers_of_named_and_nameless_keys(spark):
+    data = [(k, float(i % 3)) for i in range(100) for k in ("a", None)] + [("a", 50.0), (None, 500.0), ("b", 1.0), ("b", 1.0), ("c", 7.0)]
     df = spark.createDataFrame(data, "k string, v double")
-    broadcast = rows(quality.check_outliers(df, "k", "v"))
-    monkeypatch.setattr(quality, "broadcast_if_small", lambda d: d)
-    assert rows(quality.check_outliers(df, "k", "v")) == broadcast
-    assert [r[:2] for r in broadcast] == [("a", 50.0)]
+    assert [r[:2] for r in rows(quality.check_outliers(df, "k", "v"))] == [(None, 500.0), ("a", 50.0)]
+
+
+def test_freshness_is_judged_to_the_second(spark):
+    df = spark.createDataFrame([("a", datetime(2024, 1, 1, 11, 0, 1)), ("b", datetime(2024, 1, 1, 12)), ("c", datetime(2024, 1, 1, 11, 59, 59))], "k string, ts timestamp_ntz")
+    found = quality.check_freshness(df, "k", "ts", "2024-01-02 00:00:00", 12)
+    assert rows(found.select("k", "age_hours", "is_stale")) == [("a", 12, True), ("b", 12, False), ("c", 12, True)]
+
+
+def test_small_amounts_are_not_rounded_away(spark):
+    df = spark.createDataFrame([("a", datetime(2024, 1, 1, h), v) for h, v in ((1, 0.00002), (2, 0.00003))], "k string, ts timestamp_ntz, v double")
+    assert abs(s.daily_bars(df, "k", "ts", "v").first().volume_usd - 0.00005) < 1e-15
+    fees = df.selectExpr("ts AS snapshot_ts", "1 AS target", "1.004e0 AS fee_rate")
+    assert network.fee_history(fees).first().fee_avg == 1.004
+
+
+def test_rows_without_a_date_are_versions_of_nothing(spark):
+    data = [("a", None, 1), ("a", None, 2), ("a", day(0), 1), ("a", day(0), 3)]
+    df = spark.createDataFrame(data, "k string, date date, run int")
+    assert rows(clean.latest_version(df, ["k", "date"], "run", apart="date")) == [("a", None, 1), ("a", None, 2), ("a", day(0), 3)]
+
+
+def test_densify_keeps_rows_without_a_date(spark):
+    df = spark.createDataFrame([("a", None, 1.0), ("a", day(0), 2.0), ("a", day(2), 3.0)], "k string, date date, v double")
+    assert rows(joins.densify(df, "k")) == [("a", None, 1.0), ("a", day(0), 2.0), ("a", day(1), None), ("a", day(2), 3.0)]
+
+
+def test_a_pivot_takes_any_key(spark):
+    df = spark.createDataFrame([(day(0), "it's", 1.0), (day(0), "a`b", 2.0)], "date date, series_key string, numeric_value double")
+    assert rows(stats.pivot_series(df, ["it's", "a`b"])) == [(day(0), 1.0, 2.0)]
+
+
+def test_of_two_blocks_of_one_height_the_later_stands(spark):
+    df = spark.createDataFrame([("x", 7, datetime(2024, 1, 1)), ("y", 7, datetime(2024, 1, 2)), ("z", 6, datetime(2024, 1, 3))], "id string, height bigint, block_ts timestamp_ntz")
+    assert network.latest_block(df).first().id == "y"
+
+
+def test_a_burst_is_cut_and_rows_without_a_time_pass_by(spark):
+    """99 % of a key's rows fall within one second, and as many have no time at all."""
+    second = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.when(F.col("id") % 100 == 0, F.col("id") * 10_000_000).otherwise(F.pmod(F.xxhash64("id"), F.lit(1_000_000))))
+    rows_ = spark.range(40_000).select(F.lit("k").alias("k"), second.cast("timestamp_ntz").alias("ts"), "id")
+    per_task = 4000
+    borders = joins.time_borders(rows_.withColumnRenamed("ts", "_ts"), ["k"], per_task)
+    cut = F.size(F.filter("_borders", lambda b: b < F.col("ts")))
+    sizes = [r["count"] for r in rows_.join(borders, "k").groupBy(cut.alias("b")).count().collect()]
+    assert max(sizes) <= 2 * per_task and sum(sizes) == 40_000
+    nowhere = spark.range(1000).select(F.lit("k").alias("k"), F.lit(None).cast("timestamp_ntz").alias("ts"), (-F.col("id") - 1).alias("id"))
+    left = rows_.filter("id % 2 = 0").unionByName(nowhere)
+    right = rows_.filter("id % 2 = 1").withColumnRenamed("id", "quote")
+    cut_up = joins.asof_join(left, right, "k", "ts", ["quote"], rows_per_task=per_task)
+    whole = joins.asof_join(left, right, "k", "ts", ["quote"])
+    assert rows(cut_up.select("id", "ts")) == rows(whole.select("id", "ts"))
+    # Of several quotes at one instant any may be found, so quotes are compared by their times.
+    at = right.select("quote", F.col("ts").alias("at"))
+    times = [rows(found.join(at, "quote", "left").select("id", "at")) for found in (cut_up, whole)]
+    assert times[0] == times[1]
+    assert cut_up.filter("ts IS NULL AND quote IS NOT NULL").count() == 0
+
+
+def test_next_pages_follow_from_the_last_row(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(25)], "id int, v int")
+    seen, last = [], None
+    while True:
+        page = ordering.page(df, "v", 7, 0, "desc", "id") if last is None else ordering.page_after(df, "v", last.v, 7, "desc", "id", last.id)
+        found = page.collect()
+        if not found:
+            break
+        seen += [r.id for r in found]
+        last = found[-1]
+    assert seen == [r.id for r in ordering.page(df, "v", 100, 0, "desc", "id").collect()]
 
 
 def test_orphans_ignore_null_keys(spark):

@@ -134,12 +134,13 @@ def test_mempool_files(spark, tmp_path):
     assert rows(bronze.read_mempool_txs(spark, str(tmp_path / "recent"))) == [("a", 1, 2, 3, AT), ("b", None, None, None, AT)]
 
 
-def test_txid_lists_under_the_cap(spark, tmp_path):
+def test_txid_lists_and_their_sizes(spark, tmp_path):
     land(tmp_path, "txids_20240101_000000.json", [f"t{i}" for i in range(9_999)])
     land(tmp_path, "txids_20240102_000000.json", [f"t{i}" for i in range(10_000)])
     lists = bronze.read_txid_lists(spark, str(tmp_path))
-    kept = clean.cap_snapshots(lists, "txids")
-    assert [r.snapshot_ts for r in kept.collect()] == [datetime(2024, 1, 1)]
+    sized = clean.snapshot_sizes(lists, "txids", 10_000)
+    assert rows(sized.select("snapshot_ts", "list_size", "over_limit")) == [
+        (datetime(2024, 1, 1), 9_999, False), (datetime(2024, 1, 2), 10_000, True)]
     assert bronze.read_mempool_txids(spark, str(tmp_path)).count() == 19_999
 
 

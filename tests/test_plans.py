@@ -77,3 +77,36 @@ def test_object_store_settings():
 def test_partitions_grow_with_the_shuffle():
     assert sized_settings(1, 8)["spark.sql.shuffle.partitions"] == "16"
     assert sized_settings(10 << 40, 4000)["spark.sql.shuffle.partitions"] == "40960"
+
+
+def test_a_cluster_session_needs_a_size_and_a_shared_folder(spark, monkeypatch):
+    from macrotide import session
+
+    with pytest.raises(ValueError, match="shuffle_bytes"):
+        session.get_session("x", "spark://host:7077")
+    settings = session.sized_settings(100 << 40, 8000)
+    assert int(settings["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.checkpoint_root(Session())
+
+
+def test_prices_do_not_move_for_their_context(spark):
+    """Even where the planner's estimate of the wide side is far too large."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = text(st.facts(spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -143,6 +143,14 @@ def a13(spark, sf):
     return rounded(stats.correlation_by_regime(facts, "regime", [("price_usd", k) for k in INDICATORS]), "r", "r2")
 
 
+@query("a13_correlation_by_regime_and_asset", with_(PRICES, RETURNS, VOLATILITY, REGIMES, SERIES_ROWS, WIDE) + """
+, facts AS (SELECT * FROM regimes LEFT JOIN wide USING (date)) """ + " UNION ALL ".join(
+    f"SELECT asset_id, regime, {_corr_row('price_usd', k)} FROM facts WHERE regime IS NOT NULL GROUP BY 1, 2" for k in INDICATORS))
+def a13_by_asset(spark, sf):
+    facts = layers.gold_prices(st.prices(spark, sf), st.series(spark, sf), INDICATORS, st.last_day(spark, sf))
+    return rounded(stats.correlation_by_regime(facts, "regime", [("price_usd", k) for k in INDICATORS], by="asset_id"), "r", "r2")
+
+
 _LAGS = range(0, 11)
 
 
@@ -160,6 +168,20 @@ def a14(spark, sf):
     return rounded(stats.lagged_correlation(daily, "volume_usd", "price_usd", _LAGS, "asset_id"), "r", "r2")
 
 
+@query("a14_lagged_correlation_by_asset", with_(PRICES) + """
+, bounds AS (SELECT asset_id, min(date) AS lo, max(date) AS hi FROM prices GROUP BY 1),
+days AS (SELECT asset_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM bounds),
+shifted AS (SELECT asset_id, price_usd, """ + ", ".join(f"lag(volume_usd, {k}) OVER w AS x{k}" for k in _LAGS) + """
+  FROM days LEFT JOIN prices USING (asset_id, date) WINDOW w AS (PARTITION BY asset_id ORDER BY date)) """ + " UNION ALL ".join(
+    f"SELECT asset_id, {k} AS lag, {_corr(f'x{k}', 'price_usd')} AS r, {r6(f'corr(x{k}, price_usd) * corr(x{k}, price_usd)')} AS r2, "
+    f"count(*) FILTER (x{k} IS NOT NULL AND price_usd IS NOT NULL) AS n FROM shifted GROUP BY 1" for k in _LAGS))
+def a14_by_asset(spark, sf):
+    from macrotide.operators.joins import densify
+
+    daily = densify(st.prices(spark, sf), "asset_id")
+    return rounded(stats.lagged_correlation(daily, "volume_usd", "price_usd", _LAGS, "asset_id", by="asset_id"), "r", "r2")
+
+
 @query("a15_price_volume_corr", with_(PRICES) + f"""
 SELECT asset_id, {_corr('price_usd', 'volume_usd')} AS r, {r6('corr(price_usd, volume_usd) * corr(price_usd, volume_usd)')} AS r2,
   count(*) AS n FROM prices GROUP BY 1""")
@@ -182,27 +204,29 @@ def a17(spark, sf):
     return network.daily_blocks(st.blocks(spark, sf))
 
 
-@query("a18_fee_history", with_(FEES) + """
-SELECT date_trunc('hour', snapshot_ts) AS period, target, min(fee_rate) AS fee_min,
-  CAST(sum(CAST(floor(fee_rate * 1e2 + 5e-1) AS BIGINT)) AS DOUBLE) / count(fee_rate) / 1e2 AS fee_avg,
-  max(fee_rate) AS fee_max, count(*) AS n FROM fees GROUP BY 1, 2""")
+@query("a18_fee_history", with_(FEES) + f"""
+SELECT date_trunc('hour', snapshot_ts) AS period, target, min(fee_rate / 7e0) AS fee_min, {r6('avg(fee_rate / 7e0)')} AS fee_avg,
+  max(fee_rate / 7e0) AS fee_max, count(*) AS n FROM fees GROUP BY 1, 2""")
 def a18(spark, sf):
-    return network.fee_history(st.fees(spark, sf), "hour")
+    """Rates with many decimals: sevenths."""
+    fees = st.fees(spark, sf).withColumn("fee_rate", F.col("fee_rate") / 7)
+    return rounded(network.fee_history(fees, "hour"), "fee_avg")
 
 
-_LEVEL = "CASE WHEN {0} >= 50 THEN 'high' WHEN {0} >= 20 THEN 'medium' WHEN {0} >= 0 THEN 'low' END"
-CONGESTION = {"low": 0, "medium": 20, "high": 50}
+_LEVEL = "CASE WHEN {0} >= 7 THEN 'high' WHEN {0} >= 3 THEN 'medium' WHEN {0} >= 0 THEN 'low' END"
+CONGESTION = {"low": 0, "medium": 3, "high": 7}
 
 
 @query("a19_congestion", f"""
-WITH levelled AS (SELECT *, {_LEVEL.format('value')} AS level, time_bucket(INTERVAL 1 HOUR, ts) AS w FROM events),
+WITH levelled AS (SELECT *, {_LEVEL.format('load')} AS level, time_bucket(INTERVAL 1 HOUR, ts) AS w FROM (SELECT ts, value / 7e0 AS load FROM events)),
 hours AS (SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, count(*) AS n_snapshots,
-  CAST(sum(CAST(floor(value * 1e2 + 5e-1) AS BIGINT)) AS DOUBLE) / count(*) / 1e2 AS load_avg, max(value) AS load_max,
+  {r6('avg(load)')} AS load_avg, max(load) AS load_max,
   count(*) FILTER (level = 'low') AS n_low, count(*) FILTER (level = 'medium') AS n_medium,
   count(*) FILTER (level = 'high') AS n_high FROM levelled GROUP BY w)
 SELECT *, {_LEVEL.format('load_avg')} AS level FROM hours""")
 def a19(spark, sf):
-    return network.congestion(table(spark, sf, "events"), CONGESTION, ts="ts", load="value")
+    loads = table(spark, sf, "events").select("ts", (F.col("value") / 7).alias("load"))
+    return rounded(network.congestion(loads, CONGESTION, ts="ts", load="load"), "load_avg")
 
 
 @query("a20_current_metrics", with_(PRICES, RETURNS) + """
@@ -218,12 +242,15 @@ def a21(spark, sf):
 
 
 @query("a21_daily_bars_by_supplier", """
-SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, last(l_extendedprice ORDER BY l_shipdate, l_extendedprice) AS price_usd,
-  CAST(sum(CAST(floor(l_extendedprice * 1e2 + 5e-1) AS BIGINT)) AS DOUBLE) / 1e2 AS volume_usd, count(*) AS n_rows
-FROM lineitem GROUP BY 1, 2""")
+SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, max(charge) AS price_usd, """ + r6("sum(charge)") + """ AS volume_usd, count(*) AS n_rows
+FROM (SELECT *, l_extendedprice * l_discount / 7e0 AS charge FROM lineitem) GROUP BY 1, 2""")
 def a21_by_supplier(spark, sf):
-    """Many small keys; of rows at one time the dearest counts as last."""
-    return s.daily_bars(table(spark, sf, "lineitem"), "l_suppkey", "l_shipdate", "l_extendedprice", "l_extendedprice")
+    """Many small keys, amounts with many decimals. Ship dates have no time of day, so of one
+    day's rows the dearest counts as last."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_suppkey", F.to_date("l_shipdate").alias("day"), (F.col("l_extendedprice") * F.col("l_discount") / 7).alias("charge")
+    )
+    return rounded(s.daily_bars(lines, "l_suppkey", "day", "charge", "charge"), "volume_usd")
 
 
 @query("flagship_indicator_report", with_(PRICES, SERIES_ROWS, WIDE) + """
@@ -249,6 +276,16 @@ def l2(spark, sf):
     return ordering.page(orders, "o_totalprice", 100, 50, "desc", tie="o_orderkey")
 
 
+@query("l2_page_after", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100 OFFSET 5000")
+def l2_after(spark, sf):
+    """The page behind the 5,000th row, found from that row's values."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    last = ordering.page(orders, "o_totalprice", 1, 4999, "desc", tie="o_orderkey").first()
+    if last is None:
+        return orders.limit(0)
+    return ordering.page_after(orders, "o_totalprice", last.o_totalprice, 100, "desc", "o_orderkey", last.o_orderkey)
+
+
 @query("l3_latest_block", with_(BLOCKS) + "SELECT * FROM blocks WHERE height = (SELECT max(height) FROM blocks)")
 def l3(spark, sf):
     return network.latest_block(st.blocks(spark, sf))
@@ -257,7 +294,7 @@ def l3(spark, sf):
 @query("l4_search_catalog", """
 SELECT p_partkey, p_name, p_type, p_retailprice FROM part
 WHERE contains(lower(p_name), 'widget') OR contains(lower(p_type), 'widget')
-ORDER BY p_retailprice DESC, p_partkey LIMIT 1000""")
+ORDER BY p_retailprice DESC, p_partkey""")
 def l4(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     return ordering.search_catalog(parts, "Widget", ["p_name", "p_type"], "p_retailprice", tie="p_partkey")

@@ -62,12 +62,13 @@ def p7(spark, sf):
     return flagged.select("c_custkey", M.comma_list("quality_flags").alias("flags"), "is_valid")
 
 
-@query("p9_cap_snapshots", """
-SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS n FROM documents WHERE len(string_split(text, ' ')) < 10000""")
+@query("p9_snapshot_sizes", """
+SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS list_size, len(string_split(text, ' ')) >= 1000 AS over_limit
+FROM documents""")
 def p9(spark, sf):
     """Documents split into words stand for the transaction lists of snapshots."""
     lists = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("words"))
-    return clean.cap_snapshots(lists, "words").select("doc_id", F.size("words").alias("n"))
+    return clean.snapshot_sizes(lists, "words", 1000).select("doc_id", "list_size", "over_limit")
 
 
 @query("p10_scatter", with_(PRICES) + """
@@ -80,11 +81,10 @@ def p10(spark, sf):
     return clean.scatter(lagged, "price_usd", "before")
 
 
-@query("p11_with_series_meta", with_(SERIES_ROWS, CATALOG) + """
-SELECT series_key, date, numeric_value, series_id, category FROM series JOIN catalog USING (series_key)""")
+@query("p11_with_series_meta", with_(st.OPEN_SERIES, CATALOG) + """
+SELECT series_key, date, numeric_value, series_id, category FROM open_series LEFT JOIN catalog USING (series_key)""")
 def p11(spark, sf):
-    points = st.series(spark, sf).drop("n_rows")
-    return clean.with_series_meta(points, series_catalog(spark))
+    return clean.with_series_meta(st.open_series(spark, sf), series_catalog(spark))
 
 
 @query("p12_sample_interval", with_(PRICES) + """

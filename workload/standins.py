@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from macrotide.operators.joins import fact_prices
 from macrotide.operators.series import daily_bars, daily_return
 from macrotide.plans.layers import economic_wide
 from macrotide.sources.tables import SERIES
-from workload.registry import table
+from workload.registry import r6, rounded, table
 
 # Which series each order priority stands for.
 SERIES_OF = {
@@ -23,10 +24,17 @@ SERIES_OF = {
     "5-LOW": "unemployment_rate",
 }
 INDICATORS = list(SERIES_OF.values())
+# Two of them under names outside the catalogue.
+UNKNOWN = {"sofr_rate": "coal_price", "unemployment_rate": "o'neil_index"}
 # Which confirmation target each event type stands for.
 TARGET_OF = {"view": 1, "click": 2, "signup": 3, "purchase": 6, "error": 144}
 
 
+def whole_cents(col: str) -> F.Column:
+    """Amounts as whole numbers, for the columns that hold such."""
+    return F.floor(F.col(col) * 100 + 0.5)
+
+
 def lookup(col: str, mapping: dict) -> F.Column:
     return F.expr(_case(col, mapping))
 
@@ -37,7 +45,9 @@ def _orders(spark: SparkSession, sf_dir: str, key: F.Column, name: str) -> DataF
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_bars(_orders(spark, sf_dir, F.col("o_orderstatus"), "asset_id"), "asset_id", "day", "o_totalprice", "o_orderkey")
+    """Sums are rounded here and in the SQL alike, as their last digits depend on row order."""
+    bars = daily_bars(_orders(spark, sf_dir, F.col("o_orderstatus"), "asset_id"), "asset_id", "day", "o_totalprice", "o_orderkey")
+    return rounded(bars, "volume_usd")
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +56,14 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.select("series_key", "date", "numeric_value", "n_rows")
 
 
+def open_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The series, with two keys that no catalogue holds."""
+    return series(spark, sf_dir).select(
+        F.coalesce(F.create_map(*[F.lit(x) for pair in UNKNOWN.items() for x in pair])[F.col("series_key")], "series_key").alias("series_key"),
+        "date", "numeric_value",
+    )
+
+
 def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_return(prices(spark, sf_dir), "asset_id")
 
@@ -57,7 +75,7 @@ def last_day(spark: SparkSession, sf_dir: str) -> F.Column:
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = economic_wide(series(spark, sf_dir), INDICATORS, last_day(spark, sf_dir))
-    return returns(spark, sf_dir).join(wide, "date", "left")
+    return fact_prices(returns(spark, sf_dir), wide)
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +83,7 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderkey").alias("height"),
         F.col("o_orderdate").alias("block_ts"), F.col("o_custkey").alias("tx_count"),
-        F.floor(F.col("o_totalprice") * 100 + 0.5).alias("size"), F.col("o_totalprice").alias("difficulty"),
+        whole_cents("o_totalprice").alias("size"), F.col("o_totalprice").alias("difficulty"),
     )
 
 
@@ -78,7 +96,7 @@ def fees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _case(col: str, mapping: dict) -> str:
     def quoted(v: object) -> str:
-        return f"'{v}'" if isinstance(v, str) else str(v)
+        return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
 
     return f"CASE {col} " + " ".join(f"WHEN {quoted(a)} THEN {quoted(b)}" for a, b in mapping.items()) + " END"
 
@@ -89,7 +107,7 @@ TOTAL_CENTS = CENTS.format("o_totalprice")
 PRICES = f"""prices AS (
   SELECT o_orderstatus AS asset_id, CAST(o_orderdate AS DATE) AS date,
          last(o_totalprice ORDER BY o_orderdate, o_orderkey) AS price_usd,
-         CAST(sum({TOTAL_CENTS}) AS DOUBLE) / 1e2 AS volume_usd, count(*) AS n_rows
+         {r6('sum(o_totalprice)')} AS volume_usd, count(*) AS n_rows
   FROM orders GROUP BY 1, 2)"""
 
 SERIES_ROWS = f"""series AS (
@@ -97,6 +115,9 @@ SERIES_ROWS = f"""series AS (
          last(o_totalprice ORDER BY o_orderdate, o_orderkey) AS numeric_value, count(*) AS n_rows
   FROM orders GROUP BY 1, 2)"""
 
+OPEN_SERIES = SERIES_ROWS + f""",
+open_series AS (SELECT {_case('series_key', UNKNOWN).replace(' END', ' ELSE series_key END')} AS series_key, date, numeric_value FROM series)"""
+
 CATALOG = "catalog(series_key, series_id, category) AS (VALUES " + ", ".join(map(str, SERIES)) + ")"
 
 RETURNS = """returns AS (

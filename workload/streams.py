@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from macrotide.functions import cents
 from macrotide.session import scratch_dir
 from macrotide.sources.sinks import write_bronze
 from macrotide.streaming import run_available, stream_bronze, stream_dedupe, stream_windows
+from workload import standins as st
 from workload.registry import query, table
 
 EVENTS = "event_id bigint, ts timestamp_ntz, event_type string, value double"
@@ -46,7 +46,7 @@ SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n
 WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""")
 def t3(spark, sf):
     """The windows that the watermark closes, two hours behind the newest event."""
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(cents("value")).alias("fee_cents"), F.max("value").alias("fee_max")]
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(st.whole_cents("value")).alias("fee_cents"), F.max("value").alias("fee_max")]
     windows = stream_windows(_events_stream(spark, sf), "ts", "1 hour", "2 hours", aggs, "event_type")
     closed = _collected(spark, windows, "windows")
     return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})

@@ -140,31 +140,35 @@ def j2(spark, sf):
     return joins.densify(st.series(spark, sf).select("series_key", "date", "numeric_value"), "series_key")
 
 
-@query("j3_dim_economic", with_(SERIES_ROWS, CATALOG) + """
+@query("j3_dim_economic", with_(st.OPEN_SERIES, CATALOG) + """
 SELECT series_key, series_id, category, date, numeric_value, numeric_value - lag(numeric_value) OVER w AS change,
   CASE sign(numeric_value - lag(numeric_value) OVER w) WHEN 1 THEN 'up' WHEN -1 THEN 'down' WHEN 0 THEN 'flat' END AS trend
-FROM series JOIN catalog USING (series_key) WINDOW w AS (PARTITION BY series_key ORDER BY date)""")
+FROM open_series LEFT JOIN catalog USING (series_key) WINDOW w AS (PARTITION BY series_key ORDER BY date)""")
 def j3(spark, sf):
-    return joins.dim_economic(st.series(spark, sf), series_catalog(spark))
+    return joins.dim_economic(st.open_series(spark, sf), series_catalog(spark))
 
 
-_FEE_DAYS = """fee_days AS (
-  SELECT CAST(snapshot_ts AS DATE) AS date, target AS fee_target,
-         CAST(sum(CAST(floor(fee_rate * 1e2 + 5e-1) AS BIGINT)) AS DOUBLE) / count(fee_rate) / 1e2 AS fee_avg
-  FROM fees GROUP BY 1, 2)"""
+_FEE_DAYS = f"""fee_days AS (
+  SELECT CAST(snapshot_ts AS DATE) AS date, target AS fee_target, {r6('avg(fee_rate)')} AS fee_avg FROM fees GROUP BY 1, 2)"""
+# Orders end years before the events begin: their last day is moved to the last day of the events.
+_MOVED = """span AS (SELECT (SELECT max(CAST(ts AS DATE)) FROM events) - (SELECT max(CAST(block_ts AS DATE)) FROM blocks) AS days),
+network_days AS (SELECT CAST(block_ts AS DATE) + CAST(days AS INTEGER) AS date, CAST(sum(tx_count) AS BIGINT) AS tx_count,
+    CAST(sum(size) AS BIGINT) AS size, max(difficulty) AS difficulty FROM blocks, span GROUP BY 1)"""
 
 
-@query("j4_fact_network", with_(BLOCKS, FEES, _FEE_DAYS) + """
-, network_days AS (SELECT CAST(block_ts + INTERVAL 8 YEAR AS DATE) AS date, CAST(sum(tx_count) AS BIGINT) AS tx_count,
-    CAST(sum(size) AS BIGINT) AS size, max(difficulty) AS difficulty FROM blocks GROUP BY 1),
-mempool AS (SELECT CAST(ts AS DATE) AS date, count(*) AS mempool_count FROM events GROUP BY 1)
+def _moved_blocks(spark, sf):
+    last_event = table(spark, sf, "events").agg(F.to_date(F.max("ts")).alias("_a")).scalar()
+    last_block = st.blocks(spark, sf).agg(F.to_date(F.max("block_ts")).alias("_b")).scalar()
+    return st.blocks(spark, sf).withColumn("block_ts", F.date_add(F.to_date("block_ts"), F.datediff(last_event, last_block)))
+
+
+@query("j4_fact_network", with_(BLOCKS, FEES, _FEE_DAYS, _MOVED) + """
+, mempool AS (SELECT CAST(ts AS DATE) AS date, count(*) AS mempool_count FROM events GROUP BY 1)
 SELECT date, tx_count, size, difficulty, fee_target, fee_avg, mempool_count
 FROM network_days LEFT JOIN fee_days USING (date) LEFT JOIN mempool USING (date)""")
 def j4(spark, sf):
-    """Orders end years before the events begin, so block times are moved by eight years."""
-    moved = st.blocks(spark, sf).withColumn("block_ts", F.col("block_ts") + F.expr("interval 8 years"))
-    days = network.daily_blocks(moved).select("date", "tx_count", "size", "difficulty")
-    fees = network.fee_history(st.fees(spark, sf)).select(
+    days = network.daily_blocks(_moved_blocks(spark, sf)).select("date", "tx_count", "size", "difficulty")
+    fees = rounded(network.fee_history(st.fees(spark, sf)), "fee_avg").select(
         F.to_date("period").alias("date"), F.col("target").alias("fee_target"), "fee_avg"
     )
     pool = table(spark, sf, "events").groupBy(F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("mempool_count"))
@@ -185,6 +189,18 @@ def j5(spark, sf):
     return joins.asof_join(trades, quotes, "user_id", "ts", ["quote_id", "quote"])
 
 
+@query("j5_asof_join_hot", """
+WITH quotes AS (SELECT ts, event_id AS quote_id FROM events WHERE event_type = 'view'),
+trades AS (SELECT ts, event_id FROM events WHERE event_type <> 'view')
+SELECT 'all' AS market, t.ts, t.event_id, q.quote_id FROM trades t ASOF LEFT JOIN quotes q ON t.ts >= q.ts""")
+def j5_hot(spark, sf):
+    """One key with all rows, cut into buckets of its times."""
+    events = table(spark, sf, "events").withColumn("market", F.lit("all"))
+    trades = events.filter(F.col("event_type") != "view").select("market", "ts", "event_id")
+    quotes = events.filter(F.col("event_type") == "view").select("market", "ts", F.col("event_id").alias("quote_id"))
+    return joins.asof_join(trades, quotes, "market", "ts", ["quote_id"], rows_per_task=500)
+
+
 @query("j6_orphans", """
 SELECT o_orderkey, o_custkey FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal >= 0)""")
