@@ -2,31 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macrotide.operators.clean import latest_version, missing, negative, normalize_prices, quality_flags, typed_points, with_series_meta
-from macrotide.operators.joins import densify, fact_prices
+from macrotide.operators.clean import filter_dates, latest_version, missing, negative, normalize_prices, quality_flags, typed_points, with_series_meta
+from macrotide.operators.joins import densify, fact_network, fact_prices
+from macrotide.operators.network import CONGESTION, congestion, daily_blocks, fee_history
 from macrotide.operators.series import daily_return, forward_fill, rolling_volatility, volatility_regime
 from macrotide.operators.stats import correlate_pairs, pivot_series
 from macrotide.sources.bronze import Paths, read_price_batches, read_series_batches
+from macrotide.sources.sinks import write_table
 from macrotide.sources.tables import SERIES_KEYS, series_catalog
 
 
-def silver_prices(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
-    """Landed price batches to one valid-or-flagged row per asset and day. Rows
-    without a readable date are flagged and each of them stays."""
-    typed = normalize_prices(read_price_batches(spark, path, lines))
-    newest = latest_version(typed, ["asset_id", "date"], "collection_timestamp", apart="date")
-    rules = {
+def price_rules() -> dict[str, Column]:
+    return {
         "price_missing": missing("price_usd"),
         "price_negative": negative("price_usd"),
         "volume_missing": missing("volume_usd"),
         "date_missing": missing("date"),
     }
-    return quality_flags(newest, rules)
+
+
+def silver_prices(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
+    """Landed price batches to one valid-or-flagged row per asset and day. Rows
+    without a readable date are flagged and each of them stays."""
+    typed = normalize_prices(read_price_batches(spark, path, lines))
+    return quality_flags(latest_version(typed, ["asset_id", "date"], "collection_timestamp", apart="date"), price_rules())
 
 
 def silver_series(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
@@ -39,6 +43,40 @@ def silver_series(spark: SparkSession, path: Paths, lines: bool = False) -> Data
     return quality_flags(with_series_meta(newest, series_catalog(spark)), rules)
 
 
+def daily_fees(fees: DataFrame) -> DataFrame:
+    """One row per day: the mean rate of each confirmation target, as a map, so that a day stays
+    one row beside its blocks. A day has as many targets as the collector asks for."""
+    days = fee_history(fees, "day")
+    entry = F.struct(F.col("target"), F.col("fee_avg"))
+    return days.where(F.col("target").isNotNull()).groupBy(F.to_date("period").alias("date")).agg(
+        F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("fee_rates")
+    )
+
+
+def daily_mempool(mempool: DataFrame, thresholds: Mapping[str, float] = CONGESTION) -> DataFrame:
+    """One row per day: snapshots, mean and peak load, and the level of the mean load."""
+    days = congestion(mempool, thresholds, width="1 day")
+    return days.select(
+        F.to_date("window_start").alias("date"), "n_snapshots", F.col("load_avg").alias("mempool_avg"),
+        F.col("load_max").alias("mempool_max"), F.col("level").alias("congestion"),
+    )
+
+
+def gold_network(blocks: DataFrame, fees: DataFrame, mempool: DataFrame, thresholds: Mapping[str, float] = CONGESTION) -> DataFrame:
+    """``fact_network`` from the rows of landed files: one row for each day of the chain with its
+    blocks, fee rates by target and mempool load. A block listed in several snapshots counts
+    once, as its newest listing has it."""
+    once = latest_version(blocks, "id", "snapshot_ts")
+    return fact_network(daily_blocks(once), daily_fees(fees), daily_mempool(mempool, thresholds))
+
+
+def refresh(table: DataFrame, path: str, start: str, end: str, order: str = "date") -> None:
+    """Replace the days from ``start`` to ``end`` (both inclusive) of a gold table that is kept
+    by day below ``path``, and no other day: a rerun of one day gives the same table."""
+    days = filter_dates(table, start, end, order).withColumn("day", F.col(order).cast("string"))
+    write_table(days, path, "day")
+
+
 def economic_wide(series: DataFrame, keys: Sequence[str] = SERIES_KEYS, end: Column | str | None = None) -> DataFrame:
     """One row per calendar day with every series filled forward.
 

@@ -52,8 +52,12 @@ def parse_props(df: DataFrame, col: str, schema: str) -> DataFrame:
 
 def read_price_batches(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
     """One row per (asset, day, collection)."""
-    raw = read_json(spark, path, schemas.PRICE_BATCH, lines)
-    return raw.select(F.inline("records")).select(
+    return price_records(read_json(spark, path, schemas.PRICE_BATCH, lines))
+
+
+def price_records(batches: DataFrame) -> DataFrame:
+    """The records of price documents, of a batch or a stream."""
+    return batches.select(F.inline("records")).select(
         F.col("coin_id").alias("asset_id"), "date", "collection_timestamp",
         F.col("raw_data.market_data").alias("market_data"),
     )
@@ -105,10 +109,19 @@ def read_series_counts(spark: SparkSession, path: Paths, lines: bool = False) ->
 
 
 # Network snapshots -------------------------------------------------------------
+#
+# A landed snapshot is one document, which is one task and has its time in its path. With
+# ``lines=True`` the same readers take what ``write_bronze`` makes of their rows: one row for each
+# line, with the time as the column ``snapshot_ts``, which Spark can split inside a file.
+
+_AT = "snapshot_ts timestamp_ntz"
+
 
-def read_fee_snapshots(spark: SparkSession, path: Paths) -> DataFrame:
+def read_fee_snapshots(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
     """One row per (snapshot, confirmation target). Amounts are read as text, because
     one bad number would otherwise void the whole map."""
+    if lines:
+        return read_json(spark, path, f"{_AT}, target int, fee_rate double", True)
     raw = with_snapshot_ts(read_text(spark, path))
     rates = raw.select("snapshot_ts", F.explode(F.from_json("value", "map<string,string>")).alias("_target", "_rate"))
     return rates.select(
@@ -116,28 +129,39 @@ def read_fee_snapshots(spark: SparkSession, path: Paths) -> DataFrame:
     )
 
 
-def read_mempool_snapshots(spark: SparkSession, path: Paths) -> DataFrame:
+def read_mempool_snapshots(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
+    if lines:
+        return read_json(spark, path, f"{schemas.MEMPOOL}, {_AT}", True)
     return with_snapshot_ts(read_json(spark, path, schemas.MEMPOOL))
 
 
-def read_blocks(spark: SparkSession, path: Paths) -> DataFrame:
+def read_blocks(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
     """One row per listed block, with its time as ``block_ts``."""
+    if lines:
+        columns = schemas.BLOCK.replace(" timestamp bigint,", "")
+        return read_json(spark, path, f"{columns}, {_AT}, block_ts timestamp_ntz", True)
     blocks = with_snapshot_ts(read_json(spark, path, schemas.BLOCK))
     return blocks.withColumn("block_ts", from_epoch("timestamp")).drop("timestamp")
 
 
-def read_mempool_txs(spark: SparkSession, path: Paths) -> DataFrame:
+def read_mempool_txs(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
+    if lines:
+        return read_json(spark, path, f"{schemas.MEMPOOL_TX}, {_AT}", True)
     return with_snapshot_ts(read_json(spark, path, schemas.MEMPOOL_TX))
 
 
-def read_txid_lists(spark: SparkSession, path: Paths) -> DataFrame:
-    """One row per snapshot with its whole list, for ``cap_snapshots``."""
+def read_txid_lists(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
+    """One row per snapshot with its whole list."""
+    if lines:
+        return read_json(spark, path, f"{_AT}, txids array<string>", True)
     raw = with_snapshot_ts(read_text(spark, path))
     return raw.select("snapshot_ts", F.from_json("value", "array<string>").alias("txids"))
 
 
-def read_mempool_txids(spark: SparkSession, path: Paths) -> DataFrame:
+def read_mempool_txids(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
     """One row per (snapshot, transaction id)."""
+    if lines:
+        return read_json(spark, path, f"{_AT}, txid string", True)
     return read_txid_lists(spark, path).select("snapshot_ts", F.explode("txids").alias("txid"))
 
 

@@ -1,4 +1,4 @@
 """Incremental forms of the bronze-to-silver steps (Structured Streaming)."""
-from macrotide.streaming.ingest import run_available, stream_bronze, stream_dedupe, stream_windows
+from macrotide.streaming.ingest import run_available, run_merged, stream_bronze, stream_dedupe, stream_silver_prices, stream_windows
 
-__all__ = ["run_available", "stream_bronze", "stream_dedupe", "stream_windows"]
+__all__ = ["run_available", "run_merged", "stream_bronze", "stream_dedupe", "stream_silver_prices", "stream_windows"]

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macrotide.operators.common import Names, as_list
+from macrotide.operators.clean import latest_version, normalize_prices, quality_flags
+from macrotide.operators.common import Names, as_list, written
+from macrotide.plans.layers import price_rules
 from macrotide.sources.bronze import JSON_TIME
+from macrotide.sources.sinks import write_table
 
 
 def stream_bronze(
@@ -40,14 +44,55 @@ def stream_dedupe(df: DataFrame, keys: Names, ts: str, delay: str) -> DataFrame:
 def stream_windows(
     df: DataFrame, ts: str, width: str, delay: str, aggs: Sequence[Column], by: Names = ()
 ) -> DataFrame:
-    """``aggs`` per tumbling window, emitted once the watermark closes it. Rows later
-    than ``delay`` are dropped."""
+    """``aggs`` per tumbling window. In append mode a window is emitted once the watermark closes
+    it; in update mode its newest state comes with each micro-batch, so that ``run_merged`` has
+    the open windows too. Rows later than ``delay`` are dropped."""
     timed = with_event_time(df, ts).withWatermark(ts, delay)
     grouped = timed.groupBy(F.window(ts, width).alias("_w"), *as_list(by)).agg(*aggs)
     rest = [c for c in grouped.columns if c != "_w"]
     return grouped.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *rest)
 
 
+def stream_silver_prices(records: DataFrame) -> DataFrame:
+    """Landed price records to typed, flagged rows as they land. No state and no watermark, so a
+    late collection is not lost: ``run_merged`` lets the newest one stand."""
+    return quality_flags(normalize_prices(records), price_rules())
+
+
+def run_merged(
+    df: DataFrame, path: str, checkpoint: str, keys: Names, order: Names, part: str, *, apart: Names = (), mode: str = "append"
+) -> None:
+    """Process what has landed so far into the Parquet table at ``path``, in folders by the text
+    column ``part``, keeping the newest version of each key (rows with a null ``apart`` key each
+    stay). A micro-batch rewrites the folders it touches and no others, so the work follows what
+    has landed; a batch that is run again changes nothing."""
+
+    def merge(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            touched = [r[0] for r in batch.select(part).distinct().collect()]  # folders of one micro-batch
+            if not touched:
+                return
+            every = batch
+            try:
+                old = spark.read.schema(batch.schema).parquet(path)
+                every = old.where(F.col(part).isin(touched)).select(batch.columns).unionByName(batch)
+            except AnalysisException:  # nothing is there yet
+                pass
+            # Written aside first, as its input lies in the folders that are replaced.
+            merged, _ = written(latest_version(every.distinct(), keys, order, apart))
+            write_table(merged, path, part)
+        finally:
+            batch.unpersist()
+
+    query = (
+        df.writeStream.foreachBatch(merge).outputMode(mode).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
 def run_available(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
     """Process what has landed so far into Parquet at ``out``, then stop. Files and
     state are tracked at ``checkpoint``, so the next run takes up where this one ended,

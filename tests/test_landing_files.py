@@ -134,6 +134,28 @@ def test_mempool_files(spark, tmp_path):
     assert rows(bronze.read_mempool_txs(spark, str(tmp_path / "recent"))) == [("a", 1, 2, 3, AT), ("b", None, None, None, AT)]
 
 
+def test_network_rows_round_trip_as_lines(spark, tmp_path):
+    """What a reader gives is written as JSON lines and read back by the same reader."""
+    land(tmp_path, f"fees/fee_estimates_{STAMP}.json", {"1": 87.882, "1008": 1.027})
+    land(tmp_path, f"mempool/mempool_{STAMP}.json", {"count": 5, "vsize": 9, "total_fee": 11, "fee_histogram": [[53.01, 102131]]})
+    land(tmp_path, f"blocks/recent_blocks_{STAMP}.json", [{"id": "x", "height": 7, "timestamp": 1704067200, "tx_count": 3, "size": 10}])
+    land(tmp_path, f"recent/recent_transactions_{STAMP}.json", [{"txid": "a", "fee": 1, "vsize": 2, "value": 3}])
+    land(tmp_path, f"txids/txids_{STAMP}.json", ["t1", "t2"])
+    readers = {
+        "fees": bronze.read_fee_snapshots, "mempool": bronze.read_mempool_snapshots, "blocks": bronze.read_blocks,
+        "recent": bronze.read_mempool_txs, "txids": bronze.read_txid_lists,
+    }
+    for name, read in readers.items():
+        first = read(spark, str(tmp_path / name))
+        sinks.write_bronze(first, str(tmp_path / "lines" / name), ())
+        again = read(spark, str(tmp_path / "lines" / name), lines=True)
+        assert set(again.columns) == set(first.columns)
+        assert rows(again.select(first.columns)) == rows(first) != []
+    ids = bronze.read_mempool_txids(spark, str(tmp_path / "txids"))
+    sinks.write_bronze(ids, str(tmp_path / "lines" / "ids"), ())
+    assert rows(bronze.read_mempool_txids(spark, str(tmp_path / "lines" / "ids"), lines=True)) == rows(ids)
+
+
 def test_txid_lists_and_their_sizes(spark, tmp_path):
     land(tmp_path, "txids_20240101_000000.json", [f"t{i}" for i in range(9_999)])
     land(tmp_path, "txids_20240102_000000.json", [f"t{i}" for i in range(10_000)])

@@ -20,7 +20,7 @@ from macrotide.session import scratch_dir
 from macrotide.sources import bronze, sinks, tables
 from workload import standins as st
 from workload.registry import query, table
-from workload.standins import BLOCKS, CATALOG, PRICES, SERIES_ROWS, with_
+from workload.standins import BLOCKS, CATALOG, MOVED_DAYS, PRICES, SERIES_ROWS, with_
 
 WRONG_YEAR = 1996
 FIRST_RUN, SECOND_RUN = "2024-01-01T00:00:00", "2024-02-01T00:00:00"
@@ -222,9 +222,12 @@ def p2(spark, sf):
     return typed.groupBy("asset_id").agg(F.count(F.lit(1)).alias("n_kept"), F.count("price_usd").alias("n_priced"))
 
 
-@query("silver_prices", with_(PRICES) + """
+SILVER_PRICES_SQL = with_(PRICES) + """
 SELECT asset_id, date, CASE n_rows WHEN 1 THEN price_usd * 2 WHEN 3 THEN NULL ELSE price_usd END AS price_usd, volume_usd,
-  CASE WHEN n_rows = 3 THEN 'price_missing' ELSE '' END AS flags FROM prices WHERE n_rows <> 5""")
+  CASE WHEN n_rows = 3 THEN 'price_missing' ELSE '' END AS flags FROM prices WHERE n_rows <> 5"""
+
+
+@query("silver_prices", SILVER_PRICES_SQL)
 def silver_prices(spark, sf):
     silver = layers.silver_prices(spark, price_files(spark, sf))
     return silver.select("asset_id", "date", "price_usd", "volume_usd", M.comma_list("quality_flags").alias("flags"))
@@ -397,6 +400,38 @@ def network_landed(spark, sf):
     return daily.select("date", "n_blocks", "size")
 
 
+_TYPES = sorted(st.TARGET_OF)
+_LOADS = {"low": 0, "medium": 330, "high": 350}
+
+
+@query("gold_network", with_(BLOCKS, MOVED_DAYS) + f"""
+, days AS (SELECT CAST(ts AS DATE) AS date, count(*) AS load, {', '.join(
+    f"arg_max(value, CASE WHEN event_type = '{t}' THEN ts END) AS fee_{t}" for t in _TYPES)} FROM events GROUP BY 1)
+SELECT date, n_blocks, tx_count, size, {', '.join(f'fee_{t}' for t in _TYPES)}, CAST(load AS DOUBLE) AS mempool_avg,
+  CASE WHEN load >= 350 THEN 'high' WHEN load >= 330 THEN 'medium' WHEN load >= 0 THEN 'low' END AS congestion
+FROM network_days LEFT JOIN days USING (date)""")
+def gold_network(spark, sf):
+    """From landed blocks, fee estimates and mempool states to one row per day."""
+    blocks = bronze.read_blocks(spark, block_files(spark, sf))
+    blocks = blocks.withColumn("block_ts", F.date_add(F.to_date("block_ts"), st.days_to_events(spark, sf)))
+    gold = layers.gold_network(
+        blocks, bronze.read_fee_snapshots(spark, fee_files(spark, sf)), bronze.read_mempool_snapshots(spark, mempool_files(spark, sf)), _LOADS
+    )
+    fees = {f"fee_{t}": F.col("fee_rates")[target] for t, target in st.TARGET_OF.items()}
+    return gold.withColumns(fees).select("date", "n_blocks", "tx_count", "size", *fees, "mempool_avg", "congestion")
+
+
+@query("gold_refresh", with_(BLOCKS, MOVED_DAYS) + """
+SELECT date, n_blocks, tx_count, size FROM network_days WHERE date >= DATE '2024-01-01'""")
+def gold_refresh(spark, sf):
+    """Days written once, then half of them again: each day stands once."""
+    blocks = st.blocks(spark, sf).withColumn("block_ts", F.date_add(F.to_date("block_ts"), st.days_to_events(spark, sf)))
+    days, path = network.daily_blocks(blocks).select("date", "n_blocks", "tx_count", "size"), scratch_dir(spark, "gold-days")
+    layers.refresh(days, path, "2024-01-01", "2024-12-31")
+    layers.refresh(days, path, "2024-01-10", "2024-01-12")
+    return tables.read_table(spark, path).select("date", "n_blocks", "tx_count", "size")
+
+
 # Writers -----------------------------------------------------------------------------
 
 @query("k1_write_bronze", """

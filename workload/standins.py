@@ -87,6 +87,14 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def days_to_events(spark: SparkSession, sf_dir: str) -> F.Column:
+    """Orders end years before the events begin: the days that take their last day to the last
+    day of the events."""
+    last_event = table(spark, sf_dir, "events").agg(F.to_date(F.max("ts")).alias("_a")).scalar()
+    last_block = table(spark, sf_dir, "orders").agg(F.to_date(F.max("o_orderdate")).alias("_b")).scalar()
+    return F.datediff(last_event, last_block)
+
+
 def fees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", F.col("ts").alias("snapshot_ts"), lookup("event_type", TARGET_OF).alias("target"),
@@ -155,6 +163,10 @@ BLOCKS = f"""blocks AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey AS height, o_orderdate AS block_ts, o_custkey AS tx_count,
          {TOTAL_CENTS} AS size, o_totalprice AS difficulty FROM orders)"""
 
+MOVED_DAYS = """span AS (SELECT (SELECT max(CAST(ts AS DATE)) FROM events) - (SELECT max(CAST(block_ts AS DATE)) FROM blocks) AS days),
+network_days AS (SELECT CAST(block_ts AS DATE) + CAST(days AS INTEGER) AS date, count(*) AS n_blocks, CAST(sum(tx_count) AS BIGINT) AS tx_count,
+    CAST(sum(size) AS BIGINT) AS size, max(difficulty) AS difficulty FROM blocks, span GROUP BY 1)"""
+
 FEES = f"""fees AS (
   SELECT event_id, ts AS snapshot_ts, {_case('event_type', TARGET_OF)} AS target, value AS fee_rate FROM events)"""
 

@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 
 from macrotide.session import scratch_dir
 from macrotide.sources.sinks import write_bronze
-from macrotide.streaming import run_available, stream_bronze, stream_dedupe, stream_windows
+from macrotide.functions import comma_list
+from macrotide.sources import schemas
+from macrotide.sources.bronze import price_records
+from macrotide.streaming import run_available, run_merged, stream_bronze, stream_dedupe, stream_silver_prices, stream_windows
 from workload import standins as st
+from workload.landing import SILVER_PRICES_SQL, price_files
 from workload.registry import query, table
 
 EVENTS = "event_id bigint, ts timestamp_ntz, event_type string, value double"
@@ -23,6 +27,19 @@ def _collected(spark, stream, label):
     return spark.read.parquet(out)
 
 
+@query("t1_stream_silver", SILVER_PRICES_SQL)
+def t1_silver(spark, sf):
+    """Price documents through the stream: cleaned, flagged, and the newest version of each day."""
+    batches = stream_bronze(spark, price_files(spark, sf), schemas.PRICE_BATCH, lines=False)
+    rows = stream_silver_prices(price_records(batches))
+    out, year = scratch_dir(spark, "stream-silver"), F.coalesce(F.year("date").cast("string"), F.lit("none"))
+    run_merged(
+        rows.withColumn("year", year), out, scratch_dir(spark, "stream-silver-state"), ["asset_id", "date"],
+        "collection_timestamp", "year", apart="date",
+    )
+    return spark.read.parquet(out).select("asset_id", "date", "price_usd", "volume_usd", comma_list("quality_flags").alias("flags"))
+
+
 @query("t1_stream_bronze", "SELECT event_id, ts, event_type, value FROM events")
 def t1(spark, sf):
     landing = scratch_dir(spark, "stream-landing")
@@ -50,3 +67,19 @@ def t3(spark, sf):
     windows = stream_windows(_events_stream(spark, sf), "ts", "1 hour", "2 hours", aggs, "event_type")
     closed = _collected(spark, windows, "windows")
     return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query("t3_stream_windows_open", """
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+  event_type, count(*) AS n, max(value) AS fee_max FROM events GROUP BY ALL""")
+def t3_open(spark, sf):
+    """All windows, those still open included, each in its newest state."""
+    aggs = [F.count(F.lit(1)).alias("n"), F.max("value").alias("fee_max")]
+    windows = stream_windows(_events_stream(spark, sf), "ts", "1 hour", "2 hours", aggs, "event_type")
+    out = scratch_dir(spark, "open-windows")
+    run_merged(
+        windows.withColumn("day", F.date_format("window_start", "yyyy-MM-dd")), out, scratch_dir(spark, "open-windows-state"),
+        ["window_start", "window_end", "event_type"], "n", "day", mode="update",
+    )
+    found = spark.read.parquet(out).drop("day")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})

@@ -150,19 +150,13 @@ def j3(spark, sf):
 
 _FEE_DAYS = f"""fee_days AS (
   SELECT CAST(snapshot_ts AS DATE) AS date, target AS fee_target, {r6('avg(fee_rate)')} AS fee_avg FROM fees GROUP BY 1, 2)"""
-# Orders end years before the events begin: their last day is moved to the last day of the events.
-_MOVED = """span AS (SELECT (SELECT max(CAST(ts AS DATE)) FROM events) - (SELECT max(CAST(block_ts AS DATE)) FROM blocks) AS days),
-network_days AS (SELECT CAST(block_ts AS DATE) + CAST(days AS INTEGER) AS date, CAST(sum(tx_count) AS BIGINT) AS tx_count,
-    CAST(sum(size) AS BIGINT) AS size, max(difficulty) AS difficulty FROM blocks, span GROUP BY 1)"""
 
 
 def _moved_blocks(spark, sf):
-    last_event = table(spark, sf, "events").agg(F.to_date(F.max("ts")).alias("_a")).scalar()
-    last_block = st.blocks(spark, sf).agg(F.to_date(F.max("block_ts")).alias("_b")).scalar()
-    return st.blocks(spark, sf).withColumn("block_ts", F.date_add(F.to_date("block_ts"), F.datediff(last_event, last_block)))
+    return st.blocks(spark, sf).withColumn("block_ts", F.date_add(F.to_date("block_ts"), st.days_to_events(spark, sf)))
 
 
-@query("j4_fact_network", with_(BLOCKS, FEES, _FEE_DAYS, _MOVED) + """
+@query("j4_fact_network", with_(BLOCKS, FEES, _FEE_DAYS, st.MOVED_DAYS) + """
 , mempool AS (SELECT CAST(ts AS DATE) AS date, count(*) AS mempool_count FROM events GROUP BY 1)
 SELECT date, tx_count, size, difficulty, fee_target, fee_avg, mempool_count
 FROM network_days LEFT JOIN fee_days USING (date) LEFT JOIN mempool USING (date)""")
