@@ -11,7 +11,10 @@ def workers(spark):
 
 
 #: Columns whose names operators use inside, which inputs may have too.
-CLASHING = "'x' AS site, 'y' AS digests, 1 AS node, 2 AS bucket, 3 AS target, 'z' AS block, 4 AS n_words, 5 AS score, 'w' AS items"
+CLASHING = (
+    "'x' AS site", "'y' AS digests", "1 AS node", "2 AS bucket", "3 AS target", "'z' AS block", "4 AS n_words", "5 AS score",
+    "'w' AS items", "6 AS batch", "7 AS degree", "'v' AS place",
+)
 
 
 @pytest.fixture(scope="session")
@@ -19,7 +22,7 @@ def frame(spark):
     """Rows of (doc_id, source, text) with further columns of clashing names."""
 
     def make(rows, schema="doc_id bigint, source string, text string"):
-        return spark.createDataFrame(rows, schema).selectExpr("*", CLASHING)
+        return spark.createDataFrame(rows, schema).selectExpr("*", *CLASHING)
 
     return make
 
