@@ -15,8 +15,9 @@ probability is that of its classes in context times that of each rare word withi
 * The base of a rare-word restaurant has no atoms: each word has one table, and a new table is
   a word never seen, so the unseen words of one ending are one event.
 
-Scoring looks up frequent words in the task. Every other word is sent to the bin of its hash,
-where the counts of the corpus wait, and comes back as sums for each text.
+Scoring looks up frequent words in the task. The other words of a batch of texts are sent to the
+bins of their hashes, where the counts of the corpus wait, and the answers meet again by batch:
+one row for each batch and bin, so the rows follow the words and not texts times bins.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,10 +37,12 @@ from macrotide.session import scratch_dir
 ENDINGS = 256
 SHARES = 64  # of the contexts, seated in parallel
 END_HASH = np.uint64(0x5EED_0F_7E47_E4D1)
-SENT_SCHEMA = "bin bigint, ids binary, nulls binary, texts binary, runs binary, hashes binary, endings binary, sums binary"
-PART_SCHEMA = (
-    "doc_id bigint, text_hash bigint, n_texts bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+SENT_SCHEMA = (
+    "bin bigint, batch bigint, rows binary, runs binary, hashes binary, endings binary, ids binary, nulls binary, sums binary"
 )
+ANSWER_SCHEMA = "batch bigint, bin bigint, rows binary, known binary, base binary, score binary, ids binary, nulls binary, sums binary"
+SCORE_SCHEMA = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+BATCHES = 1 << 32  # of one partition, at most
 
 
 @dataclass(frozen=True)
@@ -50,7 +54,7 @@ class Settings:
     context: tuple[float, float] = (0.6, 5.0)  # discount and strength of the contexts
     parent: tuple[float, float] = (0.3, 10.0)
     rare_strength: float = 1.0
-    bin_bytes: int = 64 << 20
+    bin_bytes: int = 16 << 20
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -274,9 +278,12 @@ def _send(shared, n_bins: int):
         rare_size = np.log10(vocabulary.strength + vocabulary.rare_tokens)
         with np.errstate(invalid="ignore", divide="ignore"):
             rare_known = np.where(vocabulary.classes >= 0, 0, np.log10(vocabulary.counts - vocabulary.discount))
+        number = TaskContext.get().partitionId() * BATCHES
         for batch in batches:
+            if not len(batch):
+                continue
             parts = []
-            for first, last, data, offsets in text_blocks(batch.column(2)):
+            for first, last, data, offsets in text_blocks(batch.column(1)):
                 hashes, endings, lengths = tokens_of(data, offsets)
                 dish, place = vocabulary.find(hashes, endings)
                 row, n = rows_of(lengths), last - first
@@ -290,35 +297,38 @@ def _send(shared, n_bins: int):
                 sums = np.stack([lengths, np.bincount(row[seen], minlength=n), base, np.bincount(row, score, n)])
                 parts.append((sums, hashes[~known], endings[~known], row[~known] + first))
             sums, hashes, endings, row = (np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
-            ids, texts = batch.column(0), batch.column(1).to_numpy()
-            null = ids.is_null().to_numpy(zero_copy_only=False)
-            ids = np.where(null, 0, ids.fill_null(0).to_numpy())
             bins = np.mod(hashes.view(np.int64), n_bins)
             order = np.argsort(bins, kind="stable")
             edges = np.searchsorted(bins[order], np.arange(n_bins + 1))
             out = []
-            for b in range(n_bins):
+            for b in np.flatnonzero(np.diff(edges)).tolist():
                 at = order[edges[b] : edges[b + 1]]
-                if len(at):
-                    mine, runs = np.unique(row[at], return_counts=True)
-                    out.append((
-                        b, ids[mine].tobytes(), null[mine].tobytes(), texts[mine].tobytes(), runs.astype(np.int64).tobytes(),
-                        hashes[at].tobytes(), endings[at].astype(np.uint8).tobytes(), b"",
-                    ))
-            home = np.mod(texts, n_bins)
-            for b in np.unique(home).tolist():
-                mine = np.flatnonzero(home == b)
-                out.append((b, ids[mine].tobytes(), null[mine].tobytes(), texts[mine].tobytes(), b"", b"", b"", np.ascontiguousarray(sums[:, mine]).tobytes()))
-            names = [f.split()[0] for f in SENT_SCHEMA.split(", ")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64() if k == 0 else pa.binary()) for k, c in enumerate(zip(*out, strict=True))], names=names
-            )
+                mine, runs = np.unique(row[at], return_counts=True)
+                out.append((
+                    b, number, mine.astype(np.uint32).tobytes(), runs.astype(np.uint32).tobytes(), hashes[at].tobytes(),
+                    endings[at].astype(np.uint8).tobytes(), None, None, None,
+                ))
+            ids = batch.column(0)
+            null = ids.is_null().to_numpy(zero_copy_only=False)
+            ids = ids.fill_null(0).to_numpy()
+            out.append((number % n_bins, number, None, None, None, None, ids.tobytes(), null.tobytes(), sums.tobytes()))
+            number += 1
+            yield _record_batch(out, SENT_SCHEMA)
 
     return send
 
 
+def _record_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*(f.split() for f in schema.split(", ")), strict=True)
+    columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.binary() if kind == "binary" else pa.int64()) for c, kind in zip(columns, kinds, strict=True)], names=list(names)
+    )
+
+
 def _answer(shared):
-    """Of a bin: partial sums of each text, from the counts of the words dealt to the bin."""
+    """Of a bin: sums for each text that sent words, from the counts of the words dealt to the
+    bin. One answer for each message; what tasks summed themselves passes through."""
 
     def answer(counts: pa.Table, sent: pa.Table) -> pa.Table:
         vocabulary, _ = shared.value
@@ -327,38 +337,47 @@ def _answer(shared):
         words, numbers = words[order], numbers[order]
         size = vocabulary.tokens + 0.5 * (vocabulary.types + 1)
         new_word = np.log10(vocabulary.strength + vocabulary.discount * vocabulary.rare_types)
-        found: list[list[np.ndarray]] = []
-        for row in sent.to_batches(max_chunksize=64):
-            for r in row.to_pylist():
-                ids, texts = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["texts"], np.int64)
-                null = np.frombuffer(r["nulls"], bool)
-                if r["sums"]:
-                    n_tokens, n_known, base, score = np.frombuffer(r["sums"]).reshape(4, -1)
-                    found.append([ids, null, texts, np.ones(len(ids)), n_tokens, n_known, base, score])
+        out = []
+        for part in sent.to_batches(max_chunksize=64):
+            for r in part.to_pylist():
+                if r["sums"] is not None:
+                    out.append((r["batch"], r["bin"], None, None, None, None, r["ids"], r["nulls"], r["sums"]))
                     continue
                 hashes, endings = np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["endings"], np.uint8)
                 n = np.zeros(len(hashes), np.int64)
                 if len(words):
                     place = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
                     n = np.where(words[place] == hashes, numbers[place], 0)
-                owner = rows_of(np.frombuffer(r["runs"], np.int64))
+                runs = np.frombuffer(r["runs"], np.uint32)
+                owner = rows_of(runs)
                 score = np.where(n > 0, np.log10(np.maximum(n, 1) - vocabulary.discount), new_word[endings])
-                zero = np.zeros(len(ids))
-                found.append([
-                    ids, null, texts, zero, zero, np.bincount(owner[n > 0], minlength=len(ids)),
-                    np.bincount(owner, np.log10((n + 0.5) / size), len(ids)), np.bincount(owner, score, len(ids)),
-                ])
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0)] * 8
-        ids, null, texts, n_texts, n_tokens, n_known, base, score = columns
-        return pa.table({
-            "doc_id": pa.array(ids.astype(np.int64), mask=null.astype(bool)), "text_hash": pa.array(texts.astype(np.int64)),
-            **{k: pa.array(v.astype(np.int64)) for k, v in (("n_texts", n_texts), ("n_tokens", n_tokens), ("n_known", n_known))},
-            "base_score": pa.array(base), "score": pa.array(score),
-        })
+                known = np.bincount(owner[n > 0], minlength=len(runs)).astype(np.uint32)
+                base = np.bincount(owner, np.log10((n + 0.5) / size), len(runs))
+                score = np.bincount(owner, score, len(runs))
+                out.append((r["batch"], r["bin"], r["rows"], known.tobytes(), base.tobytes(), score.tobytes(), None, None, None))
+        return pa.Table.from_batches([_record_batch(out, ANSWER_SCHEMA)])
 
     return answer
 
 
+def _add_up(answers: pa.Table) -> pa.Table:
+    """Of a batch of texts: its own sums and all answers, added in the order of the bins."""
+    found = sorted(answers.to_pylist(), key=lambda r: r["bin"])
+    own = next(r for r in found if r["sums"] is not None)
+    ids, null = np.frombuffer(own["ids"], np.int64), np.frombuffer(own["nulls"], bool)
+    n_tokens, known, base, score = np.frombuffer(own["sums"]).reshape(4, -1).copy()
+    for r in found:
+        if r["rows"] is not None:
+            rows = np.frombuffer(r["rows"], np.uint32)
+            known[rows] += np.frombuffer(r["known"], np.uint32)
+            base[rows] += np.frombuffer(r["base"])
+            score[rows] += np.frombuffer(r["score"])
+    return pa.table({
+        "doc_id": pa.array(ids, mask=null), "n_tokens": pa.array(n_tokens.astype(np.int64)),
+        "n_known": pa.array(known.astype(np.int64)), "base_score": pa.array(base), "score": pa.array(score),
+    })
+
+
 def score_texts(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
@@ -386,14 +405,10 @@ def score_texts(
     model = spark.sparkContext.broadcast((vocabulary, np.log10(predictive)))
     total = rows.agg(F.sum(F.octet_length("text")).cast("bigint")).first()[0] or 0
     n_bins = max(1, -(-total // settings.bin_bytes))
-    sent = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_send(model, n_bins), SENT_SCHEMA)
+    sent = rows.mapInArrow(_send(model, n_bins), SENT_SCHEMA)
     waiting = counts.select(F.pmod("word", F.lit(n_bins)).alias("bin"), "word", "n")
-    parts = waiting.groupBy("bin").cogroup(sent.groupBy("bin")).applyInArrow(_answer(model), PART_SCHEMA)
-    sums = parts.groupBy("doc_id", "text_hash").agg(*(F.sum(c).alias(c) for c in ("n_texts", "n_tokens", "n_known", "base_score", "score")))
-    each = sums.select(
-        "doc_id", held.alias("held_out"), F.expr("n_tokens div n_texts").alias("n_tokens"),
-        F.expr("n_known div n_texts").alias("n_known"), F.lit(vocabulary.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base_score") / F.col("n_texts")).alias("base_score"), (F.col("score") / F.col("n_texts")).alias("score"),
-        F.explode(F.sequence(F.lit(1), F.col("n_texts").cast("int"))).alias("_copy"),
-    ).drop("_copy")
-    return each.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+    answers = waiting.groupBy("bin").cogroup(sent.groupBy("bin")).applyInArrow(_answer(model), ANSWER_SCHEMA)
+    return answers.groupBy("batch").applyInArrow(_add_up, SCORE_SCHEMA).select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(vocabulary.tokens).cast("bigint").alias("train_tokens"),
+        "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
+    )
