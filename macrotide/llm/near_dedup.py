@@ -9,11 +9,18 @@ their weighted Jaccard similarity. A process stops once its time is past every r
 text, so a shingle costs a point or two, not one for each register.
 
 Signatures are cut into bands. Texts that share a band are candidates, and exact multiset
-Jaccard similarity decides. Equal texts are one candidate. Within a bucket no pairs are made:
-all members are compared with a few hubs; those alike leave the bucket and the others go on
-with new hubs, four times as many in each round. A member too far from a hub (under 0.6) is by
-the triangle inequality no link of what is close to it (0.8); the few in between are compared
-with these in the end, unless they have been linked by then. So no link of a bucket is lost.
+Jaccard similarity decides. Equal texts are one candidate. Within a bucket not all pairs are
+made: all members are compared with a hub; those alike leave the bucket and the others go on
+with new hubs, sixteen times as many in each round. Pairs that were not compared are left out only
+where no link is possible or needed:
+
+* A member too far from a hub (under 0.6) is by the triangle inequality no link of what is
+  close to the hub (0.8). Those in between are compared with these in the end, unless they
+  have been linked by then.
+* Shingles that no other text of the unsettled buckets has cannot be shared. What is left of two
+  texts bounds their similarity, so a text with many edits of its own is settled at once.
+
+So no link of a bucket is lost, and a large group of copies does not cost its square.
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.llm.components import connected_components
@@ -192,42 +199,50 @@ def near_duplicate_classes(
     ).select(F.col("doc_id").alias("node"), "text").write.parquet(path)
     texts = spark.read.parquet(path)
 
+    # A text that meets many others comes first as a hub: the original of a group of edited copies.
+    sizes = alive.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size"))
+    degrees = alive.join(sizes, "bucket").groupBy("node").agg(F.sum("_size").alias("degree"))
+    alive = alive.join(degrees, "node").withColumn("label", F.col("node"))
     known = None  # every pair compared so far
-    seats = None  # (bucket, node, hub) of all comparisons made
+    seats = None  # (bucket, node, hub) of all that met, similarity null where no link was possible
+    profiles = labels = None
     hubs_per_bucket = 1
     while not alive.isEmpty():
-        salted = alive.withColumn("_order", F.xxhash64("node", F.lit(hubs_per_bucket)))
-        hubs = salted.groupBy("bucket", F.pmod("_order", F.lit(hubs_per_bucket)).alias("_salt")).agg(
-            F.min_by("node", F.struct("_order", "node")).alias("hub")
-        ).select("bucket", "hub")
-        here = alive.join(hubs, "bucket").where("node != hub").checkpoint()
-        pairs = here.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        salt = F.pmod(F.xxhash64("node", F.lit(hubs_per_bucket)), F.lit(hubs_per_bucket))
+        first = F.min_by(F.struct("node", "label"), F.struct(-F.col("degree"), F.xxhash64("node"), "node"))
+        hubs = alive.groupBy("bucket", salt.alias("_salt")).agg(first.alias("_first")).select(
+            "bucket", F.col("_first.node").alias("hub"), F.col("_first.label").alias("hub_label")
+        ).checkpoint()
+        here = alive.select("bucket", "node", "label").join(hubs, "bucket").where("node != hub AND label != hub_label").select(
+            "bucket", "node", "hub", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
+        ).checkpoint()
+        pairs = here.select("a", "b").distinct()
         if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        fresh = _verify(pairs, texts).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
-        known = (fresh if known is None else known.unionByName(fresh)).checkpoint()
-        measured = here.withColumns({"a": F.least("node", "hub"), "b": F.greatest("node", "hub")}).join(
-            known, ["a", "b"]
-        ).select("bucket", "node", "hub", "similarity").checkpoint()
+            pairs = _may_link(pairs.join(known, ["a", "b"], "left_anti"), profiles, threshold)
+        fresh = _verify(pairs, texts).groupBy("a", "b").agg(F.max("similarity").alias("similarity")).checkpoint()
+        known = fresh if known is None else known.unionByName(fresh)
+        measured = here.join(known, ["a", "b"], "left").select("bucket", "node", "hub", "similarity").checkpoint()
         seats = measured if seats is None else seats.unionByName(measured)
+        labels = _joined_labels(labels, fresh.where(F.col("similarity") >= threshold).select("a", "b"))
         # Hubs have met all others; members close to a hub leave too. The rest goes on.
-        gone = hubs.withColumnRenamed("hub", "node").unionByName(
+        gone = hubs.select("bucket", F.col("hub").alias("node")).unionByName(
             measured.where(F.col("similarity") >= threshold).select("bucket", "node")
         ).distinct()
-        rest = alive.join(gone, ["bucket", "node"], "left_anti")
-        crowded = rest.groupBy("bucket").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high")
-        alive = rest.join(crowded.select("bucket"), "bucket", "left_semi").checkpoint()
-        hubs_per_bucket *= 4
+        rest = _labelled(alive.join(gone, ["bucket", "node"], "left_anti").drop("label"), labels, "node", "label")
+        if profiles is None:
+            apart = _labelled(_labelled(measured, labels, "node", "_x"), labels, "hub", "_y").where("_x != _y")
+            left = measured.join(apart.select("bucket").distinct(), "bucket", "left_semi")
+            nodes = left.select("node").unionByName(left.select(F.col("hub").alias("node"))).distinct()
+            profiles = _profiles(texts.join(nodes, "node", "left_semi"))
+        alive = _crowded(rest, profiles, threshold).checkpoint()
+        hubs_per_bucket *= 16
 
     if known is None:
         labels = spark.createDataFrame([], "node bigint, component bigint")
     else:
-        links = known.where(F.col("similarity") >= threshold)
-        labels = connected_components(links)
-        more = _verify(_border_pairs(seats, labels, threshold).join(known, ["a", "b"], "left_anti"), texts)
-        more = more.where(F.col("similarity") >= threshold).select("a", "b").checkpoint()
-        if not more.isEmpty():
-            labels = connected_components(links.select("a", "b").unionByName(more))
+        border = _border_pairs(seats, labels, profiles, threshold).join(known, ["a", "b"], "left_anti")
+        more = _verify(border.checkpoint(), texts)
+        labels = _joined_labels(labels, more.where(F.col("similarity") >= threshold).select("a", "b").checkpoint())
     classes = distinct.select("digest", "node").join(labels, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("class_id")
     )
@@ -247,22 +262,115 @@ def keep_one_of_class(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     )
 
 
-def _border_pairs(seats: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one bucket that no hub has decided: neither linked by now nor, by the triangle
-    inequality of the distance 1 - similarity, too far apart."""
-    reach = 1 - threshold
+def _profiles(texts: DataFrame) -> DataFrame:
+    """(node, n, own): shingles of each text, and those that no other of the texts has. Equal
+    shingles of one text count apart. A node of several texts has none of its own."""
 
-    def labelled(df: DataFrame, node: str, label: str) -> DataFrame:
-        names = labels.select(F.col("node").alias(node), F.col("component").alias(label))
-        return df.join(names, node, "left").withColumn(label, F.coalesce(label, node))
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, offsets in text_blocks(batch.column(1)):
+                starts, ends = word_spans(data, offsets)
+                words = np.diff(np.searchsorted(starts, offsets))
+                owner, key, weight = shingle_weights(span_hashes(LOWER[data], starts, ends), words)
+                again = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+                tokens = mix(np.repeat(key, weight) + again.astype(np.uint64) * _A).view(np.int64)
+                edges = np.append(0, np.cumsum(np.bincount(owner, weight, last - first).astype(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, last - first),
+                     pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(tokens))],
+                    names=["node", "tokens"],
+                )
 
-    open_ = seats.where((F.col("similarity") < threshold) & (F.col("similarity") >= threshold - reach)).select(
-        "bucket", "hub", F.col("node").alias("x"), (1 - F.col("similarity")).alias("far")
-    )
-    open_ = labelled(labelled(open_, "x", "label_x"), "hub", "label_hub").where("label_x != label_hub")
-    near = seats.where(F.col("similarity") >= threshold).select(
-        "bucket", "hub", F.col("node").alias("y"), (1 - F.col("similarity")).alias("close")
+    tokens = texts.select("node", "text").mapInArrow(spread, "node bigint, tokens array<bigint>").checkpoint()
+    own = tokens.select("node", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("node")
+    ).where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    sizes = tokens.groupBy("node").agg(F.max(F.size("tokens")).alias("n"), F.count(F.lit(1)).alias("_texts"))
+    return sizes.join(own, "node", "left").select(
+        "node", "n", F.when(F.col("_texts") == 1, F.coalesce("own", F.lit(0))).otherwise(0).alias("own"),
+        (F.col("_texts") == 1).alias("single"),
+    ).checkpoint()
+
+
+def _joined_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components with further links: what is known stands as one link for each node."""
+    if labels is None:
+        return connected_components(links)
+    if links.isEmpty():
+        return labels
+    return connected_components(links.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+
+def _labelled(df: DataFrame, labels: DataFrame, node: str, into: str) -> DataFrame:
+    """The component of each node, itself if it has no link."""
+    names = labels.select(F.col("node").alias(node), F.col("component").alias(into))
+    return df.join(names, node, "left").withColumn(into, F.coalesce(into, node))
+
+
+def _profiled(df: DataFrame, profiles: DataFrame, node: str, prefix: str) -> DataFrame:
+    numbers = [F.col(c).alias(f"{prefix}_{c}") for c in ("n", "own", "single")]
+    return df.join(profiles.select(F.col("node").alias(node), *numbers), node)
+
+
+def _reaches(shared: Column, x: str, y: str, threshold: float) -> Column:
+    """Whether two texts that share so many shingles at most can have the similarity."""
+    enough = shared >= threshold * (F.col(f"{x}_n") + F.col(f"{y}_n") - shared) - 1e-6
+    return enough | ~(F.col(f"{x}_single") & F.col(f"{y}_single"))
+
+
+def _may_link(pairs: DataFrame, profiles: DataFrame, threshold: float) -> DataFrame:
+    """Pairs that can be linked: they share no more than what both have in common with others."""
+    both = _profiled(_profiled(pairs, profiles, "a", "a"), profiles, "b", "b")
+    shared = F.least(F.col("a_n") - F.col("a_own"), F.col("b_n") - F.col("b_own"))
+    return both.where(_reaches(shared, "a", "b", threshold)).select("a", "b")
+
+
+def _crowded(rest: DataFrame, profiles: DataFrame, threshold: float) -> DataFrame:
+    """Members that can still be linked to a member of another component in their bucket."""
+
+    def mixed(df: DataFrame) -> DataFrame:
+        seen = df.groupBy("bucket").agg(
+            F.min("label").alias("_low"), F.max("label").alias("_high"), F.min("x_n").alias("_least")
+        ).where("_low < _high")
+        return df.join(seen.select("bucket", "_least"), "bucket")
+
+    left = F.col("x_n") - F.col("x_own")
+    possible = left >= threshold * (F.col("x_n") + F.greatest("_least", left) - left) - 1e-6
+    found = mixed(_profiled(rest, profiles, "node", "x")).where(possible | ~F.col("x_single")).drop("_least")
+    return mixed(found).select("bucket", "node", "degree", "label")
+
+
+def _border_pairs(seats: DataFrame, labels: DataFrame, profiles: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of one bucket that no hub has decided: not linked by now, and not too far apart, by
+    the triangle inequality of the distance 1 - similarity or by what they can share: what both
+    share with the hub, and outside of it what is not their own."""
+    reach = 1 - threshold
+
+    def described(df: DataFrame, node: str) -> DataFrame:
+        full = _profiled(_labelled(df, labels, node, f"{node}_label"), profiles, node, node)
+        total = F.col(f"{node}_n") + F.col("hub_n")
+        known = F.col("hub_single") & F.col(f"{node}_single") & F.col("similarity").isNotNull()
+        with_hub = F.when(known, F.round(F.col("similarity") / (1 + F.col("similarity")) * total))
+        return full.withColumn(f"{node}_hub", F.coalesce(with_hub, F.lit(0)))
+
+    seats = _labelled(_profiled(seats, profiles, "hub", "hub"), labels, "hub", "hub_label")
+    close = F.coalesce(F.col("similarity") >= threshold, F.lit(False))
+    open_ = described(
+        seats.where(~close & F.coalesce(F.col("similarity") >= threshold - reach, F.lit(True))).withColumnRenamed("node", "x"), "x"
+    ).where("x_label != hub_label").select("bucket", "hub", "x", "x_label", "x_n", "x_own", "x_single", "x_hub", (1 - F.col("similarity")).alias("far"))
+    near = described(
+        seats.where(close).join(open_.select("bucket", "hub").distinct(), ["bucket", "hub"], "left_semi").withColumnRenamed("node", "y"), "y"
+    ).select(F.col("bucket").alias("_bucket"), F.col("hub").alias("_hub"), "y", "y_label", "y_n", "y_own", "y_single", "y_hub", (1 - F.col("similarity")).alias("close"))
+    outside = [F.greatest(F.col(f"{c}_n") - F.col(f"{c}_own") - F.col(f"{c}_hub"), F.lit(0)) for c in ("x", "y")]
+    # Where an overlap with the hub is not known, all that is not a text's own may be outside.
+    inside = F.when((F.col("x_hub") > 0) & (F.col("y_hub") > 0), F.least("x_hub", "y_hub"))
+    shared = F.least(
+        F.col("x_n") - F.col("x_own"), F.col("y_n") - F.col("y_own"),
+        F.coalesce(inside + F.least(*outside), F.col("x_n").cast("double")),
     )
-    return open_.join(near, ["bucket", "hub"]).where(F.col("far") - F.col("close") <= reach + 1e-9).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    ).where("a != b").distinct()
+    # All conditions belong to the join itself, so that only pairs worth comparing leave it.
+    both = open_.join(near, (
+        (F.col("bucket") == F.col("_bucket")) & (F.col("hub") == F.col("_hub")) & (F.col("x_label") != F.col("y_label"))
+        & F.coalesce(F.col("far") - F.col("close") <= reach + 1e-9, F.lit(True)) & _reaches(shared, "x", "y", threshold)
+    ))
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
