@@ -37,26 +37,15 @@ def site_boilerplate(
 ) -> DataFrame:
     """(site, digests): the lines on over ``max_ratio`` of a site's pages and on ``min_pages``
     pages at least. Lines of white space alone are not counted."""
-    # A site's pages ride along as the row with the empty digest, so one scan counts both.
-    page = docs.select(
+    pages = docs.groupBy(_site(site_col).alias("site")).agg(F.count(F.lit(1)).alias("total"))
+    lines = docs.select(
         _site(site_col).alias("site"),
-        F.array_append(
-            F.array_distinct(F.transform(
-                F.filter(_lines(F.col(text_col).cast("string")), lambda x: F.trim(x) != ""), _digest
-            )),
-            F.lit(b"").cast("binary"),
-        ).alias("digests"),
-    )
-    counted = page.select("site", F.explode("digests").alias("digest")).groupBy("site", "digest").agg(
-        F.count(F.lit(1)).alias("pages")
-    ).where(F.col("pages") >= min_pages)
-    per_site = counted.groupBy("site").agg(
-        F.max(F.when(F.col("digest") == F.lit(b""), F.col("pages"))).alias("total"),
-        F.max("pages").alias("_most"),
-    )
-    frequent = counted.where(F.col("digest") != F.lit(b"")).join(per_site, "site").where(
-        F.col("pages") > max_ratio * F.col("total")
+        F.explode(F.array_distinct(F.transform(
+            F.filter(_lines(F.col(text_col).cast("string")), lambda x: F.trim(x) != ""), _digest
+        ))).alias("digest"),
     )
+    counted = lines.groupBy("site", "digest").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
+    frequent = counted.join(pages, "site").where(F.col("pages") > max_ratio * F.col("total"))
     return frequent.groupBy("site").agg(F.collect_list("digest").alias("digests"))
 
 
