@@ -1,13 +1,16 @@
 """Hierarchical Pitman-Yor language model with seating sampled by Gibbs sweeps.
 
-Restaurants: one for each preceding word class (contexts), which all share one parent (the
-class distribution without context), and one for each class of rare words. A class is one of the
-``n_dishes`` most frequent words, the end of a text, or the ending (last two bytes, hashed)
-of all other words. So the contexts are a table of fixed size whatever the corpus, and a text's
-probability is that of its classes in context times that of each rare word within its class.
+Restaurants: one for each preceding word, whatever its frequency; its parent is that of the
+word's class. Class restaurants share one parent (the class distribution without context), and each
+class of rare words has one for its words. A class is one of the ``n_dishes`` most frequent
+words, the end of a text, or the ending (last two bytes, hashed) of all other words. So a word that
+never followed another backs off to the classes in context times the word within its class.
 
 * Counts of all words come from one distributed aggregation, counted first in every task.
-* Context customers are pairs of classes, aggregated in the same way.
+* Customers of words are pairs of neighbouring words, aggregated in the same way. They are seated
+  in parts dealt by the context, or by the pair where the context is a frequent word. The tables
+  they open are the customers of the class restaurants, which are sampled anew in each round.
+* Customers of classes begin as pairs of classes, as if each customer had a table.
 * A sweep takes each context's customers up and seats them again one after another (blocks of
   them, once a dish has many), given the parent's predictive distribution; new tables are the
   parent's customers of the next sweep. Contexts are seated in parallel. Predictive
@@ -18,6 +21,10 @@ probability is that of its classes in context times that of each rare word withi
 Scoring looks up frequent words in the task. The other words of a batch of texts are sent to the
 bins of their hashes, where the counts of the corpus wait, and the answers meet again by batch:
 one row for each batch and bin, so the rows follow the words and not texts times bins.
+Pairs of words go the same way. With ``s`` and ``d`` for strength and discount, ``N`` customers and
+``T`` tables of a context, a word's probability is ``(s + d T) / (s + N)`` times the parent's
+times ``1 + (n - d t) / ((s + d T) parent)``. The first factor belongs to a word alone, as every
+token is a context once; the last one belongs to a pair, and is 1 for pairs never seen.
 """
 
 from __future__ import annotations
@@ -31,12 +38,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.llm.text import LOWER, rows_of, span_hashes, text_blocks, word_spans
+from macrotide.llm.text import LOWER, mix, rows_of, span_hashes, text_blocks, word_spans
 from macrotide.session import scratch_dir
 
 ENDINGS = 256
 SHARES = 64  # of the contexts, seated in parallel
 END_HASH = np.uint64(0x5EED_0F_7E47_E4D1)
+PAIR_SCHEMA = "context bigint, dish bigint, classes int, context_place int, dish_place int, n bigint"
+SEATED_SCHEMA = "context bigint, pair bigint, classes int, context_place int, n bigint, opened double, gain double, all_opened double"
 SENT_SCHEMA = (
     "bin bigint, batch bigint, rows binary, runs binary, hashes binary, endings binary, ids binary, nulls binary, sums binary"
 )
@@ -53,6 +62,9 @@ class Settings:
     burn_in: int = 3
     context: tuple[float, float] = (0.6, 5.0)  # discount and strength of the contexts
     parent: tuple[float, float] = (0.3, 10.0)
+    words: tuple[float, float] = (0.7, 2.0)  # of the contexts of single words
+    rounds: int = 2
+    part_rows: int = 1 << 19  # word pairs seated by one task
     rare_strength: float = 1.0
     bin_bytes: int = 16 << 20
 
@@ -184,6 +196,156 @@ def _contexts(dish: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary) ->
     return before
 
 
+def _before(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The word before each token; a text begins after an end."""
+    before = np.empty_like(hashes)
+    before[1:] = hashes[:-1]
+    before[np.cumsum(lengths) - lengths] = END_HASH
+    return before
+
+
+def pair_hashes(context: np.ndarray, dish: np.ndarray) -> np.ndarray:
+    return mix(context * np.uint64(0xD6E8FEB86659FD93) + dish)
+
+
+def _word_pairs(train: DataFrame, shared) -> DataFrame:
+    """(context, dish, classes, places among the frequent words or -1, n) of all pairs of
+    neighbouring training tokens."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        for batch in batches:
+            found = [[np.zeros(0, kind)] for kind in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64)]
+            for _, _, data, offsets in text_blocks(batch.column(0)):
+                hashes, endings, lengths = tokens_of(data, offsets)
+                dish, place = vocabulary.find(hashes, endings)
+                before = _before(hashes, lengths)
+                at_end = np.searchsorted(vocabulary.hashes, END_HASH)
+                context_place = np.empty_like(place)
+                context_place[1:] = place[:-1]
+                context_place[np.cumsum(lengths) - lengths] = at_end
+                _, first, n = np.unique(pair_hashes(before, hashes), return_index=True, return_counts=True)
+                classes = _contexts(dish, lengths, vocabulary)[first] * vocabulary.n_classes + dish[first]
+                for to, x in zip(found, (before[first], hashes[first], classes, context_place[first], place[first], n), strict=True):
+                    to.append(x)
+            context, dish, classes, context_place, place, n = (np.concatenate(x) for x in found)
+            _, first, back = np.unique(pair_hashes(context, dish), return_index=True, return_inverse=True)
+            total = np.bincount(back, n, len(first)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(context[first].view(np.int64)), pa.array(dish[first].view(np.int64)),
+                 *(pa.array(x[first].astype(np.int32)) for x in (classes, context_place, place)), pa.array(total)],
+                names=["context", "dish", "classes", "context_place", "dish_place", "n"],
+            )
+
+    keys = ["context", "dish", "classes", "context_place", "dish_place"]
+    return train.select("text").mapInArrow(count, PAIR_SCHEMA).groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def _with_counts(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+    """Pairs with the count of their dish where tasks do not know it. Words that are not
+    frequent are no hot keys of the join."""
+    other = pairs.where("dish_place < 0").join(
+        counts.select(F.col("word").alias("dish"), F.col("n").alias("dish_n")), "dish"
+    )
+    return pairs.where("dish_place >= 0").withColumn("dish_n", F.lit(None).cast("bigint")).unionByName(other)
+
+
+def _seat_words(shared, settings: Settings):
+    discount, strength = settings.words
+
+    def seat_words(table: pa.Table) -> pa.Table:
+        """Seat a part of the word pairs. Contexts that are frequent words may have pairs in other
+        parts, so their tables are those of the round before; others are whole."""
+        vocabulary, predictive, frequent_opened, seed = shared.value
+        context, dish, classes, context_place, dish_place, n = (
+            table.column(c).to_numpy() for c in ("context", "dish", "classes", "context_place", "dish_place", "n")
+        )
+        order = np.lexsort((dish, context))
+        context, dish, classes, context_place, dish_place, n = (
+            x[order] for x in (context, dish, classes, context_place, dish_place, n)
+        )
+        known = table.column("dish_n").fill_null(0).to_numpy()[order]
+        known = np.where(dish_place >= 0, vocabulary.counts[dish_place], known)
+        kind = classes % vocabulary.n_classes
+        ending = np.maximum(kind - vocabulary.n_dishes, 0)
+        inside = (known - vocabulary.discount) / (vocabulary.strength + vocabulary.rare_tokens[ending])
+        base = predictive[classes // vocabulary.n_classes, kind] * np.where(kind < vocabulary.n_dishes, 1.0, inside)
+        begins = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+        sizes = np.diff(np.append(begins, len(context)))
+        whole = context_place[begins] < 0
+        # Every dish has one table to begin with.
+        opened = np.where(whole, sizes, frequent_opened[context_place[begins]]).astype(np.float64)
+        mean = np.zeros(len(context))
+        rng = np.random.default_rng([seed, int(context[0]) & 0xFFFFFFFF, int(dish[0]) & 0xFFFFFFFF])
+        for sweep in range(settings.sweeps):
+            tables = seat(n, base, discount, np.repeat(strength + discount * opened, sizes), rng)
+            opened = np.where(whole, np.add.reduceat(tables, begins), opened)
+            if sweep >= settings.burn_in:
+                mean += tables
+        mean /= settings.sweeps - settings.burn_in
+        total = np.repeat(np.where(whole, np.add.reduceat(mean, begins), np.nan), sizes)
+        pair = pair_hashes(context.view(np.uint64), dish.view(np.uint64)).view(np.int64)
+        return pa.table({
+            "context": context, "pair": pair, "classes": classes, "context_place": context_place, "n": n,
+            "opened": mean, "gain": (n - discount * mean) / base, "all_opened": pa.array(total, mask=np.isnan(total)),
+        })
+
+    return seat_words
+
+
+def _sample_words(
+    pairs: DataFrame, vocabulary: Vocabulary, predictive: np.ndarray, settings: Settings
+) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Seated word pairs, the tables of contexts that are frequent words, and the predictive
+    probabilities of the classes that the pairs were seated with."""
+    spark = pairs.sparkSession
+    n_parts = max(SHARES, -(-pairs.count() // settings.part_rows))
+    spread = F.when(F.col("context_place") < 0, F.xxhash64("context")).otherwise(F.xxhash64("context", "dish"))
+    dealt = pairs.withColumn("part", F.pmod(spread, F.lit(n_parts)))
+    opened = _of_frequent(pairs.groupBy("context_place").agg(F.count(F.lit(1)).alias("opened")), vocabulary)
+    for turn in range(settings.rounds):
+        if turn:
+            customers = seated.groupBy("classes").agg(F.sum("opened").alias("n")).select(
+                F.floor(F.col("classes") / vocabulary.n_classes).cast("int").alias("context"),
+                (F.col("classes") % vocabulary.n_classes).alias("dish"), F.ceil("n").alias("n"),
+            )
+            path = scratch_dir(spark, "class-customers")
+            customers.write.parquet(path)
+            predictive = _sample(spark.read.parquet(path), vocabulary.n_classes, settings)
+        shared = spark.sparkContext.broadcast((vocabulary, predictive, opened, turn))
+        path = scratch_dir(spark, "seated-pairs")
+        dealt.groupBy("part").applyInArrow(_seat_words(shared, settings), SEATED_SCHEMA).write.parquet(path)
+        seated = spark.read.parquet(path)
+        opened = _of_frequent(seated.groupBy("context_place").agg(F.sum("opened").alias("opened")), vocabulary)
+        shared.unpersist()
+    return seated, opened, predictive
+
+
+def _of_frequent(per_place: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """A number of each frequent word, in the order of the vocabulary; as many rows at most."""
+    found = np.zeros(len(vocabulary.hashes))
+    rows = per_place.where("context_place >= 0").toArrow()
+    found[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    return found
+
+
+def _factors(shared, settings: Settings):
+    """(pair, n, value): the logarithm of the factor that a pair has over its parent."""
+    discount, strength = settings.words
+
+    def factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = shared.value
+        for batch in batches:
+            pair, n, place, gain, local = batch.columns
+            local = local.fill_null(0).to_numpy()
+            place = place.to_numpy()
+            total = np.where(place >= 0, opened[place], local)
+            value = np.log10(1 + gain.to_numpy() / (strength + discount * total))
+            yield pa.RecordBatch.from_arrays([pair, n, pa.array(value)], names=["pair", "n", "value"])
+
+    return factors
+
+
 def seat(customers: np.ndarray, base: np.ndarray, discount: float, weight: np.ndarray, rng) -> np.ndarray:
     """Tables of each dish when its customers sit down one after another: a newcomer opens a
     table with odds ``weight * base`` (``weight`` is strength plus discount times all tables)
@@ -273,7 +435,7 @@ def _send(shared, n_bins: int):
     """Sums over what a task knows, and the other words for the bins of their hashes."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, logs = shared.value
+        vocabulary, logs, backs, top_pairs, top_values = shared.value
         base_known = np.log10((vocabulary.counts + 0.5) / (vocabulary.tokens + 0.5 * (vocabulary.types + 1)))
         rare_size = np.log10(vocabulary.strength + vocabulary.rare_tokens)
         with np.errstate(invalid="ignore", divide="ignore"):
@@ -291,23 +453,31 @@ def _send(shared, n_bins: int):
                 rare = dish >= vocabulary.n_dishes
                 score[rare] -= rare_size[endings[rare]]
                 known = place >= 0
-                score[known] += rare_known[place[known]]
+                score[known] += rare_known[place[known]] + backs[place[known]]
+                pairs = pair_hashes(_before(hashes, lengths), hashes)
+                at = np.minimum(np.searchsorted(top_pairs, pairs), len(top_pairs) - 1)
+                here = top_pairs[at] == pairs if len(top_pairs) else np.zeros(len(pairs), bool)
+                score[here] += top_values[at[here]]
                 base = np.bincount(row[known], base_known[place[known]], n)
                 seen = known & (vocabulary.counts[place] > 0)
                 sums = np.stack([lengths, np.bincount(row[seen], minlength=n), base, np.bincount(row, score, n)])
-                parts.append((sums, hashes[~known], endings[~known], row[~known] + first))
-            sums, hashes, endings, row = (np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
-            bins = np.mod(hashes.view(np.int64), n_bins)
-            order = np.argsort(bins, kind="stable")
-            edges = np.searchsorted(bins[order], np.arange(n_bins + 1))
-            out = []
-            for b in np.flatnonzero(np.diff(edges)).tolist():
-                at = order[edges[b] : edges[b + 1]]
-                mine, runs = np.unique(row[at], return_counts=True)
-                out.append((
-                    b, number, mine.astype(np.uint32).tobytes(), runs.astype(np.uint32).tobytes(), hashes[at].tobytes(),
-                    endings[at].astype(np.uint8).tobytes(), None, None, None,
+                parts.append((
+                    sums, hashes[~known], endings[~known].astype(np.uint8), row[~known] + first, pairs[~here], row[~here] + first
                 ))
+            sums, hashes, endings, row, pairs, pair_row = (np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
+            out = []
+            # Messages about pairs have no endings.
+            for kinds, owner, ends in ((hashes, row, endings), (pairs, pair_row, None)):
+                bins = np.mod(kinds.view(np.int64), n_bins)
+                order = np.argsort(bins, kind="stable")
+                edges = np.searchsorted(bins[order], np.arange(n_bins + 1))
+                for b in np.flatnonzero(np.diff(edges)).tolist():
+                    at = order[edges[b] : edges[b + 1]]
+                    mine, runs = np.unique(owner[at], return_counts=True)
+                    out.append((
+                        b, number, mine.astype(np.uint32).tobytes(), runs.astype(np.uint32).tobytes(), kinds[at].tobytes(),
+                        None if ends is None else ends[at].tobytes(), None, None, None,
+                    ))
             ids = batch.column(0)
             null = ids.is_null().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(0).to_numpy()
@@ -327,14 +497,19 @@ def _record_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def _answer(shared):
-    """Of a bin: sums for each text that sent words, from the counts of the words dealt to the
-    bin. One answer for each message; what tasks summed themselves passes through."""
+    """Of a bin: sums for each text that sent words or pairs, from the words and pairs dealt to the
+    bin (a pair has no count here). One answer for each message; what tasks summed themselves passes through."""
 
     def answer(counts: pa.Table, sent: pa.Table) -> pa.Table:
-        vocabulary, _ = shared.value
-        words, numbers = counts.column("word").to_numpy().view(np.uint64), counts.column("n").to_numpy()
+        vocabulary = shared.value[0]
+        is_pair = counts.column("n").is_null().to_numpy()
+        kinds, values = counts.column("word").to_numpy().view(np.uint64), counts.column("value").to_numpy()
+        pairs, factors = kinds[is_pair], values[is_pair]
+        order = np.argsort(pairs)
+        pairs, factors = pairs[order], factors[order]
+        words, numbers, backs = kinds[~is_pair], counts.column("n").fill_null(0).to_numpy()[~is_pair], values[~is_pair]
         order = np.argsort(words)
-        words, numbers = words[order], numbers[order]
+        words, numbers, backs = words[order], numbers[order], backs[order]
         size = vocabulary.tokens + 0.5 * (vocabulary.types + 1)
         new_word = np.log10(vocabulary.strength + vocabulary.discount * vocabulary.rare_types)
         out = []
@@ -343,14 +518,24 @@ def _answer(shared):
                 if r["sums"] is not None:
                     out.append((r["batch"], r["bin"], None, None, None, None, r["ids"], r["nulls"], r["sums"]))
                     continue
-                hashes, endings = np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["endings"], np.uint8)
-                n = np.zeros(len(hashes), np.int64)
+                hashes = np.frombuffer(r["hashes"], np.uint64)
+                runs = np.frombuffer(r["runs"], np.uint32)
+                owner = rows_of(runs)
+                if r["endings"] is None:
+                    score = np.zeros(len(hashes))
+                    if len(pairs):
+                        place = np.minimum(np.searchsorted(pairs, hashes), len(pairs) - 1)
+                        score = np.where(pairs[place] == hashes, factors[place], 0)
+                    score = np.bincount(owner, score, len(runs))
+                    out.append((r["batch"], r["bin"], r["rows"], None, None, score.tobytes(), None, None, None))
+                    continue
+                endings = np.frombuffer(r["endings"], np.uint8)
+                n, back = np.zeros(len(hashes), np.int64), np.zeros(len(hashes))
                 if len(words):
                     place = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
                     n = np.where(words[place] == hashes, numbers[place], 0)
-                runs = np.frombuffer(r["runs"], np.uint32)
-                owner = rows_of(runs)
-                score = np.where(n > 0, np.log10(np.maximum(n, 1) - vocabulary.discount), new_word[endings])
+                    back = np.where(n > 0, backs[place], 0)
+                score = np.where(n > 0, np.log10(np.maximum(n, 1) - vocabulary.discount), new_word[endings]) + back
                 known = np.bincount(owner[n > 0], minlength=len(runs)).astype(np.uint32)
                 base = np.bincount(owner, np.log10((n + 0.5) / size), len(runs))
                 score = np.bincount(owner, score, len(runs))
@@ -362,15 +547,16 @@ def _answer(shared):
 
 def _add_up(answers: pa.Table) -> pa.Table:
     """Of a batch of texts: its own sums and all answers, added in the order of the bins."""
-    found = sorted(answers.to_pylist(), key=lambda r: r["bin"])
+    found = sorted(answers.to_pylist(), key=lambda r: (r["bin"], r["known"] is None))
     own = next(r for r in found if r["sums"] is not None)
     ids, null = np.frombuffer(own["ids"], np.int64), np.frombuffer(own["nulls"], bool)
     n_tokens, known, base, score = np.frombuffer(own["sums"]).reshape(4, -1).copy()
     for r in found:
         if r["rows"] is not None:
             rows = np.frombuffer(r["rows"], np.uint32)
-            known[rows] += np.frombuffer(r["known"], np.uint32)
-            base[rows] += np.frombuffer(r["base"])
+            if r["known"] is not None:
+                known[rows] += np.frombuffer(r["known"], np.uint32)
+                base[rows] += np.frombuffer(r["base"])
             score[rows] += np.frombuffer(r["score"])
     return pa.table({
         "doc_id": pa.array(ids, mask=null), "n_tokens": pa.array(n_tokens.astype(np.int64)),
@@ -402,11 +588,31 @@ def score_texts(
     path = scratch_dir(spark, "class-pairs")
     _class_pairs(train, shared).write.parquet(path)
     predictive = _sample(spark.read.parquet(path), vocabulary.n_classes, settings)
-    model = spark.sparkContext.broadcast((vocabulary, np.log10(predictive)))
+    path = scratch_dir(spark, "word-pairs")
+    _with_counts(_word_pairs(train, shared), counts).write.parquet(path)
+    seated, opened, predictive = _sample_words(spark.read.parquet(path), vocabulary, predictive, settings)
+    path = scratch_dir(spark, "pair-factors")
+    seated.select("pair", "n", "context_place", "gain", "all_opened").mapInArrow(
+        _factors(spark.sparkContext.broadcast(opened), settings), "pair bigint, n bigint, value double"
+    ).write.parquet(path)
+    factors = spark.read.parquet(path)
+    discount, strength = settings.words
+    customers = _of_frequent(seated.groupBy("context_place").agg(F.sum("n").alias("n")), vocabulary)
+    backs = np.log10((strength + discount * opened) / (strength + customers))
+    top = factors.orderBy(F.desc("n"), "pair").limit(settings.n_frequent).toArrow()
+    order = np.argsort(top.column("pair").to_numpy().view(np.uint64))
+    top_pairs, top_values = top.column("pair").to_numpy().view(np.uint64)[order], top.column("value").to_numpy()[order]
+    model = spark.sparkContext.broadcast((vocabulary, np.log10(predictive), backs, top_pairs, top_values))
     total = rows.agg(F.sum(F.octet_length("text")).cast("bigint")).first()[0] or 0
     n_bins = max(1, -(-total // settings.bin_bytes))
     sent = rows.mapInArrow(_send(model, n_bins), SENT_SCHEMA)
-    waiting = counts.select(F.pmod("word", F.lit(n_bins)).alias("bin"), "word", "n")
+    # Tasks know the factors of frequent words themselves.
+    others = seated.where("context_place < 0").groupBy(F.col("context").alias("word")).agg(
+        F.log10((strength + discount * F.sum("opened")) / (strength + F.sum("n"))).alias("value")
+    )
+    waiting = counts.join(others, "word", "left").select("word", "n", F.coalesce("value", F.lit(0.0)).alias("value")).unionByName(
+        factors.select(F.col("pair").alias("word"), F.lit(None).cast("bigint").alias("n"), "value")
+    ).select(F.pmod("word", F.lit(n_bins)).alias("bin"), "word", "n", "value")
     answers = waiting.groupBy("bin").cogroup(sent.groupBy("bin")).applyInArrow(_answer(model), ANSWER_SCHEMA)
     return answers.groupBy("batch").applyInArrow(_add_up, SCORE_SCHEMA).select(
         "doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(vocabulary.tokens).cast("bigint").alias("train_tokens"),

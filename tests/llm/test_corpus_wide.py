@@ -224,6 +224,18 @@ def test_language_model_of_odd_rows(frame, odd_rows):
     assert language_model.score_texts(frame([]), settings=small).count() == 0
 
 
+def test_words_keep_their_identity_as_contexts(frame):
+    """Two held-out texts of the same rare words, which differ only in what follows what."""
+    held = [i for i in range(10_000, 10_100) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    rows = [(k, "s", " ".join(f"x{(k + j) % 60}aa y{(k + j) % 60}bb" for j in range(0, 60, 7))) for k in range(300)]
+    rows += [(held[0], "s", "x3aa y3bb x8aa y8bb"), (held[1], "s", "x3aa y8bb x8aa y3bb")]
+    small = language_model.Settings(n_dishes=4, n_frequent=10)
+    found = {r.doc_id: r for r in language_model.score_texts(frame(rows), settings=small).collect()}
+    good, bad = (found[i] for i in held)
+    assert good.held_out and bad.held_out and math.isclose(good.base_score, bad.base_score)
+    assert good.score > bad.score + 2
+
+
 def test_predictive_probabilities_sum_to_one(spark):
     """Over all events: each known word, and the unseen words of each ending."""
     rows = spark.createDataFrame(
