@@ -20,8 +20,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source."""
-    found = line_dedup.drop_boilerplate_lines(docs)
+    """All documents, without the boilerplate lines of their source. Copies count once: their
+    duplicates go in the next stage, and with lines voted out by copies all of them would."""
+    found = line_dedup.drop_boilerplate_lines(docs, distinct_texts=True)
     return found.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 
 

@@ -48,3 +48,16 @@ def test_stages_take_empty_tables(spark):
 
 def test_registered_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+
+
+def test_a_group_of_copies_leaves_one_document_with_its_text(spark):
+    """Copies are a third of a site's rows; a line of many other pages is boilerplate still."""
+    copy = "\n".join(f"line {k} of the copied page has words {k * 7} of its own" for k in range(6))
+    rows = [(k, "a", copy) for k in range(30)]
+    rows += [(k, "a", "\n".join(["menu", *(f"page {k} line {j} says {k * j + j}" for j in range(5))])) for k in range(30, 90)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string").selectExpr("*", "length(text) AS n_chars")
+    kept = corpus_pipeline.line_boilerplate(spark, docs, SF_DIR)
+    found = {r.doc_id: r.text for r in kept.collect()}
+    assert found == {i: t.removeprefix("menu\n") for i, _, t in rows}
+    left = corpus_pipeline.mixture(spark, corpus_pipeline.near_duplicates(spark, kept, SF_DIR), SF_DIR)
+    assert 0 in {r.doc_id for r in left.collect()}
