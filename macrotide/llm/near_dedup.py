@@ -142,18 +142,19 @@ def _sign(rows: DataFrame, registers: int, rows_per_band: int) -> DataFrame:
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, similarity) of pairs, from the texts themselves. A hub's shingles are kept from
-    one pair to the next."""
+    one pair to the next, apart for each of its texts if it has several."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: OrderedDict[int, Counter] = OrderedDict()
+        kept: OrderedDict[tuple[int, str], Counter] = OrderedDict()
 
         def of(name: int, text: str) -> Counter:
-            if name not in kept:
-                kept[name] = shingles(text.encode())
+            key = (name, text)
+            if key not in kept:
+                kept[key] = shingles(text.encode())
                 while len(kept) > 8:
                     kept.popitem(last=False)
-            kept.move_to_end(name)
-            return kept[name]
+            kept.move_to_end(key)
+            return kept[key]
 
         for batch in batches:
             a, b, text_a, text_b = batch.columns

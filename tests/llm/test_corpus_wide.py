@@ -117,6 +117,16 @@ def test_a_group_of_edited_copies_is_not_compared_with_itself(spark, frame, monk
     assert sum(compared) < 260 * 260 / 2 / 5
 
 
+def test_an_id_with_two_texts_is_compared_by_both(frame):
+    rng, rows = random.Random(4), []
+    for k in range(12):
+        near, other = ([f"{c}{rng.randint(0, 10**6)}" for _ in range(80)] for c in "no")
+        texts = [(1000 + k, " ".join(edited(rng, near, 1))), (1000 + k, " ".join(other))]
+        rows += [(k, " ".join(near)), *(texts if k % 2 else texts[::-1])]
+    found = near_dedup.near_duplicate_classes(frame([(i, "s", t) for i, t in rows]))
+    assert sorted(map(tuple, found.collect())) == brute_classes(rows)
+
+
 def test_near_duplicates_of_odd_rows(frame, odd_rows):
     found = near_dedup.near_duplicate_classes(frame(odd_rows))
     assert Counter(r.doc_id for r in found.collect()) == Counter(r[0] for r in odd_rows)
