@@ -19,10 +19,14 @@ from pyspark.sql import functions as F
 
 from macrotide.llm.text import text_bytes
 
+PIECES = 16  # of a long text in the sample
+
+
 @dataclass(frozen=True)
 class TrainingBounds:
-    """The sample: rows of each label, in hash order, of at most so many bytes; a step of
-    the training looks at so many chunks of a text, drawn anew in each epoch."""
+    """The sample: rows of each label, in hash order; of a text with more than so many bytes,
+    ``PIECES`` pieces that add up to them. A step of the training looks at so many chunks of a
+    text, drawn anew in each epoch."""
 
     rows_per_label: int = 1500
     text_bytes: int = 1 << 16
@@ -168,6 +172,18 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
 
 
+def _sampled_bytes(row_id: Column, text: Column, limit: int) -> Column:
+    """A text of up to ``limit`` bytes; of a longer one a piece from each of its ``PIECES``
+    parts, at a place that a hash of the id draws."""
+    data, size = text.cast("binary"), F.octet_length(text)
+    length, part = max(1, limit // PIECES), F.floor(size / PIECES)
+    room = F.greatest(part - length + 1, F.lit(1))
+    pieces = [
+        F.substring(data, (part * k + F.pmod(F.xxhash64(row_id, F.lit(k)), room) + 1).cast("int"), F.lit(length)) for k in range(PIECES)
+    ]
+    return F.when(size <= limit, data).otherwise(F.concat(*pieces))
+
+
 def train_quality(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id",
     label_col: str = "quality", bounds: TrainingBounds = TrainingBounds(),
@@ -176,7 +192,8 @@ def train_quality(
     that they give, and 0.5 without any label.
 
     Rows with a null label or id are not learned from. The sample has the first rows of each
-    label in the order of a hash of the id, without texts longer than ``bounds.text_bytes``."""
+    label in the order of a hash of the id, whatever their length; texts longer than
+    ``bounds.text_bytes`` are sampled in pieces."""
     known = labels.select(
         F.col(label_id).cast("bigint").alias("_id"), F.col(label_col).cast("int").alias("_label")
     ).where(F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out(F.col("_id")))
@@ -188,10 +205,12 @@ def train_quality(
     for label in (0, 1):
         # The hash order is taken on ids alone; texts are fetched for the chosen few only.
         ids = known.where(F.col("_label") == label).select("_id").join(
-            rows.where(F.octet_length("_text") <= bounds.text_bytes).select("_id"), "_id", "left_semi"
+            rows.select("_id"), "_id", "left_semi"
         ).distinct().orderBy(F.xxhash64("_id")).limit(bounds.rows_per_label)
-        found = rows.where(F.octet_length("_text") <= bounds.text_bytes).join(F.broadcast(ids), "_id", "left_semi").select("_id", "_text")
-        samples[label] = sorted((r["_id"], r["_text"].encode()) for r in found.limit(4 * bounds.rows_per_label).collect())
+        found = rows.join(F.broadcast(ids), "_id", "left_semi").select(
+            "_id", _sampled_bytes(F.col("_id"), F.col("_text"), bounds.text_bytes).alias("_bytes")
+        )
+        samples[label] = sorted((r["_id"], bytes(r["_bytes"])) for r in found.limit(4 * bounds.rows_per_label).collect())
     if not samples[0] or not samples[1]:
         return 0.5 if not totals else float(not samples[0])
     texts = [t for label in (0, 1) for _, t in samples[label]]

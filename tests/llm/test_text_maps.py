@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from macrotide.llm import byte_cnn, decontamination, quality_rules, token_counts
 from tests.conftest import SF_DIR
@@ -155,6 +156,25 @@ def test_classifier_scores_odd_rows_and_learns_from_few(frame, odd_rows, spark):
     assert byte_cnn.keep_quality(frame(odd_rows), 1.0).count() == len(odd_rows)
 
 
+def test_long_texts_are_learned_from(frame, spark):
+    """All texts of label 1 are over the limit for whole texts."""
+    rng = random.Random(3)
+    fine = ["the river ran past old houses and people spoke of it with care. " * 30 for _ in range(40)]
+    junk = ["".join(rng.choice("#%&0123456789!xq ") for _ in range(900)) for _ in range(40)]
+    rows = [(k, "a", t) for k, t in enumerate(junk + fine)]
+    labels = spark.createDataFrame([(k, int(k >= 40)) for k in range(80)], "doc_id bigint, quality int")
+    model = byte_cnn.train_quality(frame(rows), labels, bounds=byte_cnn.TrainingBounds(text_bytes=1024))
+    scores = dict(tuples(byte_cnn.score_quality(frame([(1, "a", junk[0]), (2, "a", fine[0])]), model), "doc_id", "score"))
+    assert scores[1] < 0.3 < scores[2]
+    # Pieces are bytes of the text in order, also where characters have several.
+    text = "é日b" * 5000
+    found = frame([(7, "a", text), (8, "a", "short")]).select(
+        byte_cnn._sampled_bytes(F.col("doc_id"), F.col("text"), 1600).alias("b")
+    ).collect()
+    pieces = [bytes(found[0].b)[k : k + 100] for k in range(0, 1600, 100)]
+    assert len(found[0].b) == 1600 and all(p in text.encode() for p in pieces) and bytes(found[1].b) == b"short"
+
+
 def test_labels_of_one_kind_or_none_give_a_constant(frame, spark):
     rows = frame([(1, "a", "x y z"), (2, "a", "p q r"), (3, "a", None)])
     none = spark.createDataFrame([], "doc_id bigint, quality int")
