@@ -40,7 +40,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The schedule of document copies, mixed to the target weights of the sources."""
-    return mixing.mix_sources(docs)
+    return mixing.mix_sources(docs, every_source=True)
 
 
 STAGES = [

@@ -96,13 +96,15 @@ def _bisect(shares: DataFrame, holds, upward: bool) -> float:
 def mix_sources(
     docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
     entropy_ratio: float = 0.95, max_passes: float = 4.0, volume: float = 1.0, block_digits: int = 3, seed: str = "mix",
+    every_source: bool = False,
 ) -> DataFrame:
     """One row for each scheduled copy of a document: doc_id, source, n_tokens, pass (from 0),
     block (hex digits) and place, a key by which the copies are in mixed order.
 
     Budgets are ``volume`` times all tokens, dealt by weight. A source takes whole passes
     while they fit, and of the next pass its blocks in that pass's order, up to the document
-    that reaches the budget. Ties of the order are broken by id. Documents without words weigh nothing
+    that reaches the budget. Weights are rounded to 9 decimals, so a source may have a budget of
+    nothing; with ``every_source`` it still gives one document. Ties of the order are broken by id. Documents without words weigh nothing
     and are not scheduled. A null source is one of its own, named by a NUL character. Null
     ids and repeated rows are scheduled like others; other columns are not read."""
     spark = docs.sparkSession
@@ -121,9 +123,9 @@ def mix_sources(
     shares = sources.withColumn("share", F.col("tokens") / F.lit(float(total)))
     exponent = find_exponent(shares, entropy_ratio=entropy_ratio, max_passes=max_passes, volume=volume)
     norm = _measures(shares, [exponent])[exponent][2]
+    budget = F.floor(F.round(F.pow("share", F.lit(exponent)) / F.lit(norm), 9) * F.lit(volume * total))
     budgets = shares.select(
-        "source", "tokens",
-        F.floor(F.round(F.pow("share", F.lit(exponent)) / F.lit(norm), 9) * F.lit(volume * total)).alias("budget"),
+        "source", "tokens", (F.greatest(budget, F.lit(1)) if every_source else budget).alias("budget")
     ).select("source", F.floor(F.col("budget") / F.col("tokens")).alias("whole"), (F.col("budget") % F.col("tokens")).alias("rest"))
 
     def key(number: Column) -> Column:

@@ -129,6 +129,16 @@ def test_mixture_matches_brute_force(frame, odd_rows, entropy_ratio, max_passes)
     found = mixing.mix_sources(frame(rows), entropy_ratio=entropy_ratio, max_passes=max_passes, block_digits=1)
     assert Counter(tuples(found, "doc_id", "source", "n_tokens", "pass")) == Counter(brute_mix(rows, entropy_ratio, max_passes))
 
+
+def test_a_source_of_almost_no_weight_gives_one_document(frame):
+    rows = [(k, "big", "w " * 200) for k in range(100)] + [(500, "small", "one two"), (501, "small", "three four")]
+    settings = {"entropy_ratio": 0.0, "volume": 0.01}  # the small source's budget is below one word
+    found = mixing.mix_sources(frame(rows), every_source=True, **settings).collect()
+    plain = mixing.mix_sources(frame(rows), **settings).collect()
+    assert [r.source for r in found].count("small") == 1 and "small" not in {r.source for r in plain}
+    assert Counter(r for r in found if r.source == "big") == Counter(plain)
+
+
 def test_nothing_to_mix(frame):
     assert mixing.mix_sources(frame([])).count() == 0
     assert mixing.mix_sources(frame([(1, "a", None), (2, None, " ")])).count() == 0
