@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macrotide.llm import byte_cnn, decontamination, language_model, line_dedup, mixing, near_dedup, quality_rules
-from macrotide.llm import substring_dedup, token_counts, url_filters
+from macrotide.llm import byte_cnn, decontamination, html_extraction, language_model, lexical_search, line_dedup, mixing, near_dedup
+from macrotide.llm import quality_rules, substring_dedup, token_alignment, token_counts, url_filters
 from macrotide.session import share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,3 +226,43 @@ QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS
 def op10(spark, sf_dir):
     rules = spark.sql(f"SELECT * FROM {RULES} AS rules(host, path, verdict)")
     return url_filters.url_verdicts(table(spark, sf_dir, "pages"), rules)
+
+
+OP11_SQL = rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{lexical_search.TERM}') AS w FROM documents
+), i AS MATERIALIZED (
+  SELECT item_id, term, count(*) AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{lexical_search.TERM}')) AS term FROM benchmark) GROUP BY ALL
+), t AS MATERIALIZED (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+f AS MATERIALIZED (
+  SELECT row_, doc_id, n, term, count(*) AS tf FROM (SELECT row_, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY ALL
+), weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM f, t GROUP BY term, n_docs),
+impacts AS (
+  SELECT row_, doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)) AS impact FROM f, t
+), s AS (
+  SELECT item_id, doc_id, row_, CAST(sum(q * weight * impact) AS BIGINT) AS score
+  FROM i JOIN weights USING (term) JOIN impacts USING (term) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0
+WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER w <= 10
+"""
+
+
+@query("op11_ranked_search", OP11_SQL)
+def op11(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_token_alignment")
+def op12(spark, sf_dir):
+    import public_tokenizers
+
+    first, second = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents"), first, second)
+
+
+@query("op13_html_main_text")
+def op13(spark, sf_dir):
+    return html_extraction.extract_text(table(spark, sf_dir, "pages"))
