@@ -20,7 +20,8 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import groupby
+from dataclasses import dataclass
+from itertools import chain, groupby
 from operator import itemgetter
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.llm.text import mix, rows_of
+from macrotide.llm.text import mix, rows_of, text_blocks
 from macrotide.session import scratch_dir
 
 SCHEMA = (
@@ -83,36 +84,53 @@ class Vocabularies:
         self.bytes_a = [b""] * self.a.get_vocab_size()
         for piece, i in self.a.get_vocab().items():
             self.bytes_a[i] = added[i].encode() if i in added else bytes(byte_of[c] for c in piece)
-        self.names_a, self.names_b = ([str(i) for i in range(len(x))] for x in (self.bytes_a, self.bytes_b))
+        self.len_a, self.len_b = (np.array([len(x) for x in own], np.int64) for own in (self.bytes_a, self.bytes_b))
+        # Ids as text with the sign behind them: inside a group, and at its end.
+        self.names_a, self.ends_a = self._names(len(self.bytes_a), ","), self._names(len(self.bytes_a), "|")
+        self.names_b, self.ends_b = self._names(len(self.bytes_b), ","), self._names(len(self.bytes_b), ";")
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+    @staticmethod
+    def _names(n: int, sign: str) -> np.ndarray:
+        return np.array([f"{i}{sign}" for i in range(n)], object)
+
+    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of both for texts that start with the space the second one adds itself."""
-        found = self.b.encode([t[1:] for t in texts], num_threads=1)
-        for text, a, b in zip(texts, self.a.encode_batch_fast(texts, add_special_tokens=False), found, strict=True):
-            yield a.ids, b if text != " " else [self.space]
+        a = self.a.encode_batch_fast(texts, add_special_tokens=False)
+        b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        return [(x.ids, y if t != " " else [self.space]) for t, x, y in zip(texts, a, b, strict=True)]
 
-    def align(self, text: str, a: list[int], b: list[int]) -> tuple[int, int, int, list[int], str] | None:
-        """(tokens of each, groups, linked pairs, groups as text); None where bytes differ from the text's."""
-        bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
+    def spells(self, text: str, a: list[int], b: list[int]) -> bool:
         whole = text.encode()
-        if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
-            return None
-        groups, pairs = [], []
-        i = j = from_a = from_b = end_a = end_b = 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b and i < len(a):
-                end_a += len(bytes_a[i])
-                i += 1
-            else:
-                end_b += len(bytes_b[j])
-                j += 1
-            if end_a == end_b and i > from_a and j > from_b:
-                pairs.append(b[j - 1] << _SECOND | a[i - 1])
-                groups.append(
-                    ",".join([self.names_a[x] for x in a[from_a:i]]) + "|" + ",".join([self.names_b[x] for x in b[from_b:j]])
-                )
-                from_a, from_b = i, j
-        return len(a), len(b), len(groups), pairs, ";".join(groups)
+        return b"".join([self.bytes_a[i] for i in a]) == whole == b"".join([self.bytes_b[i] for i in b])
+
+
+@dataclass
+class Aligned:
+    """Tokens of both vocabularies and links of each chunk of a batch; the linked pairs of all; the groups of each as text."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    links: np.ndarray
+    pairs: np.ndarray
+    names: list[str]
+
+
+def align(words: Vocabularies, encoded: list[tuple[list[int], list[int]]]) -> Aligned:
+    """Chunks that both spell byte for byte, so that their ends meet wherever a chunk ends."""
+    n_a, n_b = (np.array([len(pair[k]) for pair in encoded], np.int64) for k in (0, 1))
+    a, b = (np.fromiter(chain.from_iterable(pair[k] for pair in encoded), np.int64) for k in (0, 1))
+    ends_a, ends_b = np.cumsum(words.len_a[a]), np.cumsum(words.len_b[b])
+    last_a, last_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
+    # The place of each token when every group's first tokens stand before its second ones.
+    upto_a, upto_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1  # tokens to the end of each group
+    group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    signs = np.empty(len(a) + len(b), object)
+    signs[np.arange(len(a)) + np.concatenate([[0], upto_b])[group_a]] = np.where(last_a, words.ends_a[a], words.names_a[a])
+    signs[np.arange(len(b)) + upto_a[group_b]] = np.where(last_b, words.ends_b[b], words.names_b[b])
+    signs, ends = signs.tolist(), np.cumsum(n_a + n_b).tolist()
+    names = ["".join(signs[x:y]) for x, y in zip([0, *ends[:-1]], ends, strict=True)]
+    links = np.diff(np.concatenate([[0], np.cumsum(last_a)])[np.cumsum(n_a)], prepend=0)
+    return Aligned(n_a, n_b, links, b[last_b] << _SECOND | a[last_a], names)
 
 
 class Run:
@@ -125,45 +143,56 @@ class Run:
 
     def clear_table(self) -> None:
         self.known: dict[str, int] = {}
-        self.sizes, self.names = [], []  # by number: (tokens, tokens, groups), groups as text
-        self.pairs, self.ends, self.chars = array("q"), array("q"), 0
+        self.names: list[str] = []
+        # By number: tokens (-1: bytes differ), tokens, links.
+        self.n_a, self.n_b, self.links, self.pairs, self.chars = array("q"), array("q"), array("q"), array("q"), 0
 
     def clear_texts(self) -> None:
-        self.chunks, self.chunk_counts, self.rows, self.bytes = array("q"), array("q"), [], 0
+        self.chunks, self.chunk_counts, self.rows, self.bytes = [], [], [], 0
 
     def learn(self, chunks: list[str]) -> None:
-        for chunk, (a, b) in zip(chunks, self.words.encode(chunks), strict=True):
-            found = self.words.align(chunk, a, b)
-            n_a, n_b, n_groups, pairs, names = found or (-1, 0, 0, [], "")
-            self.known[chunk] = len(self.sizes)
-            self.sizes.append((n_a, n_b, n_groups))
-            self.names.append(names)
-            self.pairs.extend(pairs)
-            self.ends.append(len(self.pairs))
-            self.chars += len(chunk)
-
-    def add(self, doc_id: int | None, text: str | None) -> None:
-        numbers: list[int] = []
-        if text:
-            chunks = CHUNK.findall(" " + text)
-            if missing := [c for c in dict.fromkeys(chunks) if c not in self.known]:
-                self.learn(missing)
-            numbers = [self.known[c] for c in chunks]
-            if any(self.sizes[k][0] < 0 for k in set(numbers)):  # some chunk's bytes differ, and so do the text's
-                numbers = []
-        sizes = np.array([self.sizes[k] for k in numbers], np.int64).reshape(-1, 3).sum(0)
-        digest = hashlib.sha256(";".join([self.names[k] for k in numbers]).encode()).hexdigest() if numbers else ""
-        self.rows.append((doc_id, *sizes.tolist(), digest))
-        self.chunks.extend(numbers)
-        self.chunk_counts.append(len(numbers))
-        self.bytes += len(text or "")
+        encoded = self.words.encode(chunks)
+        whole = "".join(chunks).encode()
+        good = np.ones(len(chunks), bool)
+        if any(b"".join([own[i] for e in encoded for i in e[k]]) != whole for k, own in enumerate((self.words.bytes_a, self.words.bytes_b))):
+            good[:] = [self.words.spells(c, *e) for c, e in zip(chunks, encoded, strict=True)]
+            # Bytes that differ leave the chunk without tokens, and its texts with it.
+            chunks = [c for c, ok in zip(chunks, good, strict=True) if ok] + [c for c, ok in zip(chunks, good, strict=True) if not ok]
+            encoded = [e for e, ok in zip(encoded, good, strict=True) if ok]
+        found, bad = align(self.words, encoded), len(chunks) - len(encoded)
+        self.known.update(zip(chunks, range(len(self.names), len(self.names) + len(chunks)), strict=True))
+        self.names += [*found.names, *[""] * bad]
+        for own, values, filler in ((self.n_a, found.n_a, -1), (self.n_b, found.n_b, 0), (self.links, found.links, 0)):
+            own.frombytes(values.tobytes())
+            own.extend([filler] * bad)
+        self.pairs.frombytes(found.pairs.tobytes())
+        self.chars += sum(map(len, chunks))
+
+    def add(self, ids: list[int | None], texts: list[str | None]) -> None:
+        cut = [CHUNK.findall(" " + t) if t else [] for t in texts]
+        known = self.known
+        if missing := list({c for chunks in cut for c in chunks if c not in known}):
+            self.learn(missing)
+        n_a, n_b, links = (np.frombuffer(own, np.int64) if own else np.zeros(0, np.int64) for own in (self.n_a, self.n_b, self.links))
+        for doc_id, text, chunks in zip(ids, texts, cut, strict=True):
+            numbers = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+            if (n_a[numbers] < 0).any():
+                numbers = numbers[:0]
+            digest = ""
+            if len(numbers):
+                names = self.names
+                digest = hashlib.sha256("".join([names[k] for k in numbers.tolist()])[:-1].encode()).hexdigest()
+            self.rows.append((doc_id, int(n_a[numbers].sum()), int(n_b[numbers].sum()), int(links[numbers].sum()), digest))
+            self.chunks.append(numbers)
+            self.chunk_counts.append(len(numbers))
+            self.bytes += len(text or "")
 
     def full(self, run_bytes: int) -> bool:
         return self.bytes >= run_bytes or self.chars >= run_bytes
 
     def written(self, run: int) -> Iterator[tuple]:
         """The rows of the run: the heads of its bins, then its documents and records."""
-        flat, ends = np.array(self.pairs, np.int64), np.array(self.ends, np.int64)
+        flat, links = np.array(self.pairs, np.int64), np.array(self.links, np.int64)
         keys, which = np.unique(flat, return_inverse=True)
         digits = (mix(keys >> _SECOND) % np.uint64(self.bins)).astype(np.int64)
         order = np.argsort(digits, kind="stable")  # inside a digit by second id, then first
@@ -172,10 +201,9 @@ class Run:
         place[order] = np.arange(len(order))
 
         docs = rows_of(np.array(self.chunk_counts, np.int64))
-        once, n = np.unique(np.array(self.chunks, np.int64) << 32 | docs, return_counts=True)
+        once, n = np.unique(np.concatenate(self.chunks) << 32 | docs, return_counts=True)
         chunk, doc = once >> 32, once & 0xFFFFFFFF
-        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-        sizes = (ends - starts)[chunk]
+        starts, sizes = np.cumsum(links) - links, links[chunk]
         owner = rows_of(sizes)
         at = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner] + starts[chunk][owner]
         cells = place[which[at]] << 32 | doc[owner]
@@ -221,8 +249,8 @@ def write_runs(docs: DataFrame, first: str, second: str, *, id_col: str, text_co
             run.clear_texts()
 
         for batch in batches:
-            for doc_id, text in zip(*batch.columns, strict=True):
-                run.add(doc_id.as_py(), text.as_py())
+            for begin, end, _, _ in text_blocks(batch.column(1)):
+                run.add(*(c.slice(begin, end - begin).to_pylist() for c in batch.columns))
                 if run.full(run_bytes):
                     yield from flush()
         if run.rows:
