@@ -129,7 +129,7 @@ def blocks_from(df: DataFrame, height: int) -> DataFrame:
 
 
 # Types that an aggregation buffer can update in place; the value stands before all others.
-_LOWEST = {
+LOWEST = {
     "date": "date'0001-01-01'", "timestamp": "timestamp'0001-01-01'", "timestamp_ntz": "timestamp_ntz'0001-01-01'",
     "int": "-2147483648", "bigint": "-9223372036854775808L", "double": "double('-Infinity')",
 }
@@ -152,8 +152,8 @@ def latest_version(df: DataFrame, keys: Names, order: Names, apart: Names = ())
         return latest_version(numbered, [*keys, "_apart"], order).select(*df.columns)
     rest = [c for c in df.columns if c not in keys]
     kinds = {c: df.schema[c].dataType.simpleString() for c in df.columns}
-    if len(order) == 1 and all(kinds[c] in _LOWEST for c in {*rest, *order}):
-        rank = F.coalesce(F.col(order[0]), F.expr(_LOWEST[kinds[order[0]]]))
+    if len(order) == 1 and all(kinds[c] in LOWEST for c in {*rest, *order}):
+        rank = F.coalesce(F.col(order[0]), F.expr(LOWEST[kinds[order[0]]]))
         picked = df.groupBy(*keys).agg(*[F.max_by(c, rank).alias(c) for c in rest])
         return picked.select(*df.columns)
     newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from macrotide.operators.clean import with_series_meta
-from macrotide.operators.common import Names, as_list, by_key, written
+from macrotide.operators.common import Names, as_list, by_key
+from macrotide.operators.prefix import Running, prefix_scan
 from macrotide.operators.series import indicator_trend
 
 
@@ -76,17 +77,15 @@ def fact_network(blocks: DataFrame, fees: DataFrame, mempool: DataFrame) -> Data
 
 def asof_join(
     left: DataFrame, right: DataFrame, key: Names, ts: str, cols: Sequence[str], *,
-    right_ts: str | None = None, rows_per_task: int = 2_000_000,
+    right_ts: str | None = None, pieces: int | None = None,
 ) -> DataFrame:
     """Each left row with ``cols`` of the latest right row of its key at or before it;
-    null keys and times match nothing.
-
-    Both sides are put in one time order per key, and the last right row is carried
-    forward to the left rows: one exchange, no range join. Keys are counted first. A key
-    with more than ``rows_per_task`` rows is cut at quantiles of its own times, so a burst is
-    cut as finely as its rows demand; one row per bucket then carries the last right row
-    into the buckets after it. Rows of one key at one instant stay together. Left rows that
-    can match nothing pass by the exchange.
+    null keys and times match nothing. Of right rows at one instant either may stand.
+
+    Both sides are put in one time order and the last right row is carried forward to the left rows by a
+    prefix scan: no range join, each side read by one scan, and a key with all rows is dealt over all tasks
+    like any other. Only rows of one key at one instant stay together. Left rows that can match nothing
+    pass by the exchange.
     """
     keys, cols = as_list(key), list(cols)
     right_ts = right_ts or ts
@@ -97,21 +96,8 @@ def asof_join(
         *keys, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), F.struct(*cols).alias("_right")
     )
     both = left_rows.unionByName(right_rows, allowMissingColumns=True)
-
-    borders = time_borders(both.select(*keys, "_ts"), keys, rows_per_task)
-    if borders is None:
-        both = both.withColumn("_bucket", F.lit(0))
-    else:
-        cut = F.size(F.filter("_borders", lambda b: b < F.col("_ts")))
-        both = both.join(borders, keys, "left").withColumn("_bucket", F.coalesce(cut, F.lit(0))).drop("_borders")
-    grouped = [*keys, "_bucket"] if borders is not None else keys
-
-    order = Window.partitionBy(*grouped).orderBy("_ts", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("_found", F.last("_right", ignorenulls=True).over(order)).filter(F.col("_side") == 1)
-    if borders is not None:
-        found = found.join(_carried(both.join(borders, keys, "left_semi"), keys, cols), grouped, "left")
-        found = found.withColumn("_found", F.coalesce("_found", "_carry"))
-    matched = found.select(
+    found = prefix_scan(both, keys, ["_ts", "_side"], {"_found": Running("last", "_right")}, pieces)
+    matched = found.filter(F.col("_side") == 1).select(
         *[F.col("_ts").alias(c) if c == ts else F.col(c) for c in left.columns],
         *[F.col(f"_found.{c}").alias(c) for c in cols],
     )
@@ -119,34 +105,6 @@ def asof_join(
     return matched.union(left.filter(~known).select(*left.columns, *nothing))
 
 
-def time_borders(times: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame | None:
-    """For each key with too many rows for one task, the times (``_borders``) that cut it into
-    buckets of about half of ``rows_per_task``; None if there is no such key. The table is
-    written, so the planner knows its bytes and broadcasts it only while it is small."""
-    counts = times.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
-    hot, n_hot = written(counts)
-    if not n_hot:
-        return None
-    most = hot.agg(F.max("_n")).first()[0]
-    pieces = -(-2 * most // rows_per_task)
-    shares = F.lit([k / pieces for k in range(1, pieces)])
-    cuts = F.percentile_approx("_ts", shares, max(10_000, 20 * pieces)).alias("_borders")
-    return written(times.join(hot.select(*keys), keys).groupBy(*keys).agg(cuts))[0]
-
-
-def _carried(both: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """For each bucket of a cut key, the last right row of the buckets before it. Left
-    rows have no ordering here, so they only keep their bucket alive. One max_by per
-    column, not one of a struct, keeps fixed-width columns in a hash aggregate."""
-    at = F.when(F.col("_side") == 0, F.col("_ts"))
-    ends = both.groupBy(*keys, "_bucket").agg(
-        F.max(at).alias("_at"), *[F.max_by(f"_right.{c}", at).alias(f"_end_{c}") for c in cols]
-    )
-    end = F.when(F.col("_at").isNotNull(), F.struct(*[F.col(f"_end_{c}").alias(c) for c in cols]))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return ends.select(*keys, "_bucket", F.last(end, ignorenulls=True).over(earlier).alias("_carry"))
-
-
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Child rows whose key is set but has no parent. Only the parent's key column is
     read, and a null key is no orphan."""

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.functions import recency, safe_div
 from macrotide.operators.common import Names, as_list, by_key, running, trailing
+from macrotide.operators.prefix import Running, prefix_scan
 
 
 def daily_bars(
@@ -59,29 +60,10 @@ def forward_fill(df: DataFrame, key: Names, cols: Names, order: str = "date") ->
     return df.withColumns({c: F.last(c, ignorenulls=True).over(frame) for c in as_list(cols)})
 
 
-def _block(order: str, block: str) -> Column:
-    return F.date_trunc(block, F.col(order).cast("timestamp"))
-
-
-def forward_fill_blocks(df: DataFrame, key: Names | None, cols: Names, order: str = "date", block: str = "year") -> DataFrame:
-    """``forward_fill`` in two passes, for a series too long for one task or for a
-    table without any key: fill inside each time block, then bring in the last value
-    of the blocks before it. Only one row per block takes part in the second pass."""
-    keys, cols = as_list(key or []), as_list(cols)
-    blocked = df.withColumn("_block", _block(order, block))
-    inside = running([*keys, "_block"], order)
-    filled = blocked.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in cols})
-
-    moment = F.struct(order)
-    ends = blocked.groupBy(*keys, "_block").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), moment)).alias(f"_end_{c}") for c in cols]
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
-        *keys, "_block", *[F.last(f"_end_{c}", ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in cols]
-    )
-    joined = filled.join(carried, [*keys, "_block"], "left")
-    return joined.withColumns({c: F.coalesce(c, f"_carry_{c}") for c in cols}).select(*df.columns)
+def forward_fill_blocks(df: DataFrame, key: Names | None, cols: Names, order: str = "date", pieces: int | None = None) -> DataFrame:
+    """``forward_fill`` for a series too long for one task or for a table without any key: a
+    prefix scan, so that every task has the same share of the rows."""
+    return prefix_scan(df, key, order, {c: Running("last", c) for c in as_list(cols)}, pieces)
 
 
 def rolling_volatility(df: DataFrame, key: Names, n: int = 30, returns: str = "daily_return", order: str = "date", into: str = "volatility") -> DataFrame:
@@ -111,16 +93,10 @@ def drawdown(df: DataFrame, key: Names, price: str = "price_usd", order: str = "
     return peaked.withColumn("drawdown", safe_div(price, "peak") - 1)
 
 
-def drawdown_blocks(df: DataFrame, key: Names | None, price: str = "price_usd", order: str = "date", block: str = "year") -> DataFrame:
-    """``drawdown`` in two passes, as ``forward_fill_blocks``."""
-    keys = as_list(key or [])
-    blocked = df.withColumn("_block", _block(order, block))
-    inside = blocked.withColumn("peak", F.max(price).over(running([*keys, "_block"], order)))
-    tops = blocked.groupBy(*keys, "_block").agg(F.max(price).alias("_top"))
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = tops.select(*keys, "_block", F.max("_top").over(earlier).alias("_carry"))
-    joined = inside.join(carried, [*keys, "_block"], "left").withColumn("peak", F.greatest("peak", "_carry"))
-    return joined.withColumn("drawdown", safe_div(price, "peak") - 1).drop("_block", "_carry")
+def drawdown_blocks(df: DataFrame, key: Names | None, price: str = "price_usd", order: str = "date", pieces: int | None = None) -> DataFrame:
+    """``drawdown`` of a series of any length, as ``forward_fill_blocks``."""
+    peaked = prefix_scan(df, key, order, {"peak": Running("max", price)}, pieces)
+    return peaked.withColumn("drawdown", safe_div(price, "peak") - 1)
 
 
 def indicator_trend(df: DataFrame, key: Names = "series_key", value: str = "numeric_value", order: str = "date") -> DataFrame:

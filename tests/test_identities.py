@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from macrotide import functions as M
-from macrotide.operators import clean, joins, network, ordering, quality, series as s, stats
+from macrotide.operators import clean, joins, network, ordering, prefix, quality, series as s, stats
 from macrotide.plans import layers
 from tests.conftest import SF_DIR, rows
 from workload import standins as st
@@ -54,14 +54,14 @@ def test_fill_is_idempotent_and_two_passes_equal_one(spark):
     dense = joins.densify(st.series(spark, SF_DIR).drop("n_rows"), "series_key")
     once = s.forward_fill(dense, "series_key", "numeric_value")
     assert rows(s.forward_fill(once, "series_key", "numeric_value")) == rows(once)
-    for block in ("year", "month", "week"):
-        assert rows(s.forward_fill_blocks(dense, "series_key", "numeric_value", block=block)) == rows(once)
+    for pieces in (1, 3, 40):
+        assert rows(s.forward_fill_blocks(dense, "series_key", "numeric_value", pieces=pieces)) == rows(once)
 
 
 def test_drawdown_two_passes_equal_one(spark):
     prices = st.prices(spark, SF_DIR).select("asset_id", "date", "price_usd")
     once = rows(s.drawdown(prices, "asset_id"))
-    assert rows(s.drawdown_blocks(prices, "asset_id", block="month")) == once
+    assert rows(s.drawdown_blocks(prices, "asset_id", pieces=11)) == once
     assert max(r[-1] for r in once) <= 0
 
 
@@ -117,8 +117,8 @@ def test_missing_dates_brute_force(spark):
     assert len(found) == len(set(found)) and set(found) == expected
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 7, 50, 10**6])
-def test_asof_join_brute_force(spark, rows_per_task):
+@pytest.mark.parametrize("pieces", [1, 2, 9, 60])
+def test_asof_join_brute_force(spark, pieces):
     """One key holds most rows; some left rows lie before every right row, some keys
     have no right rows, and times coincide."""
     rng = random.Random(5)
@@ -133,7 +133,7 @@ def test_asof_join_brute_force(spark, rows_per_task):
     out = joins.asof_join(
         spark.createDataFrame(left, "k string, ts timestamp_ntz, id int"),
         spark.createDataFrame(right, "k string, at timestamp_ntz, v int"), "k", "ts", ["v", "at"], right_ts="at",
-        rows_per_task=rows_per_task)
+        pieces=pieces)
     expected = []
     for k, t, i in left:
         before = [(a, v) for kk, a, v in right if kk == k and a <= t]
@@ -142,12 +142,12 @@ def test_asof_join_brute_force(spark, rows_per_task):
     assert sorted(map(repr, (tuple(r) for r in out.collect()))) == sorted(map(repr, expected))
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 10**6])
-def test_asof_join_matches_no_null(spark, rows_per_task):
+@pytest.mark.parametrize("pieces", [1, 5])
+def test_asof_join_matches_no_null(spark, pieces):
     t = datetime(2024, 1, 1)
     left = spark.createDataFrame([("a", t, 1), ("a", None, 2), (None, t, 3)], "k string, ts timestamp_ntz, id int")
     right = spark.createDataFrame([("a", None, 7), (None, t, 8), ("b", t, 9)], "k string, ts timestamp_ntz, v int")
-    out = joins.asof_join(left, right, "k", "ts", ["v"], rows_per_task=rows_per_task)
+    out = joins.asof_join(left, right, "k", "ts", ["v"], pieces=pieces)
     assert sorted((r.id, r.v) for r in out.collect()) == [(1, None), (2, None), (3, None)]
 
 
@@ -231,16 +231,13 @@ def test_a_burst_is_cut_and_rows_without_a_time_pass_by(spark):
     """99 % of a key's rows fall within one second, and as many have no time at all."""
     second = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.when(F.col("id") % 100 == 0, F.col("id") * 10_000_000).otherwise(F.pmod(F.xxhash64("id"), F.lit(1_000_000))))
     rows_ = spark.range(40_000).select(F.lit("k").alias("k"), second.cast("timestamp_ntz").alias("ts"), "id")
-    per_task = 4000
-    borders = joins.time_borders(rows_.withColumnRenamed("ts", "_ts"), ["k"], per_task)
-    cut = F.size(F.filter("_borders", lambda b: b < F.col("ts")))
-    sizes = [r["count"] for r in rows_.join(borders, "k").groupBy(cut.alias("b")).count().collect()]
-    assert max(sizes) <= 2 * per_task and sum(sizes) == 40_000
+    sizes = [r["count"] for r in prefix._dealt(rows_, ["k"], ["ts"], 20).groupBy("_piece").count().collect()]
+    assert max(sizes) <= 4000 and sum(sizes) == 40_000
     nowhere = spark.range(1000).select(F.lit("k").alias("k"), F.lit(None).cast("timestamp_ntz").alias("ts"), (-F.col("id") - 1).alias("id"))
     left = rows_.filter("id % 2 = 0").unionByName(nowhere)
     right = rows_.filter("id % 2 = 1").withColumnRenamed("id", "quote")
-    cut_up = joins.asof_join(left, right, "k", "ts", ["quote"], rows_per_task=per_task)
-    whole = joins.asof_join(left, right, "k", "ts", ["quote"])
+    cut_up = joins.asof_join(left, right, "k", "ts", ["quote"], pieces=20)
+    whole = joins.asof_join(left, right, "k", "ts", ["quote"], pieces=1)
     assert rows(cut_up.select("id", "ts")) == rows(whole.select("id", "ts"))
     # Of several quotes at one instant any may be found, so quotes are compared by their times.
     at = right.select("quote", F.col("ts").alias("at"))

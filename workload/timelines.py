@@ -38,7 +38,7 @@ def w2(spark, sf):
 @query("w2_forward_fill_blocks", with_(SERIES_ROWS, f"pivoted AS (SELECT date, {WIDE_PIVOTS} FROM series GROUP BY date)")
        + f"SELECT date, {WIDE_FILLS} FROM pivoted")
 def w2_blocks(spark, sf):
-    """The wide table has no key, so the fill runs year by year and carries over."""
+    """The wide table has no key: all of it is one series, dealt in pieces."""
     return s.forward_fill_blocks(stats.pivot_series(st.series(spark, sf), INDICATORS), None, INDICATORS)
 
 
@@ -188,11 +188,11 @@ WITH quotes AS (SELECT ts, event_id AS quote_id FROM events WHERE event_type = '
 trades AS (SELECT ts, event_id FROM events WHERE event_type <> 'view')
 SELECT 'all' AS market, t.ts, t.event_id, q.quote_id FROM trades t ASOF LEFT JOIN quotes q ON t.ts >= q.ts""")
 def j5_hot(spark, sf):
-    """One key with all rows, cut into buckets of its times."""
+    """One key with all rows, dealt over 16 pieces by its times."""
     events = table(spark, sf, "events").withColumn("market", F.lit("all"))
     trades = events.filter(F.col("event_type") != "view").select("market", "ts", "event_id")
     quotes = events.filter(F.col("event_type") == "view").select("market", "ts", F.col("event_id").alias("quote_id"))
-    return joins.asof_join(trades, quotes, "market", "ts", ["quote_id"], rows_per_task=500)
+    return joins.asof_join(trades, quotes, "market", "ts", ["quote_id"], pieces=16)
 
 
 @query("j6_orphans", """
