@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from macrotide.functions import percent, safe_corr, safe_div
 from macrotide.operators.common import Names, as_list, by_key, quoted
+from macrotide.operators.comoments import comoments
 from macrotide.operators.series import daily_change_pct, drawdown
 
 Pair = tuple[str, str]
@@ -106,22 +107,27 @@ def correlate(df: DataFrame, x: str, y: str, by: Names = ()) -> DataFrame:
     return stats.select(*as_list(by), "r", (F.col("r") * F.col("r")).alias("r2"), "n")
 
 
+_COLUMN_PAIRS = 8
+
+
 def correlate_pairs(df: DataFrame, pairs: Sequence[Pair], by: Names = ()) -> DataFrame:
-    """``correlate`` for many pairs in one aggregate and one exchange: rows (x, y, r, r2, n).
+    """``correlate`` for many pairs in one aggregate and one exchange: rows (by, x, y, r, r2, n).
 
-    Each row is spread into one small row per pair, just ahead of the partial aggregate.
-    The aggregate then holds one pair's moments whatever the number of pairs; as columns,
-    a few dozen pairs exceed what Spark compiles.
+    A few pairs are columns of one aggregate, whose results are turned into rows. More than that
+    exceed what Spark compiles and go through ``comoments``. Input rows are not multiplied either way.
     """
     by = as_list(by)
-    values = ", ".join(
-        f"struct({i} AS _pair, CAST({quoted(x)} AS DOUBLE) AS _x, CAST({quoted(y)} AS DOUBLE) AS _y)"
-        for i, (x, y) in enumerate(pairs)
-    )
-    spread = df.select(*by, F.expr(f"inline(array({values}))"))
-    stats = spread.groupBy(*by, "_pair").agg(safe_corr("_x", "_y").alias("r"), _both("_x", "_y").alias("n"))
+    if len(pairs) <= _COLUMN_PAIRS:
+        stats = [c for i, (x, y) in enumerate(pairs) for c in (safe_corr(x, y).alias(f"_r{i}"), _both(x, y).alias(f"_n{i}"))]
+        each = F.array(*[F.struct(F.lit(i).alias("_pair"), F.col(f"_r{i}").alias("r"), F.col(f"_n{i}").alias("n")) for i in range(len(pairs))])
+        found = df.groupBy(*by).agg(*stats).select(*by, F.inline(each))
+    else:
+        xs, ys = (list(dict.fromkeys(pair[side] for pair in pairs)) for side in (0, 1))
+        number = {(xs.index(x), ys.index(y)): i for i, (x, y) in enumerate(pairs)}
+        at = F.lit([number.get((i, j), -1) for i in range(len(xs)) for j in range(len(ys))])
+        found = comoments(df, xs, ys, by).withColumn("_pair", at[F.col("x") * len(ys) + F.col("y")]).filter(F.col("_pair") >= 0)
     names = [F.lit([pair[side] for pair in pairs])[F.col("_pair")] for side in (0, 1)]
-    return stats.select(
+    return found.select(
         *by, names[0].alias("x"), names[1].alias("y"), "r", (F.col("r") * F.col("r")).alias("r2"), "n"
     )
 
