@@ -12,7 +12,7 @@ from macrotide.operators.joins import densify, fact_network, fact_prices
 from macrotide.operators.network import CONGESTION, congestion, daily_blocks, fee_history
 from macrotide.operators.series import daily_return, forward_fill, rolling_volatility, volatility_regime
 from macrotide.operators.stats import correlate_pairs, pivot_series
-from macrotide.sources.bronze import Paths, read_price_batches, read_series_batches
+from macrotide.sources.bronze import Paths, read_price_batches, read_series_batches, read_with_rejects
 from macrotide.sources.sinks import write_table
 from macrotide.sources.tables import SERIES_KEYS, series_catalog
 
@@ -29,7 +29,11 @@ def price_rules() -> dict[str, Column]:
 def silver_prices(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
     """Landed price batches to one valid-or-flagged row per asset and day. Rows
     without a readable date are flagged and each of them stays."""
-    typed = normalize_prices(read_price_batches(spark, path, lines))
+    return clean_prices(read_price_batches(spark, path, lines))
+
+
+def clean_prices(records: DataFrame) -> DataFrame:
+    typed = normalize_prices(records)
     return quality_flags(latest_version(typed, ["asset_id", "date"], "collection_timestamp", apart="date"), price_rules())
 
 
@@ -37,12 +41,21 @@ def silver_series(spark: SparkSession, path: Paths, lines: bool = False) -> Data
     """Landed series batches to one row per series and date, flagged where the value, the
     date or the series itself is unknown. Metadata is joined after the newest version is
     picked, so its text does not pass through the shuffle."""
-    points = read_series_batches(spark, path, lines)
+    return clean_series(spark, read_series_batches(spark, path, lines))
+
+
+def clean_series(spark: SparkSession, points: DataFrame) -> DataFrame:
     newest = latest_version(typed_points(points), ["series_key", "date"], "collection_timestamp", apart="date")
     rules = {"value_missing": missing("numeric_value"), "series_unknown": missing("series_id"), "date_missing": missing("date")}
     return quality_flags(with_series_meta(newest, series_catalog(spark)), rules)
 
 
+def silver_with_rejects(spark: SparkSession, kind: str, path: Paths, lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(silver rows, rejects) of ``prices`` or ``series``: every landed file is in one of them or in both."""
+    rows, rejects = read_with_rejects(spark, kind, path, lines)
+    return clean_prices(rows) if kind == "prices" else clean_series(spark, rows), rejects
+
+
 def daily_fees(fees: DataFrame) -> DataFrame:
     """One row per day: the mean rate of each confirmation target, as a map, so that a day stays
     one row beside its blocks. A day has as many targets as the collector asks for."""

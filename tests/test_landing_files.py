@@ -249,3 +249,36 @@ def test_table_rewrite_replaces_only_its_partitions(spark, tmp_path):
 def test_success_rate_of_nothing_is_null(spark):
     empty = spark.createDataFrame([], "ok boolean")
     assert rows(stats.success_rate(empty)) == [(0, 0, None)]
+
+
+GOOD = {
+    "prices": batch([price("01-01-2024", 1, "2024-03-01T10:00:00")]),
+    "series": {"batch_info": {"series_count": 1}, "series_data": {"sofr_rate": {"series_id": "SOFR", "data_points": [{"date": "2024-01-01", "value": "5"}]}}},
+    "fees": {"1": 2.5}, "mempool": {"count": 3, "vsize": 5}, "blocks": [{"id": "a", "height": 1}, {"id": "b", "height": 2}],
+    "transactions": [{"txid": "t", "fee": 1}], "txids": ["x", "y"], "tip": {"height": 7, "timestamp": "20240101_000000"},
+    "header": {"header": "h", "block_id": "b"}, "status": {"in_best_chain": True}, "block_transactions": [{"txid": "t"}],
+    "log": {"collection_timestamp": "20240101_000000", "collection_status": "success"},
+}
+
+
+@pytest.mark.parametrize("kind", sorted(GOOD))
+def test_every_broken_file_is_a_reject_and_every_good_one_stays(spark, tmp_path, kind):
+    land(tmp_path, "x_20240101_000000.json", GOOD[kind])
+    whole, none = bronze.read_with_rejects(spark, kind, str(tmp_path))
+    expected = rows(whole)
+    assert expected and none.count() == 0
+    text = json.dumps(GOOD[kind], indent=2)
+    (tmp_path / "cut_20240102_000000.json").write_text(text[: len(text) * 2 // 3], encoding="utf-8")
+    (tmp_path / "junk_20240103_000000.json").write_text("<html>not json</html>", encoding="utf-8")
+    good, rejects = bronze.read_with_rejects(spark, kind, str(tmp_path))
+    assert [r for r in rows(good) if r in expected] == expected
+    found = {r.batch_file.rsplit("/", 1)[1].split("_")[0]: (r.reason, bool(r.document)) for r in rejects.collect()}
+    assert set(found) == {"cut", "junk"} and found["junk"] == ("unreadable", True)
+
+
+@pytest.mark.parametrize("kind", ["prices", "series", "tip", "log"])
+def test_broken_lines_are_rejected(spark, tmp_path, kind):
+    line = json.dumps(GOOD[kind])
+    (tmp_path / "a_20240101_000000.json").write_text("\n".join([line, line[: len(line) // 2], "", line]), encoding="utf-8")
+    good, rejects = bronze.read_with_rejects(spark, kind, str(tmp_path), lines=True)
+    assert [r.reason for r in rejects.collect()] == ["unreadable"] and good.count() >= 1

@@ -490,3 +490,62 @@ def k5(spark, sf):
         "asset_id", "batch_no", "batch_info.first_date", "batch_info.last_date", "batch_info.record_count",
         F.size("records").alias("n_records"),
     )
+
+
+# Unreadable documents ----------------------------------------------------------------
+
+@landed
+def broken_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Price and fee documents of an asset or type and a month. Those of even months are cut off in the middle; price
+    documents of month 3 declare a count that is no number; fee documents of month 5 have no time in their path."""
+    months = st.prices(spark, sf_dir).groupBy("asset_id", F.date_format("date", "yyyyMM").alias("month")).agg(
+        F.sort_array(F.collect_list(F.struct("date", "price_usd"))).alias("days")  # a month has 31 at most
+    )
+    record = F.transform("days", lambda d: F.struct(
+        F.date_format(d["date"], DAY_FIRST).alias("date"), F.col("asset_id").alias("coin_id"), F.lit(FIRST_RUN).alias("collection_timestamp"),
+        F.struct(F.struct(_amounts(d["price_usd"].cast("string")).alias("current_price")).alias("market_data")).alias("raw_data"),
+    ))
+    number = F.substring("month", 5, 2).cast("int")
+    body = F.to_json(F.struct(F.struct(F.lit(1).alias("record_count")).alias("batch_info"), record.alias("records")), {"pretty": "true"})
+    wrong = F.regexp_replace(body, r'("record_count"\s*:\s*)1', '$1"many"')
+    prices = months.select(
+        number.alias("number"), F.concat_ws("_", F.lit("prices"), "asset_id", "month").alias("snapshot"), F.lit("prices").alias("kind"),
+        F.when(number == 3, wrong).otherwise(body).alias("value"),
+    )
+    day = F.to_date("o_orderdate")
+    fee_days = table(spark, sf_dir, "orders").groupBy(day.alias("day")).agg(F.max("o_totalprice").alias("fee"))
+    stamp = F.when(F.month("day") == 5, F.date_format("day", "yyyyMM_dd")).otherwise(M.format_snapshot(F.col("day").cast("timestamp_ntz")))
+    fees = fee_days.select(
+        F.month("day").alias("number"), F.concat(F.lit("fee_estimates_"), stamp).alias("snapshot"), F.lit("fees").alias("kind"),
+        F.to_json(F.create_map(F.lit("1"), F.col("fee").cast("string")), {"pretty": "true"}).alias("value"),
+    )
+    cut = F.when(F.col("number") % 2 == 0, F.substring("value", F.lit(1), F.floor(F.length("value") * 0.6).cast("int"))).otherwise(F.col("value"))
+    texts = prices.unionByName(fees).select("kind", "snapshot", cut.alias("value"))
+    texts.write.option("maxRecordsPerFile", 1).partitionBy("kind", "snapshot").text(path)
+
+
+_MONTHS = "months AS (SELECT DISTINCT asset_id, date_trunc('month', date) AS m FROM prices)"
+_FEE_DAYS = "fee_days AS (SELECT CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS fee FROM orders GROUP BY 1)"
+
+
+@query("s1_prices_beside_broken_files", with_(PRICES) + "SELECT asset_id, date, price_usd FROM prices WHERE month(date) % 2 = 1")
+def s1_beside_broken(spark, sf):
+    silver, _ = layers.silver_with_rejects(spark, "prices", f"{broken_files(spark, sf)}/kind=prices")
+    return silver.select("asset_id", "date", "price_usd")
+
+
+@query("s3_fees_beside_broken_files", "WITH " + _FEE_DAYS + """
+SELECT CASE WHEN month(day) <> 5 THEN CAST(day AS TIMESTAMP) END AS snapshot_ts, 1 AS target, fee AS fee_rate FROM fee_days WHERE month(day) % 2 = 1""")
+def s3_beside_broken(spark, sf):
+    return bronze.read_with_rejects(spark, "fees", f"{broken_files(spark, sf)}/kind=fees")[0]
+
+
+@query("s1_rejected_documents", with_(PRICES, _MONTHS, _FEE_DAYS) + """
+SELECT 'prices' AS kind, CASE WHEN month(m) = 3 THEN 'partly' ELSE 'unreadable' END AS reason, count(*) AS n_documents
+FROM months WHERE month(m) = 3 OR month(m) % 2 = 0 GROUP BY ALL
+UNION ALL SELECT 'fees', CASE WHEN month(day) = 5 THEN 'untimed' ELSE 'unreadable' END, count(*)
+FROM fee_days WHERE month(day) = 5 OR month(day) % 2 = 0 GROUP BY ALL""")
+def s1_rejected(spark, sf):
+    """One reject for each document that is cut off, does not fit its schema, or has no time."""
+    root = broken_files(spark, sf)
+    return bronze.reject_counts({kind: bronze.read_with_rejects(spark, kind, f"{root}/kind={kind}")[1] for kind in ("prices", "fees")})
