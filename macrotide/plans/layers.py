@@ -12,6 +12,7 @@ from macrotide.operators.joins import densify, fact_network, fact_prices
 from macrotide.operators.network import CONGESTION, congestion, daily_blocks, fee_history
 from macrotide.operators.series import daily_return, forward_fill, rolling_volatility, volatility_regime
 from macrotide.operators.stats import correlate_pairs, pivot_series
+from macrotide.plans.gate import HasParent, Rule, Unique, write_checked
 from macrotide.sources.bronze import Paths, read_price_batches, read_series_batches, read_with_rejects
 from macrotide.sources.sinks import write_table
 from macrotide.sources.tables import SERIES_KEYS, series_catalog
@@ -83,11 +84,17 @@ def gold_network(blocks: DataFrame, fees: DataFrame, mempool: DataFrame, thresho
     return fact_network(daily_blocks(once), daily_fees(fees), daily_mempool(mempool, thresholds))
 
 
-def refresh(table: DataFrame, path: str, start: str, end: str, order: str = "date") -> None:
+def refresh(
+    table: DataFrame, path: str, start: str, end: str, order: str = "date", rules: Sequence[Rule | Unique | HasParent] = ()
+) -> None:
     """Replace the days from ``start`` to ``end`` (both inclusive) of a gold table that is kept
-    by day below ``path``, and no other day: a rerun of one day gives the same table."""
+    by day below ``path``, and no other day: a rerun of one day gives the same table. With ``rules``
+    the days are replaced only if they keep all of them (``ChecksFailed`` otherwise)."""
     days = filter_dates(table, start, end, order).withColumn("day", F.col(order).cast("string"))
-    write_table(days, path, "day")
+    if rules:
+        write_checked(days, path, rules, "day")
+    else:
+        write_table(days, path, "day")
 
 
 def economic_wide(series: DataFrame, keys: Sequence[str] = SERIES_KEYS, end: Column | str | None = None) -> DataFrame:

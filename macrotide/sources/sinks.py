@@ -46,14 +46,19 @@ def write_table(df: DataFrame, path: str, partition_cols: Names = (), sort_cols:
     """Write a silver or gold table as Parquet. With partition columns only the
     partitions present in ``df`` are replaced, so a rerun gives the same table. Rows
     sorted by ``sort_cols`` inside each file let later filters skip row groups."""
-    cols, order = as_list(partition_cols), as_list(sort_cols)
-    balanced = df.hint("rebalance", *cols) if cols else df
-    if order:
-        balanced = balanced.sortWithinPartitions(*cols, *order)
+    cols = as_list(partition_cols)
+    even = balanced(df, cols, sort_cols)
     if not cols:
-        balanced.write.mode("overwrite").parquet(path)
+        even.write.mode("overwrite").parquet(path)
         return
-    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
+    even.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
+
+
+def balanced(df: DataFrame, partition_cols: Names = (), sort_cols: Names = ()) -> DataFrame:
+    """``df`` with even tasks for each partition, sorted inside."""
+    cols, order = as_list(partition_cols), as_list(sort_cols)
+    even = df.hint("rebalance", *cols) if cols else df
+    return even.sortWithinPartitions(*cols, *order) if order else even
 
 
 def with_batch_info(df: DataFrame, key: Names, order: str = "date", max_records: int = BATCH_RECORDS, source: str | None = None) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import functions as F
 
 from macrotide.operators import joins, quality as q
+from macrotide.plans import gate
+from macrotide.session import scratch_dir
 from workload import standins as st
 from workload.registry import query, r6, rounded, table
 from workload.standins import SERIES_ROWS, with_
@@ -107,3 +111,57 @@ def q10(spark, sf):
     claims = F.array(*[F.lit(t) for t in ("click", "error", "purchase", "signup", "view")])
     log = files.select("collection_timestamp").distinct().withColumn("data_types_collected", claims)
     return q.run_completeness(log, files)
+
+
+# All checks of a table in one pass, and the gate --------------------------------------
+
+def _order_rules(spark, sf):
+    solvent = table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
+    return [
+        *gate.not_null("o_orderkey", "o_totalprice"), gate.in_range("o_totalprice", 1000.0, 400000.0),
+        gate.accepted("o_orderstatus", ["F", "O"]), gate.fresh("o_orderdate", "1998-09-01 00:00:00", 24), gate.at_least(1),
+        gate.breaks("day and total", (F.dayofmonth("o_orderdate") == 31) & (F.col("o_totalprice") > 100000)),
+        gate.Unique("one order a customer and day", ["o_custkey", "o_orderdate"]),
+        gate.HasParent("customer is solvent", "o_custkey", solvent, "c_custkey"),
+    ]
+
+
+_ORDER_VERDICTS = """
+WITH counted(name, n) AS (
+  SELECT 'o_orderkey is set', count(*) FILTER (o_orderkey IS NULL) FROM orders
+  UNION ALL SELECT 'o_totalprice is set', count(*) FILTER (o_totalprice IS NULL) FROM orders
+  UNION ALL SELECT 'o_totalprice in range', count(*) FILTER (o_totalprice < 1000 OR o_totalprice > 400000) FROM orders
+  UNION ALL SELECT 'o_orderstatus accepted', count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) FROM orders
+  UNION ALL SELECT 'o_orderdate fresh', CAST(epoch(TIMESTAMP '1998-09-01' - max(o_orderdate)) > 86400 AS BIGINT) FROM orders
+  UNION ALL SELECT 'at least 1 rows', greatest(1 - count(*), 0) FROM orders
+  UNION ALL SELECT 'day and total', count(*) FILTER (day(o_orderdate) = 31 AND o_totalprice > 100000) FROM orders{more})
+SELECT name AS "check", n AS n_failing, n = 0 AS passed FROM counted"""
+
+
+@query("q_all_checks_in_one_pass", _ORDER_VERDICTS.format(more=""))
+def q_one_pass(spark, sf):
+    return gate.check_all(table(spark, sf, "orders"), [r for r in _order_rules(spark, sf) if isinstance(r, gate.Rule)])
+
+
+@query("q_gate_verdicts", _ORDER_VERDICTS.format(more="""
+  UNION ALL SELECT 'one order a customer and day', count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1)
+  UNION ALL SELECT 'customer is solvent', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)"""))
+def q_gate(spark, sf):
+    """What stopped a write: counted by the tasks that staged the rows, and on the staged keys."""
+    try:
+        counts = gate.write_checked(table(spark, sf, "orders"), scratch_dir(spark, "gated"), _order_rules(spark, sf), "o_orderpriority")
+    except gate.ChecksFailed as stopped:
+        counts = stopped.counts
+    return gate.verdicts(spark, counts)
+
+
+@query("k3_gated_table", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def k3_gated(spark, sf):
+    """Good orders pass the gate; a second version that breaks a rule in some rows leaves the table as it was."""
+    path, orders = scratch_dir(spark, "gated"), table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    rules = [gate.Unique("one row an order", "o_orderkey"), gate.in_range("o_totalprice", 0.0)]
+    gate.write_checked(orders, path, rules, "o_orderstatus")
+    worse = orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 7 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")))
+    with contextlib.suppress(gate.ChecksFailed):
+        gate.write_checked(worse, path, rules, "o_orderstatus")
+    return spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "o_totalprice")
