@@ -27,6 +27,10 @@ def price_rules() -> dict[str, Column]:
     }
 
 
+def series_rules() -> dict[str, Column]:
+    return {"value_missing": missing("numeric_value"), "series_unknown": missing("series_id"), "date_missing": missing("date")}
+
+
 def silver_prices(spark: SparkSession, path: Paths, lines: bool = False) -> DataFrame:
     """Landed price batches to one valid-or-flagged row per asset and day. Rows
     without a readable date are flagged and each of them stays."""
@@ -47,8 +51,7 @@ def silver_series(spark: SparkSession, path: Paths, lines: bool = False) -> Data
 
 def clean_series(spark: SparkSession, points: DataFrame) -> DataFrame:
     newest = latest_version(typed_points(points), ["series_key", "date"], "collection_timestamp", apart="date")
-    rules = {"value_missing": missing("numeric_value"), "series_unknown": missing("series_id"), "date_missing": missing("date")}
-    return quality_flags(with_series_meta(newest, series_catalog(spark)), rules)
+    return quality_flags(with_series_meta(newest, series_catalog(spark)), series_rules())
 
 
 def silver_with_rejects(spark: SparkSession, kind: str, path: Paths, lines: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -69,7 +69,7 @@ def read_checked(
         no_json = F.try_parse_json(CORRUPT).isNull()
         bad = F.when(F.col(CORRUPT).isNotNull(), F.when(nothing | no_json, "unreadable").otherwise("partly"))
     else:
-        read = read_text(spark, path, lines).filter(F.trim("value") != "").withColumn(CORRUPT, F.col("value"))
+        read = read_text(spark, path, lines).filter(F.col("value").rlike(r"\S")).withColumn(CORRUPT, F.col("value"))
         bad, fields = F.when(F.from_json("value", parse).isNull(), "unreadable"), ["value"]
     checked = read.select(*fields, CORRUPT, file_path().alias(BATCH_FILE), F.coalesce(bad, F.lit("good")).alias(_STATUS))
     kept = kept or scratch_dir(spark, "checked")

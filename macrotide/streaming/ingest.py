@@ -59,6 +59,29 @@ def stream_silver_prices(records: DataFrame) -> DataFrame:
     return quality_flags(normalize_prices(records), price_rules())
 
 
+def merge_versions_into(batch: DataFrame, path: str, keys: Names, order: Names, part: str, apart: Names = ()) -> None:
+    """Bring rows into the Parquet table at ``path``: the folders (by the text column ``part``) that they touch are written
+    anew with the newest version of each key, the others stay."""
+    spark = batch.sparkSession
+    batch = batch.persist()
+    try:
+        touched = [r[0] for r in batch.select(part).distinct().collect()]  # folders of one micro-batch
+        if not touched:
+            return
+        every = batch
+        try:
+            old = spark.read.schema(batch.schema).parquet(path)
+            every = old.where(F.col(part).isin(touched)).select(batch.columns).unionByName(batch)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # of a new table there is nothing yet
+                raise
+        # Written aside first, as its input lies in the folders that are replaced.
+        merged, _ = written(latest_version(every.distinct(), keys, order, apart))
+        write_table(merged, path, part)
+    finally:
+        batch.unpersist()
+
+
 def run_merged(
     df: DataFrame, path: str, checkpoint: str, keys: Names, order: Names, part: str, *, apart: Names = (), mode: str = "append"
 ) -> None:
@@ -68,23 +91,7 @@ def run_merged(
     has landed; a batch that is run again changes nothing."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            touched = [r[0] for r in batch.select(part).distinct().collect()]  # folders of one micro-batch
-            if not touched:
-                return
-            every = batch
-            try:
-                old = spark.read.schema(batch.schema).parquet(path)
-                every = old.where(F.col(part).isin(touched)).select(batch.columns).unionByName(batch)
-            except AnalysisException:  # nothing is there yet
-                pass
-            # Written aside first, as its input lies in the folders that are replaced.
-            merged, _ = written(latest_version(every.distinct(), keys, order, apart))
-            write_table(merged, path, part)
-        finally:
-            batch.unpersist()
+        merge_versions_into(batch, path, keys, order, part, apart)
 
     query = (
         df.writeStream.foreachBatch(merge).outputMode(mode).option("checkpointLocation", checkpoint)

@@ -35,6 +35,7 @@ def landed(build: Callable[[SparkSession, str, str], None]) -> Callable[[SparkSe
         build(spark, sf_dir, path)
         return path
 
+    once.build = build
     return once
 
 
@@ -254,7 +255,10 @@ def p4(spark, sf):
     return typed.drop("collection_timestamp")
 
 
-@query("silver_series", with_(SERIES_ROWS, CATALOG) + _SILVER_SERIES)
+SILVER_SERIES_SQL = with_(SERIES_ROWS, CATALOG) + _SILVER_SERIES
+
+
+@query("silver_series", SILVER_SERIES_SQL)
 def silver_series(spark, sf):
     silver = layers.silver_series(spark, series_files(spark, sf))
     return silver.select("series_key", "date", "numeric_value", "series_id", "category")
@@ -401,22 +405,29 @@ def network_landed(spark, sf):
 
 
 _TYPES = sorted(st.TARGET_OF)
-_LOADS = {"low": 0, "medium": 330, "high": 350}
+LOADS = {"low": 0, "medium": 330, "high": 350}
 
 
-@query("gold_network", with_(BLOCKS, MOVED_DAYS) + f"""
+GOLD_NETWORK_SQL = with_(BLOCKS, MOVED_DAYS) + f"""
 , days AS (SELECT CAST(ts AS DATE) AS date, count(*) AS load, {', '.join(
     f"arg_max(value, CASE WHEN event_type = '{t}' THEN ts END) AS fee_{t}" for t in _TYPES)} FROM events GROUP BY 1)
 SELECT date, n_blocks, tx_count, size, {', '.join(f'fee_{t}' for t in _TYPES)}, CAST(load AS DOUBLE) AS mempool_avg,
   CASE WHEN load >= 350 THEN 'high' WHEN load >= 330 THEN 'medium' WHEN load >= 0 THEN 'low' END AS congestion
-FROM network_days LEFT JOIN days USING (date)""")
+FROM network_days LEFT JOIN days USING (date)"""
+
+
+@query("gold_network", GOLD_NETWORK_SQL)
 def gold_network(spark, sf):
     """From landed blocks, fee estimates and mempool states to one row per day."""
     blocks = bronze.read_blocks(spark, block_files(spark, sf))
     blocks = blocks.withColumn("block_ts", F.date_add(F.to_date("block_ts"), st.days_to_events(spark, sf)))
     gold = layers.gold_network(
-        blocks, bronze.read_fee_snapshots(spark, fee_files(spark, sf)), bronze.read_mempool_snapshots(spark, mempool_files(spark, sf)), _LOADS
+        blocks, bronze.read_fee_snapshots(spark, fee_files(spark, sf)), bronze.read_mempool_snapshots(spark, mempool_files(spark, sf)), LOADS
     )
+    return network_days(gold)
+
+
+def network_days(gold: DataFrame) -> DataFrame:
     fees = {f"fee_{t}": F.col("fee_rates")[target] for t, target in st.TARGET_OF.items()}
     return gold.withColumns(fees).select("date", "n_blocks", "tx_count", "size", *fees, "mempool_avg", "congestion")
 

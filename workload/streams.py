@@ -9,8 +9,10 @@ from macrotide.sources.sinks import write_bronze
 from macrotide.functions import comma_list
 from macrotide.sources import schemas
 from macrotide.sources.bronze import price_records
-from macrotide.streaming import run_available, run_merged, stream_bronze, stream_dedupe, stream_silver_prices, stream_windows
-from workload import standins as st
+from macrotide.plans import layers
+from macrotide.streaming import run_available, run_merged, run_routed, routed_table, stream_bronze, stream_dedupe, stream_documents
+from macrotide.streaming import stream_silver_prices, stream_windows
+from workload import landing, standins as st
 from workload.landing import SILVER_PRICES_SQL, price_files
 from workload.registry import query, table
 
@@ -83,3 +85,48 @@ def t3_open(spark, sf):
     )
     found = spark.read.parquet(out).drop("day")
     return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+# Mixed documents, routed ------------------------------------------------------------------
+
+@landing.landed
+def mixed_files(spark, sf_dir, path):
+    """All kinds below one root, and a note that is of no kind."""
+    for build, folder in (
+        (landing.price_files, "prices"), (landing.series_files, "series"), (landing.fee_files, "network/fees"),
+        (landing.mempool_files, "network/mempool"), (landing.block_files, "network/blocks"),
+    ):
+        build.build(spark, sf_dir, f"{path}/{folder}")
+    table(spark, sf_dir, "region").select(F.col("r_name").alias("value")).coalesce(1).write.text(f"{path}/notes")
+
+
+@landing.landed
+def routed_tables(spark, sf_dir, path):
+    """The silver tables of the stream, in two or more micro-batches."""
+    documents = stream_documents(spark, mixed_files(spark, sf_dir), files_per_trigger=1000)
+    run_routed(documents, path, scratch_dir(spark, "routes-state"))
+
+
+@query("t1_routed_prices", SILVER_PRICES_SQL)
+def t1_routed_prices(spark, sf):
+    silver = routed_table(spark, routed_tables(spark, sf), "prices")
+    return silver.select("asset_id", "date", "price_usd", "volume_usd", comma_list("quality_flags").alias("flags"))
+
+
+@query("t1_routed_series", landing.SILVER_SERIES_SQL)
+def t1_routed_series(spark, sf):
+    silver = routed_table(spark, routed_tables(spark, sf), "series")
+    return silver.select("series_key", "date", "numeric_value", "series_id", "category")
+
+
+@query("t1_routed_network", landing.GOLD_NETWORK_SQL)
+def t1_routed_network(spark, sf):
+    root = routed_tables(spark, sf)
+    blocks = routed_table(spark, root, "blocks").withColumn("block_ts", F.date_add(F.to_date("block_ts"), st.days_to_events(spark, sf)))
+    return landing.network_days(layers.gold_network(blocks, *(routed_table(spark, root, k) for k in ("fees", "mempool")), landing.LOADS))
+
+
+@query("t1_routed_rejects", "SELECT 'unknown' AS reason, CAST(1 AS BIGINT) AS n_documents")
+def t1_routed_rejects(spark, sf):
+    rejects = spark.read.parquet(f"{routed_tables(spark, sf)}/rejects")
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n_documents"))
