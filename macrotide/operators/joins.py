@@ -16,12 +16,17 @@ from macrotide.operators.series import indicator_trend
 
 
 def fact_prices(prices: DataFrame, econ_wide: DataFrame, on: str = "date") -> DataFrame:
-    """Prices with the economic context of their day. The wide side has one row per calendar
-    day. Its estimate is the size of its input, but its real size is bounded by the calendar
-    and its columns: while a millennium of it is small, it is broadcast and no price moves."""
+    """Prices with the economic context of their day. ``econ_wide`` has one row per day, which is checked as it
+    is read: a second row of a day is an error, as it would double prices. Its size is bounded by the calendar and its
+    columns then: while a millennium of it is small, it is broadcast and no price moves. Rows without a day
+    join nothing."""
+    rest = [c for c in econ_wide.columns if c != on]
+    days = econ_wide.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_rows"), *[F.any_value(c).alias(c) for c in rest])
+    doubled = F.raise_error(F.concat(F.lit("several rows of one day in the economic table: "), F.col(on).cast("string")))
+    days = days.withColumn(on, F.when(F.col("_rows") == 1, F.col(on)).otherwise(doubled)).select(on, *rest)
     row_bytes = sum(_FIXED_BYTES.get(f.dataType.simpleString(), _BROADCAST_BYTES) for f in econ_wide.schema)
     small = row_bytes * 366 * 1000 <= _BROADCAST_BYTES
-    return prices.join(F.broadcast(econ_wide) if small else econ_wide, on, "left")
+    return prices.join(F.broadcast(days) if small else days, on, "left")
 
 
 _BROADCAST_BYTES = 256 << 20

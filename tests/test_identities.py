@@ -314,3 +314,11 @@ def test_zoneless_times_ignore_the_session_zone(spark):
         assert [tuple(r) for r in gap.collect()] == [(at, at, 0, 86400 + 9000)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_day_that_the_economic_table_has_twice_is_an_error(spark):
+    prices = spark.createDataFrame([("a", date(2024, 1, 1), 1.0), ("a", None, 2.0)], "asset_id string, date date, price_usd double")
+    wide = spark.createDataFrame([(date(2024, 1, 1), 5.0), (None, 1.0), (None, 2.0)], "date date, rate double")
+    assert rows(joins.fact_prices(prices, wide).select("asset_id", "price_usd", "rate")) == [("a", 1.0, 5.0), ("a", 2.0, None)]
+    with pytest.raises(Exception, match="several rows of one day"):
+        joins.fact_prices(prices, wide.union(wide)).collect()
