@@ -54,6 +54,18 @@ def write_table(df: DataFrame, path: str, partition_cols: Names = (), sort_cols:
     even.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, key: Names, sort_cols: Names = (), buckets: int = 64, path: str | None = None) -> DataFrame:
+    """Write ``df`` as the catalogue's table ``name``, hashed by ``key`` into ``buckets`` files, each sorted by key and ``sort_cols``.
+    Windows by the key, aggregates by it and joins with a table of as many buckets need no exchange then. A key
+    lies in one file, so this is for day grain or keys of even size. ``path`` is where an external table lies; without it
+    the table is in the warehouse. A table of that name is replaced."""
+    keys = as_list(key)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS `{name}`")
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys, *as_list(sort_cols))
+    (writer.option("path", path) if path else writer).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def balanced(df: DataFrame, partition_cols: Names = (), sort_cols: Names = ()) -> DataFrame:
     """``df`` with even tasks for each partition, sorted inside."""
     cols, order = as_list(partition_cols), as_list(sort_cols)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from macrotide.operators import network, ordering, series as s, stats
+from macrotide.operators import network, ordering, search, series as s, stats
 from macrotide.plans import layers
+from macrotide.session import scratch_dir
 from macrotide.sources.tables import series_catalog
 from workload import standins as st
 from workload.registry import query, r6, rounded, table
@@ -298,3 +299,25 @@ ORDER BY p_retailprice DESC, p_partkey""")
 def l4(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     return ordering.search_catalog(parts, "Widget", ["p_name", "p_type"], "p_retailprice", tie="p_partkey")
+
+
+@query("l4_ranked_search", """
+WITH docs AS (SELECT p_partkey AS key, regexp_extract_all(lower(concat_ws(' ', p_name, p_type)), '[\\p{L}\\p{N}]+') AS w FROM part),
+queries AS (SELECT DISTINCT c_mktsegment || ' ' || n_name || ' ' || p_type AS text, p_type AS query_id
+  FROM part, (SELECT min(c_mktsegment) AS c_mktsegment FROM customer), (SELECT min(n_name) AS n_name FROM nation)),
+totals AS (SELECT count(*) AS n_docs, sum(len(w)) AS n_terms FROM docs WHERE len(w) > 0),
+f AS (SELECT key, length, term, count(*) AS tf FROM (SELECT key, len(w) AS length, unnest(w) AS term FROM docs) GROUP BY ALL),
+weights AS (SELECT term, ln(1 + (n_docs - count(*) + 0.5e0) / (count(*) + 0.5e0)) AS weight FROM f, totals GROUP BY term, n_docs),
+q AS (SELECT query_id, term, count(*) AS times FROM (SELECT query_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM queries) GROUP BY ALL),
+s AS (SELECT query_id, key, round(sum(times * weight * tf * 2.2e0 / (tf + 1.2e0 * (0.25e0 + 0.75e0 * length * n_docs / n_terms))), 9) AS score
+  FROM q JOIN weights USING (term) JOIN f USING (term), totals GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, key, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, key) QUALIFY row_number() OVER w <= 5""")
+def l4_ranked(spark, sf):
+    """The five most relevant parts for each type of part, as one searches a catalogue by words."""
+    index, parts = scratch_dir(spark, "search-index"), table(spark, sf, "part")
+    search.write_index(parts.select("p_partkey", "p_name", "p_type"), "p_partkey", ["p_name", "p_type"], index)
+    segment = table(spark, sf, "customer").agg(F.min("c_mktsegment").alias("_s")).scalar()
+    nation = table(spark, sf, "nation").agg(F.min("n_name").alias("_n")).scalar()
+    queries = parts.select(F.col("p_type").alias("query_id"), F.concat_ws(" ", segment, nation, "p_type").alias("text")).distinct()
+    return search.ranked_search(spark, index, queries, 5)

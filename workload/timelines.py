@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from macrotide.operators import joins, network, series as s, stats
 from macrotide.plans import layers
+from macrotide.session import scratch_dir
+from macrotide.sources.sinks import write_bucketed
 from macrotide.sources.tables import series_catalog
 from workload import standins as st
 from workload.registry import query, r6, rounded, table
@@ -247,3 +249,29 @@ FROM days LEFT JOIN prices USING (asset_id, date)""")
 def j10(spark, sf):
     daily = joins.densify(st.prices(spark, sf), "asset_id")
     return joins.lag_align(daily, "volume_usd", "price_usd", 5, "asset_id")
+
+
+# Bucketed tables ---------------------------------------------------------------------
+
+def _bucketed(spark, df, label, key, *order):
+    path = scratch_dir(spark, label)
+    return write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), key, order, buckets=8, path=path)
+
+
+@query("k3_bucketed_history", with_(PRICES, RETURNS, VOLATILITY, REGIMES) + f"""
+SELECT asset_id, date, daily_return, {r6('volatility')} AS volatility, regime FROM regimes""")
+def k3_bucketed(spark, sf):
+    """Windows by key over a table that is bucketed by it: no exchange."""
+    bars = _bucketed(spark, st.prices(spark, sf), "bucketed-prices", "asset_id", "date")
+    return rounded(layers.price_history(bars).select("asset_id", "date", "daily_return", "volatility", "regime"), "volatility")
+
+
+@query("k3_bucketed_join", """
+SELECT o_orderkey, o_custkey, count(l_orderkey) AS n_lines, max(l_shipdate) AS last_shipped
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2""")
+def k3_bucketed_join(spark, sf):
+    """Two tables bucketed by the order: joined and aggregated in place."""
+    orders = _bucketed(spark, table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "bucketed-orders", "o_orderkey")
+    lines = _bucketed(spark, table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate"), "bucketed-lines", "o_orderkey")
+    last = lines.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_shipdate").alias("last_shipped"))
+    return orders.join(last.hint("merge"), "o_orderkey", "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0).cast("bigint")))
