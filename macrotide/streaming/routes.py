@@ -1,16 +1,17 @@
 """One stream over folders of mixed documents, routed to a silver table for each kind.
 
-A file is one document, which arrives as text with its path. Each micro-batch is read once; a route takes the
-documents whose path names its kind, types them, and merges them into its table, so that a rerun of
-the micro-batch changes nothing. Documents that no route takes, or that cannot be read, go to a table of rejects.
+A file is one document, which arrives as text with its path. Each micro-batch is read once and sorted out by route: a route
+takes the documents whose path names its kind. After the last micro-batch each route types what it took and merges it
+into its table once. Micro-batches and merges that are run again change nothing. Documents that no route takes, or that
+cannot be read, go to a table of rejects.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,33 +92,75 @@ def table_path(root: str, kind: str) -> str:
     return f"{root}/{kind}"
 
 
+_LANDED = f"value string, {bronze.BATCH_FILE} string, reason string, kind string"
+_REJECTED = "rejected"
+
+
+def _sorted_out(documents: DataFrame, routes: Mapping[str, Route]) -> DataFrame:
+    """A row for each document and route that takes it: ``kind`` is the route's, or ``rejected`` with a ``reason``."""
+    taken = F.array_compact(F.array(*[
+        F.when(F.col(bronze.BATCH_FILE).rlike(r.pattern), F.struct(F.lit(kind).alias("kind"), F.from_json("value", r.document).isNull().alias("bad")))
+        for kind, r in routes.items()
+    ]))
+    found = documents.filter(F.col("value").rlike(r"\S")).select("value", bronze.BATCH_FILE, F.explode_outer(taken).alias("_r"))
+    reason = F.when(F.col("_r").isNull(), "unknown").when(F.col("_r.bad"), "unreadable")
+    return found.withColumn("reason", reason).select(
+        "value", bronze.BATCH_FILE, "reason", F.when(F.col("reason").isNull(), F.col("_r.kind")).otherwise(_REJECTED).alias("kind")
+    )
+
+
+def _merge_landed(spark: SparkSession, root: str, checkpoint: str, routes: Mapping[str, Route]) -> None:
+    """Bring the landed micro-batches that are in no table yet into the tables, all at once."""
+    done = f"{checkpoint}/merged"
+    try:
+        last = spark.read.schema("batch bigint").parquet(done).agg(F.max("batch")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    try:
+        landed = spark.read.schema(f"{_LANDED}, batch bigint").parquet(f"{checkpoint}/landed")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # nothing has landed yet
+            raise
+        return
+    new = landed.filter(F.col("batch") > (-1 if last is None else last))
+    newest = new.agg(F.max("batch")).first()[0]
+    if newest is None:
+        return
+    for kind, route in routes.items():
+        read = new.filter(F.col("kind") == kind).withColumn("document", F.from_json("value", route.document))
+        rows = route.rows(read).withColumn(PART, route.part())
+        merge_versions_into(rows, table_path(root, kind), route.keys, route.order, PART, route.apart)
+    # Merged again after a failure before this, they change nothing.
+    spark.range(newest, newest + 1).toDF("batch").write.mode("append").parquet(done)
+
+
 def run_routed(
     documents: DataFrame, root: str, checkpoint: str, routes: Mapping[str, Route] = ROUTES
 ) -> None:
     """Bring what has landed so far into the silver tables below ``root``, one for each route, and the rejects (batch_file,
-    reason, document: ``unknown`` path or ``unreadable``) into ``root``/rejects. Blank files are no documents."""
+    reason, document: ``unknown`` path or ``unreadable``) into ``root``/rejects. Blank files are no documents.
+
+    A micro-batch only sorts its documents out by route, into a folder of its own below the checkpoint; they stay there.
+    The tables are merged once, after the last of them: a table's folders are written once a run, not once for each
+    micro-batch. What a failed run has landed is merged by the next one."""
+    spark = documents.sparkSession
 
     def bring(batch: DataFrame, number: int) -> None:
-        batch = batch.filter(F.col("value").rlike(r"\S")).persist()
-        try:
-            rejects = []
-            for kind, route in routes.items():
-                read = batch.filter(F.col(bronze.BATCH_FILE).rlike(route.pattern)).withColumn("document", F.from_json("value", route.document))
-                good = read.filter(F.col("document").isNotNull())
-                rows = route.rows(good).withColumn(PART, route.part())
-                merge_versions_into(rows, table_path(root, kind), route.keys, route.order, PART, route.apart)
-                rejects.append(read.filter(F.col("document").isNull()).select(bronze.BATCH_FILE, F.lit("unreadable").alias("reason"), F.col("value").alias("document")))
-            known = reduce(lambda a, b: a | b, [F.col(bronze.BATCH_FILE).rlike(r.pattern) for r in routes.values()])
-            rejects.append(batch.filter(~known).select(bronze.BATCH_FILE, F.lit("unknown").alias("reason"), F.col("value").alias("document")))
-            # A folder for each micro-batch: run again, it is written again.
-            reduce(DataFrame.unionByName, rejects).write.mode("overwrite").parquet(f"{table_path(root, 'rejects')}/batch={number}")
-        finally:
-            batch.unpersist()
+        # A folder for each micro-batch: run again, it is written again.
+        folder = f"{checkpoint}/landed/batch={number}"
+        _sorted_out(batch, routes).write.mode("overwrite").partitionBy("kind").parquet(folder)
+        rejects = batch.sparkSession.read.schema(_LANDED).parquet(folder).filter(F.col("kind") == _REJECTED)
+        rejects.select(bronze.BATCH_FILE, "reason", F.col("value").alias("document")).write.mode("overwrite").parquet(
+            f"{table_path(root, 'rejects')}/batch={number}"
+        )
 
     query = (
         documents.writeStream.foreachBatch(bring).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    _merge_landed(spark, root, checkpoint, routes)
 
 
 def routed_table(spark: SparkSession, root: str, kind: str) -> DataFrame:

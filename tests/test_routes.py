@@ -6,6 +6,7 @@ import json
 
 from macrotide.plans import layers
 from macrotide.sources import bronze
+from macrotide.streaming import routes
 from macrotide.streaming import run_routed, routed_network, routed_table, stream_documents
 from tests.conftest import rows
 
@@ -51,3 +52,29 @@ def test_runs_follow_each_other_and_equal_the_batch(spark, tmp_path):
     assert rows(routed_network(spark, out)) == rows(gold) and gold.first().tx_count == 10
     rejects = spark.read.parquet(f"{out}/rejects").select("reason", "batch_file").collect()
     assert sorted((r.reason, r.batch_file.rsplit("/", 1)[1]) for r in rejects) == [("unknown", "readme.md"), ("unreadable", "fee_estimates_20240102_000000.json")]
+
+
+def test_a_table_is_merged_once_a_run(spark, tmp_path, monkeypatch):
+    """However many micro-batches a run takes; what a run landed that failed before its merge is not lost."""
+    src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    for day in range(1, 6):
+        land(src, f"series/{day}.json", series(f"2024-02-0{day}T00:00:00", **{"d2024_01_01": str(day), f"d2024_01_0{day + 1}": "9"}))
+    merged, merge = [], routes.merge_versions_into
+
+    def count(batch, path, *rest):
+        merged.append(path)
+        if len(merged) == 2:
+            raise OSError("lost")
+        merge(batch, path, *rest)
+
+    monkeypatch.setattr(routes, "merge_versions_into", count)
+    documents = stream_documents(spark, str(src), files_per_trigger=1)
+    try:
+        run_routed(documents, out, state)
+    except OSError:
+        run_routed(stream_documents(spark, str(src), files_per_trigger=1), out, state)
+    assert len(merged) == 2 + len(routes.ROUTES)
+    found = rows(routed_table(spark, out, "series").select("date", "numeric_value"))
+    assert [(str(d), v) for d, v in found] == [("2024-01-01", 5.0)] + [(f"2024-01-0{d}", 9.0) for d in range(2, 7)]
+    run_routed(stream_documents(spark, str(src), files_per_trigger=1), out, state)
+    assert len(merged) == 2 + len(routes.ROUTES)
