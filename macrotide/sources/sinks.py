@@ -34,10 +34,15 @@ def write_bronze(
 
 def write_documents(df: DataFrame, path: str, document: Column | str, folder: Names = (), mode: str = "append") -> None:
     """Land one pretty-printed JSON document per file, as collectors do. ``document`` is
-    a struct, map or array column; ``folder`` columns become ``name=value`` folders."""
+    a struct, map or array column; ``folder`` columns become ``name=value`` folders.
+
+    The work is in the files, not in their bytes, so documents are dealt evenly over the shuffle partitions: a given number,
+    which adaptive execution does not merge into the few tasks that would do for the bytes."""
     cols = as_list(folder)
     body = F.col(document) if isinstance(document, str) else document
-    texts = df.select(*cols, F.to_json(body, {"pretty": "true", "ignoreNullFields": "false"}).alias("value"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.select(*cols, body.alias("_document")).repartition(tasks)
+    texts = dealt.select(*cols, F.to_json("_document", {"pretty": "true", "ignoreNullFields": "false"}).alias("value"))
     writer = texts.write.mode(mode).option("maxRecordsPerFile", 1)
     (writer.partitionBy(*cols) if cols else writer).text(path)
 
