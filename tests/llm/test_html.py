@@ -55,6 +55,15 @@ def test_paths_without_an_article():
     assert main_text(page) == "\n".join(["A title", LONG, "Short.", f"{LONG} link", "item one", "two"])
 
 
+def test_ratios_decide_whether_an_article_is_the_main_text():
+    """A teaser of another page is an article too, but not this page's."""
+    teaser = "<article class=card><h3><a href=1>Other</a></h3><p>Read on.</p></article>"
+    text = f"<div id=text><h2>A title</h2><p>{LONG}<p>Short.<p>{LONG}<p>{LONG}</div>"
+    found = main_text(f"<body>{text}{teaser * 3}</body>").split("\n")
+    assert found[:5] == ["A title", LONG, "Short.", LONG, LONG]
+    assert main_text(f"<body><article>{text}</article><p>Read on.</body>").split("\n") == found[:5]
+
+
 def test_odd_markup_takes_no_more_than_its_length():
     began = time.process_time()
     for page in ("<div>" * 100_000 + "x", '<a "' * 20_000, "</b>" * 100_000 + "<b><i>" * 20_000 + "</b>" * 20_000, "<p>" * 100_000, "<!--" * 50_000):
