@@ -85,7 +85,8 @@ def _carried(table: DataFrame, keys: list[str], order: list[str], running: Mappi
     if keys:
         crossing = _crossing(table, keys)
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-        rows = table.join(crossing, same, "left_semi")
+        # Broadcast whatever the sizes: a shuffle would gather each crossing key, the largest ones, in one task.
+        rows = table.join(F.broadcast(crossing), same, "left_semi")
     kind = table.schema[order[0]].dataType.simpleString()
     # A bare column of fixed width keeps max_by in a hash aggregate; rows without a time are the first.
     at = F.coalesce(F.col(order[0]), F.expr(LOWEST[kind])) if len(order) == 1 and kind in LOWEST else F.struct(*order)

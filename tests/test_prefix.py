@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from macrotide.operators.prefix import Running, _places, prefix_scan
+from macrotide.operators.prefix import Running, _carried, _dealt, _places, prefix_scan
 from tests.conftest import SF_DIR
 from tools.plans import plan_of
 from workload import QUERIES
@@ -59,3 +59,14 @@ def test_one_scan_and_one_exchange_of_the_rows(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
     rows = plan.split("\n\n")[0]
     assert rows.count("Exchange hashpartitioning") + rows.count("ShuffleExchange") <= 1
+
+
+def test_a_crossing_key_is_not_gathered(spark):
+    """The rows of a key with several pieces meet the crossing keys where they lie, also without a broadcast by size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = _dealt(spark.range(1000).selectExpr("'all' AS k", "id AS t"), ["k"], ["t"], 4)
+        plan = plan_of(_carried(table, ["k"], ["t"], {"n": Running("count", "t")}))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BroadcastHashJoin" in plan
