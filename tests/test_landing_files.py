@@ -282,3 +282,11 @@ def test_broken_lines_are_rejected(spark, tmp_path, kind):
     (tmp_path / "a_20240101_000000.json").write_text("\n".join([line, line[: len(line) // 2], "", line]), encoding="utf-8")
     good, rejects = bronze.read_with_rejects(spark, kind, str(tmp_path), lines=True)
     assert [r.reason for r in rejects.collect()] == ["unreadable"] and good.count() >= 1
+
+
+def test_few_bytes_are_written_by_many_tasks(spark, tmp_path):
+    """Documents that one task holds are dealt over all before each becomes a file."""
+    docs = spark.range(200).coalesce(1).select(F.struct("id").alias("doc"), F.concat(F.lit("s"), "id").alias("snapshot"))
+    sinks.write_documents(docs, str(tmp_path / "out"), "doc", "snapshot")
+    names = [p.name for p in (tmp_path / "out").rglob("part-*")]
+    assert len(names) == 200 and len({n.split("-")[1] for n in names}) > 4
