@@ -4,12 +4,14 @@ Bytes become small vectors; filters of ``width`` bytes slide over overlapping ch
 together cover the whole text. Each filter is max-pooled within a chunk, and the mean and the
 maximum over the chunks are combined into one probability.
 
-The network is trained on a bounded sample of labelled rows (``TrainingBounds``). Scoring is
+The network is trained in one task, on a bounded sample of labelled rows (``TrainingBounds``). Scoring is
 one map over all texts; the weights, a few thousand numbers, travel with the task.
 """
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -201,21 +203,39 @@ def train_quality(
         F.col(id_col).cast("bigint").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")
     )
     totals = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}  # two rows
-    samples = {}
+    samples = []
     for label in (0, 1):
         # The hash order is taken on ids alone; texts are fetched for the chosen few only.
         ids = known.where(F.col("_label") == label).select("_id").join(
             rows.select("_id"), "_id", "left_semi"
         ).distinct().orderBy(F.xxhash64("_id")).limit(bounds.rows_per_label)
         found = rows.join(F.broadcast(ids), "_id", "left_semi").select(
-            "_id", _sampled_bytes(F.col("_id"), F.col("_text"), bounds.text_bytes).alias("_bytes")
+            F.lit(label).alias("_label"), "_id", _sampled_bytes(F.col("_id"), F.col("_text"), bounds.text_bytes).alias("_bytes")
         )
-        samples[label] = sorted((r["_id"], bytes(r["_bytes"])) for r in found.limit(4 * bounds.rows_per_label).collect())
-    if not samples[0] or not samples[1]:
-        return 0.5 if not totals else float(not samples[0])
-    texts = [t for label in (0, 1) for _, t in samples[label]]
-    y = np.repeat(np.array([0.0, 1.0], np.float32), [len(samples[0]), len(samples[1])])
-    return ByteCnn().train(texts, y, bounds, totals[1] / totals[0])
+        samples.append(found.limit(4 * bounds.rows_per_label))
+    fitted = _fit(samples[0].unionByName(samples[1]), bounds, totals[1] / totals[0] if len(totals) == 2 else 1.0)
+    if isinstance(fitted, ByteCnn):
+        return fitted
+    return 0.5 if not totals else float(not fitted[0])
+
+
+def _fit(sample: DataFrame, bounds: TrainingBounds, odds: float) -> ByteCnn | tuple[int, int]:
+    """The network trained on a sample (_label, _id, _bytes), or, where a label has no row in it, the rows of each label.
+    One task trains, and the driver gets the weights only: of the sample it holds nothing."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        y = np.array([label for label, _, _ in rows], np.float32)
+        n_ones, weights = int(y.sum()), io.BytesIO()
+        if 0 < n_ones < len(rows):
+            np.savez(weights, **ByteCnn().train([text for _, _, text in rows], y, bounds, odds).weights)
+        yield pa.RecordBatch.from_pydict({"zeros": [len(rows) - n_ones], "ones": [n_ones], "weights": [weights.getvalue()]})
+
+    found = sample.repartition(1).mapInArrow(fit, "zeros bigint, ones bigint, weights binary").first()
+    if found is None or not found.weights:
+        return (found.zeros, found.ones) if found else (0, 0)
+    with np.load(io.BytesIO(found.weights)) as weights:
+        return ByteCnn(weights={name: weights[name] for name in weights.files})
 
 
 def quality_score(model: ByteCnn | float, text: Column) -> Column:

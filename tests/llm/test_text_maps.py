@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -183,6 +184,29 @@ def test_labels_of_one_kind_or_none_give_a_constant(frame, spark):
     assert byte_cnn.train_quality(rows, good) == 1.0
 
 
+def test_training_leaves_the_driver_alone(spark, monkeypatch):
+    """The driver neither trains nor holds texts of the sample; the weights are those of the sample in order."""
+    rows = [(i, ("good words " if i % 2 else "bad bytes ") * 30, i % 2) for i in range(1, 60)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, quality int")
+    seen = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    bounds = byte_cnn.TrainingBounds(epochs=2)
+    ordered = sorted(seen, key=lambda r: (r[2], r[0]))
+    ones = sum(r[2] for r in seen)
+    plain = byte_cnn.ByteCnn().train([r[1].encode() for r in ordered], np.array([r[2] for r in ordered], np.float32), bounds, ones / (len(seen) - ones))
+
+    here = os.getpid()
+
+    def elsewhere(self, *args):
+        if os.getpid() == here:
+            raise AssertionError("trained in the driver")
+        return train(self, *args)
+
+    train = byte_cnn.ByteCnn.train
+    monkeypatch.setattr(byte_cnn.ByteCnn, "train", elsewhere)
+    found = byte_cnn.train_quality(docs, labels, bounds=bounds)
+    assert all(np.allclose(found.weights[k], v, atol=1e-4) for k, v in plain.weights.items())
+
+
 def test_scores_do_not_depend_on_how_chunks_are_worked_through():
     model = byte_cnn.ByteCnn().start()
     rng = np.random.default_rng(1)
