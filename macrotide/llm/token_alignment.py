@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import os
 import re
 from array import array
 from collections.abc import Iterator
@@ -44,6 +45,7 @@ SPACE_SIGN = "▁"
 # A chunk starts with a space and ends before a space that follows no white space.
 CHUNK = re.compile(r" [^ ]*(?:(?<=\s) [^ ]*)*")
 _SECOND = 32  # a pair is the second id above so many bits, and the first id in them
+LEARNT_AT_ONCE = 4096  # chunks; the tokenizers' own objects of one chunk take about a kilobyte
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -61,6 +63,8 @@ class Vocabularies:
     """The two tokenizers, and the bytes of every id."""
 
     def __init__(self, first: str, second: str) -> None:
+        # A task has one core. Threads of its own would each keep the memory of their part of a batch.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -171,8 +175,9 @@ class Run:
     def add(self, ids: list[int | None], texts: list[str | None]) -> None:
         cut = [CHUNK.findall(" " + t) if t else [] for t in texts]
         known = self.known
-        if missing := list({c for chunks in cut for c in chunks if c not in known}):
-            self.learn(missing)
+        missing = list({c for chunks in cut for c in chunks if c not in known})
+        for k in range(0, len(missing), LEARNT_AT_ONCE):
+            self.learn(missing[k : k + LEARNT_AT_ONCE])
         n_a, n_b, links = (np.frombuffer(own, np.int64) if own else np.zeros(0, np.int64) for own in (self.n_a, self.n_b, self.links))
         for doc_id, text, chunks in zip(ids, texts, cut, strict=True):
             numbers = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
@@ -191,32 +196,45 @@ class Run:
         return self.bytes >= run_bytes or self.chars >= run_bytes
 
     def written(self, run: int) -> Iterator[tuple]:
-        """The rows of the run: the heads of its bins, then its documents and records."""
-        flat, links = np.array(self.pairs, np.int64), np.array(self.links, np.int64)
-        keys, which = np.unique(flat, return_inverse=True)
+        """The rows of the run: the heads of its bins, then its documents and records. Arrays of an
+        entry for each pair and document are the run's largest, so they go as soon as they were used."""
+        keys, which = np.unique(np.frombuffer(self.pairs, np.int64) if self.pairs else np.zeros(0, np.int64), return_inverse=True)
         digits = (mix(keys >> _SECOND) % np.uint64(self.bins)).astype(np.int64)
         order = np.argsort(digits, kind="stable")  # inside a digit by second id, then first
         keys, digits = keys[order], digits[order]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-
-        docs = rows_of(np.array(self.chunk_counts, np.int64))
-        once, n = np.unique(np.concatenate(self.chunks) << 32 | docs, return_counts=True)
-        chunk, doc = once >> 32, once & 0xFFFFFFFF
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        place = place[which]  # of each link of the table
+        del which, order
+
+        links = np.array(self.links, np.int64)
+        once = np.concatenate(self.chunks) << 32
+        once |= rows_of(np.array(self.chunk_counts, np.int64))
+        once, n = np.unique(once, return_counts=True)
+        n = n.astype(np.int32)
+        chunk, doc = (once >> 32).astype(np.int32), (once & 0xFFFFFFFF).astype(np.uint32)
+        del once
         starts, sizes = np.cumsum(links) - links, links[chunk]
-        owner = rows_of(sizes)
-        at = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner] + starts[chunk][owner]
-        cells = place[which[at]] << 32 | doc[owner]
+        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - starts[chunk], sizes)
+        cells = place[at].astype(np.int64)
+        del at, place, chunk
+        cells <<= 32
+        cells |= np.repeat(doc, sizes)
+        n = np.repeat(n, sizes)
         sort = np.argsort(cells, kind="stable")
-        cells, n = cells[sort], n[owner][sort]
+        cells, n = cells[sort], n[sort]
+        del sort, doc, sizes
         first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.zeros(0, np.int64)
-        cells, n = cells[first], np.add.reduceat(n, first) if len(first) else n
+        cells, n = cells[first], np.add.reduceat(n, first, dtype=np.int64) if len(first) else n.astype(np.int64)
+        del first
         pair, doc = cells >> 32, cells & 0xFFFFFFFF
+        del cells
 
         # Pairs of the table that no text of this run holds are left out.
         held = np.bincount(pair, minlength=len(keys))
         total = np.zeros(len(keys), np.int64)
         np.add.at(total, pair, n)
+        del pair
         keys, digits, total, held = (x[held > 0] for x in (keys, digits, total, held))
         borders = np.searchsorted(digits, np.arange(self.bins + 1))
         for k, (x, y) in enumerate(zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)):
@@ -225,6 +243,7 @@ class Run:
         steps = np.diff(doc, prepend=0)
         new = np.cumsum(held) - held
         steps[new] = doc[new]
+        del doc, new
         columns = list(zip(*self.rows, strict=True))
         table = pa.table([pa.array(c, pa.int64() if i < 4 else pa.string()) for i, c in enumerate(columns)], names=list("iabgs"))
         sink = pa.BufferOutputStream()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import public_tokenizers
@@ -74,3 +75,29 @@ def test_packed_numbers_come_back():
 
     for values in ([], [0], [1, 2**40, 7], list(range(1000))):
         assert ta.unpacked(ta.packed(np.array(values, np.int64))).tolist() == values
+
+
+def _one_run(n_texts, monkeypatch):
+    """A run of texts without a chunk in common, and how many chunks each call encoded."""
+    words = ta.Vocabularies(*FILES)
+    encoded, encode = [], words.encode
+    monkeypatch.setattr(words, "encode", lambda texts: encoded.append(len(texts)) or encode(texts))
+    run = ta.Run(words, 8)
+    run.add(list(range(n_texts)), [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(n_texts)])
+    return run, encoded
+
+
+def test_a_block_of_new_chunks_is_encoded_in_pieces(monkeypatch):
+    _, encoded = _one_run(500, monkeypatch)
+    assert sum(encoded) == 500 * 40 and max(encoded) <= 4096
+
+
+def test_writing_a_run_holds_few_arrays_of_its_links(monkeypatch):
+    run, _ = _one_run(1000, monkeypatch)
+    n_links = sum(r[3] for r in run.rows)
+    tracemalloc.start()
+    for _ in run.written(0):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * n_links  # bytes
