@@ -20,7 +20,8 @@ where no link is possible or needed:
 * Shingles that no other text of the unsettled buckets has cannot be shared. What is left of two
   texts bounds their similarity, so a text with many edits of its own is settled at once.
 
-So no link of a bucket is lost, and a large group of copies does not cost its square.
+So no link of a bucket is lost, and a large group of copies does not cost its square. Two texts
+often share many buckets and one hub there: what is known of them is one row with these buckets.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.llm.components import connected_components
+from macrotide.llm.components import connected_components, in_tasks
 from macrotide.llm.text import LOWER, SPACES, mix, rows_of, span_hashes, text_blocks, windows, word_spans
 from macrotide.session import checkpoint_root, scratch_dir
 
@@ -192,7 +193,7 @@ def near_duplicate_classes(
     )
     spread = distinct.select("node", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high")
-    alive = spread.join(shared.select("bucket"), "bucket", "left_semi").distinct().checkpoint()
+    alive = _kept(spread.join(shared.select("bucket"), "bucket", "left_semi").distinct())
     # Texts of candidates, written once: the rounds below shuffle these and not all texts.
     path = scratch_dir(spark, "candidates")
     rows.where("text IS NOT NULL").join(
@@ -203,39 +204,43 @@ def near_duplicate_classes(
     # A text that meets many others comes first as a hub: the original of a group of edited copies.
     sizes = alive.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size"))
     degrees = alive.join(sizes, "bucket").groupBy("node").agg(F.sum("_size").alias("degree"))
-    alive = alive.join(degrees, "node").withColumn("label", F.col("node"))
+    members = alive
+    alive = _kept(alive.join(degrees, "node").withColumn("label", F.col("node")))
     known = None  # every pair compared so far
-    seats = None  # (bucket, node, hub) of all that met, similarity null where no link was possible
+    seats = None  # (node, hub, buckets) of all that met, similarity null where no link was possible
     profiles = labels = None
     hubs_per_bucket = 1
     while not alive.isEmpty():
         salt = F.pmod(F.xxhash64("node", F.lit(hubs_per_bucket)), F.lit(hubs_per_bucket))
         first = F.min_by(F.struct("node", "label"), F.struct(-F.col("degree"), F.xxhash64("node"), "node"))
-        hubs = alive.groupBy("bucket", salt.alias("_salt")).agg(first.alias("_first")).select(
+        hubs = _kept(alive.groupBy("bucket", salt.alias("_salt")).agg(first.alias("_first")).select(
             "bucket", F.col("_first.node").alias("hub"), F.col("_first.label").alias("hub_label")
-        ).checkpoint()
-        here = alive.select("bucket", "node", "label").join(hubs, "bucket").where("node != hub AND label != hub_label").select(
-            "bucket", "node", "hub", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
-        ).checkpoint()
+        ))
+        # A row of two texts has a bucket for each band at most.
+        here = _kept(
+            alive.select("bucket", "node", "label").join(hubs, "bucket").where("node != hub AND label != hub_label")
+            .groupBy("node", "hub").agg(F.collect_set("bucket").alias("buckets"))
+            .select("node", "hub", "buckets", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+        )
         pairs = here.select("a", "b").distinct()
         if known is not None:
             pairs = _may_link(pairs.join(known, ["a", "b"], "left_anti"), profiles, threshold)
-        fresh = _verify(pairs, texts).groupBy("a", "b").agg(F.max("similarity").alias("similarity")).checkpoint()
+        fresh = _kept(_verify(pairs, texts).groupBy("a", "b").agg(F.max("similarity").alias("similarity")))
         known = fresh if known is None else known.unionByName(fresh)
-        measured = here.join(known, ["a", "b"], "left").select("bucket", "node", "hub", "similarity").checkpoint()
+        measured = _kept(here.join(known, ["a", "b"], "left").select("node", "hub", "buckets", "similarity"))
         seats = measured if seats is None else seats.unionByName(measured)
         labels = _joined_labels(labels, fresh.where(F.col("similarity") >= threshold).select("a", "b"))
         # Hubs have met all others; members close to a hub leave too. The rest goes on.
         gone = hubs.select("bucket", F.col("hub").alias("node")).unionByName(
-            measured.where(F.col("similarity") >= threshold).select("bucket", "node")
+            measured.where(F.col("similarity") >= threshold).select(F.explode("buckets").alias("bucket"), "node")
         ).distinct()
         rest = _labelled(alive.join(gone, ["bucket", "node"], "left_anti").drop("label"), labels, "node", "label")
         if profiles is None:
             apart = _labelled(_labelled(measured, labels, "node", "_x"), labels, "hub", "_y").where("_x != _y")
-            left = measured.join(apart.select("bucket").distinct(), "bucket", "left_semi")
-            nodes = left.select("node").unionByName(left.select(F.col("hub").alias("node"))).distinct()
+            unsettled = apart.select(F.explode("buckets").alias("bucket")).distinct()
+            nodes = members.join(unsettled, "bucket", "left_semi").select("node").distinct()
             profiles = _profiles(texts.join(nodes, "node", "left_semi"))
-        alive = _crowded(rest, profiles, threshold).checkpoint()
+        alive = _kept(_crowded(rest, profiles, threshold))
         hubs_per_bucket *= 16
 
     if known is None:
@@ -263,6 +268,12 @@ def keep_one_of_class(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     )
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """Written to the shared folder, and read by as many tasks as its rows need. For ids and numbers."""
+    df = df.checkpoint()
+    return in_tasks(df, df.count())
+
+
 def _profiles(texts: DataFrame) -> DataFrame:
     """(node, n, own): shingles of each text, and those that no other of the texts has. Equal
     shingles of one text count apart. A node of several texts has none of its own."""
@@ -287,10 +298,10 @@ def _profiles(texts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("node").alias("node")
     ).where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     sizes = tokens.groupBy("node").agg(F.max(F.size("tokens")).alias("n"), F.count(F.lit(1)).alias("_texts"))
-    return sizes.join(own, "node", "left").select(
+    return _kept(sizes.join(own, "node", "left").select(
         "node", "n", F.when(F.col("_texts") == 1, F.coalesce("own", F.lit(0))).otherwise(0).alias("own"),
         (F.col("_texts") == 1).alias("single"),
-    ).checkpoint()
+    ))
 
 
 def _joined_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -358,10 +369,10 @@ def _border_pairs(seats: DataFrame, labels: DataFrame, profiles: DataFrame, thre
     close = F.coalesce(F.col("similarity") >= threshold, F.lit(False))
     open_ = described(
         seats.where(~close & F.coalesce(F.col("similarity") >= threshold - reach, F.lit(True))).withColumnRenamed("node", "x"), "x"
-    ).where("x_label != hub_label").select("bucket", "hub", "x", "x_label", "x_n", "x_own", "x_single", "x_hub", (1 - F.col("similarity")).alias("far"))
+    ).where("x_label != hub_label").select("buckets", "hub", "x", "x_label", "x_n", "x_own", "x_single", "x_hub", (1 - F.col("similarity")).alias("far"))
     near = described(
-        seats.where(close).join(open_.select("bucket", "hub").distinct(), ["bucket", "hub"], "left_semi").withColumnRenamed("node", "y"), "y"
-    ).select(F.col("bucket").alias("_bucket"), F.col("hub").alias("_hub"), "y", "y_label", "y_n", "y_own", "y_single", "y_hub", (1 - F.col("similarity")).alias("close"))
+        seats.where(close).join(open_.select("hub").distinct(), "hub", "left_semi").withColumnRenamed("node", "y"), "y"
+    ).select(F.col("buckets").alias("_buckets"), F.col("hub").alias("_hub"), "y", "y_label", "y_n", "y_own", "y_single", "y_hub", (1 - F.col("similarity")).alias("close"))
     outside = [F.greatest(F.col(f"{c}_n") - F.col(f"{c}_own") - F.col(f"{c}_hub"), F.lit(0)) for c in ("x", "y")]
     # Where an overlap with the hub is not known, all that is not a text's own may be outside.
     inside = F.when((F.col("x_hub") > 0) & (F.col("y_hub") > 0), F.least("x_hub", "y_hub"))
@@ -371,7 +382,7 @@ def _border_pairs(seats: DataFrame, labels: DataFrame, profiles: DataFrame, thre
     )
     # All conditions belong to the join itself, so that only pairs worth comparing leave it.
     both = open_.join(near, (
-        (F.col("bucket") == F.col("_bucket")) & (F.col("hub") == F.col("_hub")) & (F.col("x_label") != F.col("y_label"))
+        (F.col("hub") == F.col("_hub")) & (F.col("x_label") != F.col("y_label")) & F.arrays_overlap("buckets", "_buckets")
         & F.coalesce(F.col("far") - F.col("close") <= reach + 1e-9, F.lit(True)) & _reaches(shared, "x", "y", threshold)
     ))
     return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

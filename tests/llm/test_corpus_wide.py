@@ -117,6 +117,29 @@ def test_a_group_of_edited_copies_is_not_compared_with_itself(spark, frame, monk
     assert sum(compared) < 260 * 260 / 2 / 5
 
 
+def test_a_text_and_a_hub_are_one_row_whatever_buckets_they_share(frame, monkeypatch):
+    rng, seen = random.Random(13), []
+    base = [f"b{i}" for i in range(120)]
+    rows = [(k, " ".join(edited(rng, base, rng.choice([0, 1, 2, 6])))) for k in range(60)]
+    border = near_dedup._border_pairs
+    monkeypatch.setattr(near_dedup, "_border_pairs", lambda seats, *others: seen.append(seats.select("node", "hub")) or border(seats, *others))
+    found = near_dedup.near_duplicate_classes(frame([(i, "s", t) for i, t in rows]))
+    assert sorted(map(tuple, found.collect())) == brute_classes(rows)
+    assert seen[0].count() <= 2 * seen[0].distinct().count()  # once a round
+
+
+def test_few_links_stay_in_few_tasks(spark):
+    """Where small partitions are not merged, each round would write its files by all of them."""
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    try:
+        found = connected_components(spark.createDataFrame([(k, k + 1) for k in range(40)], "a bigint, b bigint"))
+        assert found.rdd.getNumPartitions() == 1
+        assert sorted(map(tuple, found.collect())) == [(k, 0) for k in range(1, 41)]
+    finally:
+        spark.conf.unset(merge)
+
+
 def test_an_id_with_two_texts_is_compared_by_both(frame):
     rng, rows = random.Random(4), []
     for k in range(12):
