@@ -19,6 +19,8 @@ where no link is possible or needed:
   have been linked by then.
 * Shingles that no other text of the unsettled buckets has cannot be shared. What is left of two
   texts bounds their similarity, so a text with many edits of its own is settled at once.
+  From the second round on these bounds, and what both share with the first hub of their bucket,
+  are conditions of the join with the hubs, and two hubs of a bucket meet once.
 
 So no link of a bucket is lost, and a large group of copies does not cost its square. Two texts
 often share many buckets and one hub there: what is known of them is one row with these buckets.
@@ -208,31 +210,40 @@ def near_duplicate_classes(
     alive = _kept(alive.join(degrees, "node").withColumn("label", F.col("node")))
     known = None  # every pair compared so far
     seats = None  # (node, hub, buckets) of all that met, similarity null where no link was possible
-    profiles = labels = None
+    profiles = labels = first_met = None
     hubs_per_bucket = 1
     while not alive.isEmpty():
         salt = F.pmod(F.xxhash64("node", F.lit(hubs_per_bucket)), F.lit(hubs_per_bucket))
-        first = F.min_by(F.struct("node", "label"), F.struct(-F.col("degree"), F.xxhash64("node"), "node"))
+        told = [c for c in alive.columns if c not in ("bucket", "degree")]
+        first = F.min_by(F.struct(*told), F.struct(-F.col("degree"), F.xxhash64("node"), "node"))
         hubs = _kept(alive.groupBy("bucket", salt.alias("_salt")).agg(first.alias("_first")).select(
-            "bucket", F.col("_first.node").alias("hub"), F.col("_first.label").alias("hub_label")
+            "bucket", *(F.col(f"_first.{c}").alias("hub" if c == "node" else f"hub_{c}") for c in told)
         ))
-        # A row of two texts has a bucket for each band at most.
-        here = _kept(
-            alive.select("bucket", "node", "label").join(hubs, "bucket").where("node != hub AND label != hub_label")
-            .groupBy("node", "hub").agg(F.collect_set("bucket").alias("buckets"))
-            .select("node", "hub", "buckets", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        )
+        if profiles is None:
+            present, possible = alive, F.lit(True)
+        else:
+            # Two hubs of a bucket meet once, not each as the other's member.
+            seated = hubs.select("bucket", F.col("hub").alias("node"), F.lit(True).alias("is_hub"))
+            present = _kept(alive.join(seated, ["bucket", "node"], "left").fillna(False, ["is_hub"]))
+            possible = _possible(threshold) & (~F.col("is_hub") | (F.col("node") < F.col("hub")))
+        here = _kept(_met(present, hubs, possible))
         pairs = here.select("a", "b").distinct()
         if known is not None:
-            pairs = _may_link(pairs.join(known, ["a", "b"], "left_anti"), profiles, threshold)
+            pairs = pairs.join(known, ["a", "b"], "left_anti")
         fresh = _kept(_verify(pairs, texts).groupBy("a", "b").agg(F.max("similarity").alias("similarity")))
         known = fresh if known is None else known.unionByName(fresh)
         measured = _kept(here.join(known, ["a", "b"], "left").select("node", "hub", "buckets", "similarity"))
+        close = measured.where(F.col("similarity") >= threshold)
         seats = measured if seats is None else seats.unionByName(measured)
+        if profiles is not None:
+            # Who cannot be linked to a hub may be linked to what is close to it.
+            followed = hubs.join(close.select(F.explode("buckets").alias("bucket"), "hub").distinct(), ["bucket", "hub"])
+            missed = _met(present, followed, ~_possible(threshold) & ~F.col("is_hub"))
+            seats = seats.unionByName(_kept(missed.join(known, ["a", "b"], "left").select("node", "hub", "buckets", "similarity")))
         labels = _joined_labels(labels, fresh.where(F.col("similarity") >= threshold).select("a", "b"))
         # Hubs have met all others; members close to a hub leave too. The rest goes on.
         gone = hubs.select("bucket", F.col("hub").alias("node")).unionByName(
-            measured.where(F.col("similarity") >= threshold).select(F.explode("buckets").alias("bucket"), "node")
+            close.select(F.explode("buckets").alias("bucket"), "node")
         ).distinct()
         rest = _labelled(alive.join(gone, ["bucket", "node"], "left_anti").drop("label"), labels, "node", "label")
         if profiles is None:
@@ -240,7 +251,8 @@ def near_duplicate_classes(
             unsettled = apart.select(F.explode("buckets").alias("bucket")).distinct()
             nodes = members.join(unsettled, "bucket", "left_semi").select("node").distinct()
             profiles = _profiles(texts.join(nodes, "node", "left_semi"))
-        alive = _kept(_crowded(rest, profiles, threshold))
+            first_met = _kept(_overlaps(measured, profiles))
+        alive = _kept(_crowded(rest, profiles, threshold).join(first_met, ["bucket", "node"], "left"))
         hubs_per_bucket *= 16
 
     if known is None:
@@ -268,6 +280,15 @@ def keep_one_of_class(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     )
 
 
+def _met(members: DataFrame, hubs: DataFrame, which: Column) -> DataFrame:
+    """Members and hubs of their buckets, apart so far, that ``which`` admits. A row of two texts has a
+    bucket for each band at most. The condition belongs to the join itself, so that only pairs worth a row leave it."""
+    met = members.join(hubs, "bucket").where((F.col("node") != F.col("hub")) & (F.col("label") != F.col("hub_label")) & which)
+    return met.groupBy("node", "hub").agg(F.collect_set("bucket").alias("buckets")).select(
+        "node", "hub", "buckets", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
+    )
+
+
 def _kept(df: DataFrame) -> DataFrame:
     """Written to the shared folder, and read by as many tasks as its rows need. For ids and numbers."""
     df = df.checkpoint()
@@ -330,11 +351,24 @@ def _reaches(shared: Column, x: str, y: str, threshold: float) -> Column:
     return enough | ~(F.col(f"{x}_single") & F.col(f"{y}_single"))
 
 
-def _may_link(pairs: DataFrame, profiles: DataFrame, threshold: float) -> DataFrame:
-    """Pairs that can be linked: they share no more than what both have in common with others."""
-    both = _profiled(_profiled(pairs, profiles, "a", "a"), profiles, "b", "b")
-    shared = F.least(F.col("a_n") - F.col("a_own"), F.col("b_n") - F.col("b_own"))
-    return both.where(_reaches(shared, "a", "b", threshold)).select("a", "b")
+def _overlaps(measured: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(bucket, node, met): the shingles that a member shares with the first hub of its bucket, where
+    both are one text. That hub is the same for all members that go on."""
+    both = _profiled(_profiled(measured.where("similarity IS NOT NULL"), profiles, "node", "x"), profiles, "hub", "hub")
+    shared = F.round(F.col("similarity") / (1 + F.col("similarity")) * (F.col("x_n") + F.col("hub_n")))
+    return both.where("x_single AND hub_single").select(F.explode("buckets").alias("bucket"), "node", shared.alias("met"))
+
+
+def _possible(threshold: float) -> Column:
+    """Whether a member and a hub can be linked: they share no more than what both have in common
+    with others, nor more than the first hub of the bucket has of both and what both have outside of it."""
+    rest, hub_rest = F.col("x_n") - F.col("x_own"), F.col("hub_x_n") - F.col("hub_x_own")
+    outside = F.greatest(F.least(rest - F.col("met"), hub_rest - F.col("hub_met")), F.lit(0))
+    met = F.least("met", "hub_met") + outside
+    known = F.col("met").isNotNull() & F.col("hub_met").isNotNull()
+    shared = F.least(rest, hub_rest, F.when(known, met))  # a null counts for nothing
+    enough = shared >= threshold * (F.col("x_n") + F.col("hub_x_n") - shared) - 1e-6
+    return enough | ~(F.col("x_single") & F.col("hub_x_single"))
 
 
 def _crowded(rest: DataFrame, profiles: DataFrame, threshold: float) -> DataFrame:
@@ -348,8 +382,9 @@ def _crowded(rest: DataFrame, profiles: DataFrame, threshold: float) -> DataFram
 
     left = F.col("x_n") - F.col("x_own")
     possible = left >= threshold * (F.col("x_n") + F.greatest("_least", left) - left) - 1e-6
+    rest = rest.select("bucket", "node", "degree", "label")
     found = mixed(_profiled(rest, profiles, "node", "x")).where(possible | ~F.col("x_single")).drop("_least")
-    return mixed(found).select("bucket", "node", "degree", "label")
+    return mixed(found).select("bucket", "node", "degree", "label", "x_n", "x_own", "x_single")
 
 
 def _border_pairs(seats: DataFrame, labels: DataFrame, profiles: DataFrame, threshold: float) -> DataFrame:

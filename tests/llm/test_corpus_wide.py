@@ -128,6 +128,30 @@ def test_a_text_and_a_hub_are_one_row_whatever_buckets_they_share(frame, monkeyp
     assert seen[0].count() <= 2 * seen[0].distinct().count()  # once a round
 
 
+def test_hubs_meet_once_and_only_where_a_link_is_possible(frame, monkeypatch):
+    """Copies edited too much to be linked stay in their buckets through all rounds, in the end as hubs."""
+    rng, kept = random.Random(14), near_dedup._kept
+    base, made = [f"b{i}" for i in range(120)], []
+    rows = [(0, " ".join(base))]
+    for k in range(1, 120):
+        words = list(base[: 120 - k % 30])
+        for _ in range(3):
+            words[rng.randrange(len(words))] = f"e{rng.randrange(20)}"
+        rows.append((k, " ".join(words)))
+
+    def counted(df):
+        if {"a", "b", "buckets"} <= set(df.columns):
+            made.append(df.selectExpr("sum(size(buckets))", "count(1)", "count(DISTINCT a, b)").first())
+        return kept(df)
+
+    monkeypatch.setattr(near_dedup, "_kept", counted)
+    found = near_dedup.near_duplicate_classes(frame([(i, "s", t) for i, t in rows]))
+    assert sorted(map(tuple, found.collect())) == brute_classes(rows)
+    later = made[1:]
+    assert len(later) > 1 and all(n <= 1.3 * pairs for _, n, pairs in later), made
+    assert sum(n for n, _, _ in later) < 2 * made[0][0], made
+
+
 def test_few_links_stay_in_few_tasks(spark):
     """Where small partitions are not merged, each round would write its files by all of them."""
     merge = "spark.sql.adaptive.coalescePartitions.enabled"
