@@ -44,8 +44,9 @@ from macrotide.session import scratch_dir
 ENDINGS = 256
 SHARES = 64  # of the contexts, seated in parallel
 END_HASH = np.uint64(0x5EED_0F_7E47_E4D1)
-PAIR_SCHEMA = "context bigint, dish bigint, classes int, context_place int, dish_place int, n bigint"
+PAIR_SCHEMA = "context bigint, dish bigint, kind bigint, n bigint"
 SEATED_SCHEMA = "context bigint, pair bigint, classes int, context_place int, n bigint, opened double, gain double, all_opened double"
+SEATED = [f.split()[0] for f in SEATED_SCHEMA.split(", ")]
 SENT_SCHEMA = (
     "bin bigint, batch bigint, rows binary, runs binary, hashes binary, endings binary, ids binary, nulls binary, sums binary"
 )
@@ -209,8 +210,8 @@ def pair_hashes(context: np.ndarray, dish: np.ndarray) -> np.ndarray:
 
 
 def _word_pairs(train: DataFrame, shared) -> DataFrame:
-    """(context, dish, classes, places among the frequent words or -1, n) of all pairs of
-    neighbouring training tokens."""
+    """(context, dish, kind, n) of all pairs of neighbouring training tokens. ``kind`` packs the classes
+    and the places among the frequent words (or -1); words with a place have no hash here."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
@@ -231,23 +232,25 @@ def _word_pairs(train: DataFrame, shared) -> DataFrame:
             context, dish, classes, context_place, place, n = (np.concatenate(x) for x in found)
             _, first, back = np.unique(pair_hashes(context, dish), return_index=True, return_inverse=True)
             total = np.bincount(back, n, len(first)).astype(np.int64)
+            context, dish, classes, context_place, place = (x[first] for x in (context, dish, classes, context_place, place))
+            size = len(vocabulary.hashes) + 1
+            kind = (classes * size + context_place + 1) * size + place + 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(context[first].view(np.int64)), pa.array(dish[first].view(np.int64)),
-                 *(pa.array(x[first].astype(np.int32)) for x in (classes, context_place, place)), pa.array(total)],
-                names=["context", "dish", "classes", "context_place", "dish_place", "n"],
+                [pa.array(context.view(np.int64), mask=context_place >= 0), pa.array(dish.view(np.int64), mask=place >= 0),
+                 pa.array(kind), pa.array(total)],
+                names=["context", "dish", "kind", "n"],
             )
 
-    keys = ["context", "dish", "classes", "context_place", "dish_place"]
-    return train.select("text").mapInArrow(count, PAIR_SCHEMA).groupBy(*keys).agg(F.sum("n").alias("n"))
+    return train.select("text").mapInArrow(count, PAIR_SCHEMA).groupBy("context", "dish", "kind").agg(F.sum("n").alias("n"))
 
 
 def _with_counts(pairs: DataFrame, counts: DataFrame) -> DataFrame:
     """Pairs with the count of their dish where tasks do not know it. Words that are not
     frequent are no hot keys of the join."""
-    other = pairs.where("dish_place < 0").join(
+    other = pairs.where("dish IS NOT NULL").join(
         counts.select(F.col("word").alias("dish"), F.col("n").alias("dish_n")), "dish"
     )
-    return pairs.where("dish_place >= 0").withColumn("dish_n", F.lit(None).cast("bigint")).unionByName(other)
+    return pairs.where("dish IS NULL").withColumn("dish_n", F.lit(None).cast("bigint")).unionByName(other)
 
 
 def _seat_words(shared, settings: Settings):
@@ -257,8 +260,12 @@ def _seat_words(shared, settings: Settings):
         """Seat a part of the word pairs. Contexts that are frequent words may have pairs in other
         parts, so their tables are those of the round before; others are whole."""
         vocabulary, predictive, frequent_opened, seed = shared.value
-        context, dish, classes, context_place, dish_place, n = (
-            table.column(c).to_numpy() for c in ("context", "dish", "classes", "context_place", "dish_place", "n")
+        kind, n = (table.column(c).to_numpy() for c in ("kind", "n"))
+        size = len(vocabulary.hashes) + 1
+        classes, context_place, dish_place = (x.astype(np.int32) for x in (kind // size**2, kind // size % size - 1, kind % size - 1))
+        context, dish = (
+            np.where(place >= 0, vocabulary.hashes[place].view(np.int64), table.column(c).fill_null(0).to_numpy())
+            for c, place in (("context", context_place), ("dish", dish_place))
         )
         order = np.lexsort((dish, context))
         context, dish, classes, context_place, dish_place, n = (
@@ -286,7 +293,7 @@ def _seat_words(shared, settings: Settings):
         total = np.repeat(np.where(whole, np.add.reduceat(mean, begins), np.nan), sizes)
         pair = pair_hashes(context.view(np.uint64), dish.view(np.uint64)).view(np.int64)
         return pa.table({
-            "context": context, "pair": pair, "classes": classes, "context_place": context_place, "n": n,
+            "context": pa.array(context, mask=context_place >= 0), "pair": pair, "classes": classes, "context_place": context_place, "n": n,
             "opened": mean, "gain": (n - discount * mean) / base, "all_opened": pa.array(total, mask=np.isnan(total)),
         })
 
@@ -300,9 +307,11 @@ def _sample_words(
     probabilities of the classes that the pairs were seated with."""
     spark = pairs.sparkSession
     n_parts = max(SHARES, -(-pairs.count() // settings.part_rows))
-    spread = F.when(F.col("context_place") < 0, F.xxhash64("context")).otherwise(F.xxhash64("context", "dish"))
+    spread = F.when(F.col("context").isNotNull(), F.xxhash64("context")).otherwise(F.xxhash64("kind", "dish"))
     dealt = pairs.withColumn("part", F.pmod(spread, F.lit(n_parts)))
-    opened = _of_frequent(pairs.groupBy("context_place").agg(F.count(F.lit(1)).alias("opened")), vocabulary)
+    size = len(vocabulary.hashes) + 1
+    place = F.expr(f"kind div {size} % {size} - 1").alias("context_place")
+    opened = _of_frequent(pairs.groupBy(place).agg(F.count(F.lit(1)).alias("opened")), vocabulary)
     for turn in range(settings.rounds):
         if turn:
             customers = seated.groupBy("classes").agg(F.sum("opened").alias("n")).select(
@@ -314,7 +323,9 @@ def _sample_words(
             predictive = _sample(spark.read.parquet(path), vocabulary.n_classes, settings)
         shared = spark.sparkContext.broadcast((vocabulary, predictive, opened, turn))
         path = scratch_dir(spark, "seated-pairs")
-        dealt.groupBy("part").applyInArrow(_seat_words(shared, settings), SEATED_SCHEMA).write.parquet(path)
+        # The next round needs the tables alone, scoring all but the classes.
+        needed = ["classes", "context_place", "opened"] if turn + 1 < settings.rounds else [c for c in SEATED if c != "classes"]
+        dealt.groupBy("part").applyInArrow(_seat_words(shared, settings), SEATED_SCHEMA).select(*needed).write.parquet(path)
         seated = spark.read.parquet(path)
         opened = _of_frequent(seated.groupBy("context_place").agg(F.sum("opened").alias("opened")), vocabulary)
         shared.unpersist()
@@ -591,11 +602,9 @@ def score_texts(
     path = scratch_dir(spark, "word-pairs")
     _with_counts(_word_pairs(train, shared), counts).write.parquet(path)
     seated, opened, predictive = _sample_words(spark.read.parquet(path), vocabulary, predictive, settings)
-    path = scratch_dir(spark, "pair-factors")
-    seated.select("pair", "n", "context_place", "gain", "all_opened").mapInArrow(
+    factors = seated.select("pair", "n", "context_place", "gain", "all_opened").mapInArrow(
         _factors(spark.sparkContext.broadcast(opened), settings), "pair bigint, n bigint, value double"
-    ).write.parquet(path)
-    factors = spark.read.parquet(path)
+    )
     discount, strength = settings.words
     customers = _of_frequent(seated.groupBy("context_place").agg(F.sum("n").alias("n")), vocabulary)
     backs = np.log10((strength + discount * opened) / (strength + customers))

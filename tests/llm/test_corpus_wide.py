@@ -281,6 +281,33 @@ def test_language_model_of_odd_rows(frame, odd_rows):
     assert language_model.score_texts(frame([]), settings=small).count() == 0
 
 
+def test_pairs_of_frequent_words_travel_without_hashes(spark, frame, monkeypatch):
+    """What is written for a pair: the number of its place and not a hash where a word is frequent, and
+    of rounds before the last only the tables."""
+    written, scratch = [], language_model.scratch_dir
+
+    def noted(session, label):
+        path = scratch(session, label)
+        written.append((label, path))
+        return path
+
+    monkeypatch.setattr(language_model, "scratch_dir", noted)
+    rng = random.Random(15)
+    rows = [(i, "s", " ".join(f"w{int(rng.paretovariate(0.8))}" for _ in range(60))) for i in range(40)]
+    small = language_model.Settings(n_dishes=5, n_frequent=10)
+    assert language_model.score_texts(frame(rows), settings=small).count() == 40
+    pairs = [spark.read.parquet(p) for label, p in written if label == "word-pairs"][0]
+    assert set(pairs.columns) == {"context", "dish", "kind", "n", "dish_n"}
+    assert pairs.where("context IS NULL AND dish IS NULL").count() > 0 and pairs.where("dish IS NOT NULL AND dish_n IS NULL").count() == 0
+    held = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5 == 1]
+    assert pairs.agg({"n": "sum"}).first()[0] == 61 * (40 - len(held))
+    first, last = (spark.read.parquet(p) for label, p in written if label == "seated-pairs")
+    assert set(first.columns) == {"classes", "context_place", "opened"} and "classes" not in last.columns
+    assert first.count() == last.count() == pairs.count()
+    assert last.where("context IS NULL").count() == last.where("context_place >= 0").count() > 0
+    assert not any(label == "pair-factors" for label, _ in written)
+
+
 def test_words_keep_their_identity_as_contexts(frame):
     """Two held-out texts of the same rare words, which differ only in what follows what."""
     held = [i for i in range(10_000, 10_100) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
