@@ -636,13 +636,14 @@ def _sample_words(
         shared = spark.sparkContext.broadcast((vocabulary, None if turn is None else predictive, opened))
         path = scratch_dir(spark, "first-tables" if turn is None else "seated-pairs")
         pairs.mapInArrow(_seat_words(shared, settings, turn), SEATED_SCHEMA).select(*needed).write.parquet(path)
-        shared.unpersist()
+        shared.destroy()
         return spark.read.parquet(path)
 
     before = opened = None
     opened = _of_frequent(seated(None, ["opened"]), vocabulary)
     for turn in range(settings.rounds):
         if turn:
+            predictive = None
             customers = found.select(F.explode("classes").alias("c")).select("c.*")
             predictive = _sample(customers, vocabulary.n_classes, settings, kept)
         # The next round needs the tables of classes, scoring does not.
@@ -762,6 +763,10 @@ def _sample(sent: DataFrame, size: int, settings: Settings, scale: int = 1) -> n
                 mean[c] += np.frombuffer(row.as_py(), np.float32)
         all_tables = np.zeros(size)
         all_tables[context] = found.column("opened").to_numpy()
+        del found
+        shared.destroy()
+        # The driver keeps no more than the mean.
+        pa.default_memory_pool().release_unused()
         rng = np.random.default_rng([sweep, SHARES])
         weight = np.full(size, parent_strength + parent_discount * (customers > 0).sum())
         tables = seat(np.maximum(customers, 1), np.full(size, 1 / size), parent_discount, weight, rng)
@@ -769,8 +774,8 @@ def _sample(sent: DataFrame, size: int, settings: Settings, scale: int = 1) -> n
         parent = (customers - parent_discount * tables + (parent_strength + parent_discount * tables.sum()) / size) / (
             parent_strength + customers.sum()
         )
-        shared.unpersist()
-    return mean / (settings.sweeps - settings.burn_in)
+    mean /= settings.sweeps - settings.burn_in
+    return mean
 
 
 def _record_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -912,6 +917,7 @@ def score_texts(
     pairs = spark.read.parquet(path)
     before, opened, predictive = _sample_words(pairs, vocabulary, predictive, settings)
     model = spark.sparkContext.broadcast((vocabulary, predictive, before, opened))
+    del predictive
     answers = pairs.mapInArrow(_answer(model, settings), ANSWER_SCHEMA)
     own = rows.mapInArrow(_own(shared, n_parts), OWN_SCHEMA)
     return own.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_add_up(shared), SCORE_SCHEMA).select(

@@ -308,6 +308,78 @@ def test_pairs_of_frequent_words_travel_without_hashes(spark, frame, monkeypatch
     assert not any(label == "pair-factors" for label, _ in written)
 
 
+def test_pairs_are_written_in_packed_rows_of_parts(spark, frame, monkeypatch):
+    """Two rows for each part, whatever the pairs, and few bytes for each distinct pair of a batch."""
+    written, scratch = [], language_model.scratch_dir
+
+    def noted(session, label):
+        written.append((label, scratch(session, label)))
+        return written[-1][1]
+
+    monkeypatch.setattr(language_model, "scratch_dir", noted)
+    rng = random.Random(3)
+    rows = [(i, "s", " ".join(f"w{int(rng.paretovariate(0.6)) % 100_000}" for _ in range(400))) for i in range(200)]
+    small = language_model.Settings(n_dishes=50, n_frequent=500, part_rows=5_000)
+    assert language_model.score_texts(frame(rows), settings=small).count() == 200
+    pairs = [spark.read.parquet(p) for label, p in written if label == "word-pairs"][0].collect()
+    learned = [t.split() for i, _, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    distinct = {x for words in learned for x in zip([None, *words], [*words, None], strict=True)}
+    assert 2 < len(pairs) <= 2 * -(-401 * len(learned) // 10_000)
+    assert sum(r.n for r in pairs) == 401 * len(learned)
+    assert sum(len(x or b"") for r in pairs for x in (r.context, r.dish, r.kind, r.dish_n)) < 20 * len(distinct)
+
+
+def test_word_pair_probabilities_by_brute_force(frame, monkeypatch):
+    """Scores of texts whose pairs are learned from once (one table each), in several parts."""
+    models, sample, vocabularies, vocabulary_of = [], language_model._sample, [], language_model._vocabulary
+    monkeypatch.setattr(language_model, "_sample", lambda *a: models.append(sample(*a)) or models[-1].copy())
+    monkeypatch.setattr(language_model, "_vocabulary", lambda *a: vocabularies.append(vocabulary_of(*a)) or vocabularies[-1])
+    rng = random.Random(8)
+    words = [f"{rng.choice('abcdef')}{k}{rng.choice('xyz')}" for k in range(60)]
+    steps = [(a, b) for a in words for b in words]
+    rng.shuffle(steps)
+    rows = []
+    for i in range(60):  # No step twice: texts of two words, each with a begin and an end of its own.
+        a, b = steps[i]
+        rows.append((i, "s", f"{a}b{i} {a} {b} {b}e{i}"))
+    small = language_model.Settings(n_dishes=6, n_frequent=25, part_rows=20)
+    found = {r.doc_id: r.score for r in language_model.score_texts(frame(rows), settings=small).collect()}
+    texts = {i: [None, *t.split(), None] for i, _, t in rows}
+    learned = {i: t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 5 != 1}
+    pairs = Counter(p for t in learned.values() for p in zip(t[:-1], t[1:], strict=True))
+    assert set(pairs.values()) == {1}
+    customers, tables, counts = Counter(), Counter(), Counter()
+    for a, b in pairs:
+        customers[a] += 1
+        tables[a] += 1
+        counts[b] += 1
+    v, predictive = vocabularies[0], models[-1]
+
+    def about(word):
+        hashes, endings, _ = language_model.tokens_of(*text_of(word or ""))
+        kind, _ = v.find(hashes[:1], endings[:1])
+        return int(kind[0]), int(endings[0])
+
+    d, s = small.words
+    for i, t in texts.items():
+        wanted = 0.0
+        for a, b in zip(t[:-1], t[1:], strict=True):
+            kind, ending = about(b)
+            inside = 1.0
+            if kind >= v.n_dishes:
+                inside = counts[b] - v.discount if counts[b] else v.strength + v.discount * v.rare_types[ending]
+                inside /= v.strength + v.rare_tokens[ending]
+            base = float(predictive[about(a)[0], kind]) * inside
+            seen = (a, b) in pairs
+            wanted += math.log10(((s + d * tables[a]) * base + seen * (1 - d)) / (s + customers[a]))
+        assert math.isclose(found[i], wanted, rel_tol=1e-5), (i, found[i], wanted)
+
+
+def text_of(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return data, np.array([0, len(data)])
+
+
 def test_words_keep_their_identity_as_contexts(frame):
     """Two held-out texts of the same rare words, which differ only in what follows what."""
     held = [i for i in range(10_000, 10_100) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
